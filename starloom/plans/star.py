@@ -42,12 +42,27 @@ class Star:
         self.spark = tune(raw.spark)
         self.raw, self.as_of, self.bands = raw, as_of or date.today(), bands
         self.regions, self.enforce_keys = regions, enforce_keys
+        self._staged: dict[str, DataFrame] = {}
 
     # staged tables -------------------------------------------------------------------------
 
     def staged(self, table: str, columns: Sequence[str] | None = None) -> DataFrame:
+        if table in self._staged:
+            known = self._staged[table]
+            return known if columns is None else known.select(*columns)
+        if columns is None:
+            self._staged[table] = stage(self.raw, table)
+            return self._staged[table]
         return stage(self.raw, table, columns)
 
+    def rebind_staged(self, table: str, df: DataFrame) -> None:
+        """Continue from a written copy of a staged table."""
+        self._staged[table] = df
+
+    def rebind(self, **frames: DataFrame) -> None:
+        """Continue from written copies of derived tables instead of computing them again."""
+        self.__dict__.update(frames)
+
     @cached_property
     def orders(self) -> DataFrame:
         orders = self.staged("orders")
