@@ -74,8 +74,8 @@ LAYERS: dict[str, str] = {
         SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
                    l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS order_item_id,
                l_orderkey AS order_id, l_partkey AS product_id, l_quantity::BIGINT AS quantity,
-               ((round(l_extendedprice * 100)::BIGINT // l_quantity::BIGINT)::DECIMAL(16,0) * 0.01)::DECIMAL(12,2) AS unit_price,
-               (l_discount::DECIMAL(5,2) * 100)::DECIMAL(5,2) AS discount
+               ((floor(l_extendedprice * 100 + 0.5)::BIGINT // l_quantity::BIGINT)::DECIMAL(12,0) * 0.01)::DECIMAL(12,2) AS unit_price,
+               floor(l_discount * 100 + 0.5)::DECIMAL(5,2) AS discount
         FROM lineitem""",
     "raw_page_views": f"""
         SELECT event_id AS page_view_id, CASE WHEN event_id % 10 <> 0 THEN user_id END AS customer_id,

@@ -25,34 +25,39 @@ HOLIDAYS = """
 FISCAL_START_MONTH = 4
 
 
-def date_key(day: Column) -> Column:
-    return F.date_format(day, "yyyyMMdd").cast("bigint")
-
-
-def attributes(day: Column) -> dict[str, Column]:
-    """Name -> expression for each calendar column, in table order."""
-    into_fiscal = F.add_months(day, 1 - FISCAL_START_MONTH)
-    year, quarter = F.year(day), F.quarter(day)
-    return {
-        "date_key": date_key(day),
-        "full_date": day,
-        "year": year.cast("bigint"),
-        "quarter": quarter.cast("bigint"),
-        "month": F.month(day).cast("bigint"),
-        "month_name": F.date_format(day, "MMMM"),
-        "day_of_week": F.weekday(day).cast("bigint"),
-        "day_name": F.date_format(day, "EEEE"),
-        "is_weekend": F.weekday(day) >= 5,
-        "week_of_year": F.weekofyear(day).cast("bigint"),
-        "year_month": F.date_format(day, "yyyy-MM"),
-        "year_quarter": F.concat(year.cast("string"), F.lit("-Q"), quarter.cast("string")),
-        "is_holiday": day.isin([F.lit(text).cast("date") for text in HOLIDAYS]),
-        "fiscal_year": F.year(into_fiscal).cast("bigint"),
-        "fiscal_quarter": F.quarter(into_fiscal).cast("bigint"),
-    }
+_HOLIDAY_LIST = ", ".join(f"DATE'{day}'" for day in HOLIDAYS)
+_TO_FISCAL = 1 - FISCAL_START_MONTH
+
+# Calendar column -> expression over {d}, in table order.
+ATTRIBUTES: dict[str, str] = {
+    "date_key": "CAST(date_format({d}, 'yyyyMMdd') AS BIGINT)",
+    "full_date": "{d}",
+    "year": "CAST(year({d}) AS BIGINT)",
+    "quarter": "CAST(quarter({d}) AS BIGINT)",
+    "month": "CAST(month({d}) AS BIGINT)",
+    "month_name": "date_format({d}, 'MMMM')",
+    "day_of_week": "CAST(weekday({d}) AS BIGINT)",
+    "day_name": "date_format({d}, 'EEEE')",
+    "is_weekend": "weekday({d}) >= 5",
+    "week_of_year": "CAST(weekofyear({d}) AS BIGINT)",
+    "year_month": "date_format({d}, 'yyyy-MM')",
+    "year_quarter": "concat(year({d}), '-Q', quarter({d}))",
+    "is_holiday": f"{{d}} IN ({_HOLIDAY_LIST})",
+    "fiscal_year": f"CAST(year(add_months({{d}}, {_TO_FISCAL})) AS BIGINT)",
+    "fiscal_quarter": f"CAST(quarter(add_months({{d}}, {_TO_FISCAL})) AS BIGINT)",
+}
+
+
+def attribute(name: str, day: str) -> Column:
+    """One calendar attribute of the date column ``day``."""
+    return F.expr(ATTRIBUTES[name].format(d=day)).alias(name)
+
+
+def date_key(day: str) -> Column:
+    """YYYYMMDD as a number, by arithmetic: facts compute it once per row."""
+    return F.expr(f"CAST(year({day}) * 10000 + month({day}) * 100 + day({day}) AS BIGINT)")
 
 
 def with_calendar(df: DataFrame, day: str, *names: str) -> DataFrame:
     """Add the named calendar columns derived from the date column ``day``."""
-    known = attributes(F.col(day))
-    return df.withColumns({name: known[name] for name in names})
+    return df.select("*", *[attribute(name, day) for name in names])

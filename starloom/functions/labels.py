@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -60,8 +61,9 @@ DASHBOARD_STAGES = ("home", "category", "product", "cart", "complete")
 
 def lookup(key: Column, mapping: Mapping[str, str], default: str) -> Column:
     """Map a small vocabulary with one literal map, so no join is planned."""
-    pairs = [F.lit(part) for item in mapping.items() for part in item]
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), key), F.lit(default))
+    text = json.dumps(mapping, ensure_ascii=False)
+    known = F.from_json(F.lit(text), "map<string,string>")
+    return F.coalesce(F.try_element_at(known, key), F.lit(default))
 
 
 def first_match(cases: Sequence[tuple[Column, Column]], default: Column) -> Column:

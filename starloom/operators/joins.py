@@ -13,11 +13,11 @@ def small_or_plain(dimension: DataFrame, max_rows: int = SMALL_ROWS) -> DataFram
     """Compute a dimension once and mark it for broadcast if it has at most ``max_rows`` rows.
 
     Used for vocabularies (statuses, categories) whose size estimate is that of the big table
-    they were distilled from. Above the bound the dimension is returned as it came, and the
-    join is planned as a shuffle.
+    they were distilled from; as a local relation their true size is known to the optimizer.
+    Above the bound the dimension is returned as it came, and the join is planned as a shuffle.
     """
-    rows = dimension.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
+    rows = dimension.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows:
         return dimension
     return F.broadcast(dimension.sparkSession.createDataFrame(rows, dimension.schema))
 

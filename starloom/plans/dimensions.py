@@ -25,7 +25,7 @@ def dim_date(days: list[DataFrame]) -> DataFrame:
     spine = bounds.agg(F.min("first").alias("first"), F.max("last").alias("last")).select(
         F.explode(F.sequence("first", "last", F.expr("INTERVAL 1 DAY"))).alias("day")
     )
-    return spine.select(*[expr.alias(name) for name, expr in calendar.attributes(F.col("day")).items()])
+    return spine.select(*[calendar.attribute(name, "day") for name in calendar.ATTRIBUTES])
 
 
 def dim_time(spark: SparkSession) -> DataFrame:

@@ -31,7 +31,7 @@ def fact_sales(lines: DataFrame, customers: DataFrame, products: DataFrame, stat
         .select(
             F.col("customer_id").alias("customer_key"),
             F.col("product_id").alias("product_key"),
-            date_key(F.col("order_date")).alias("date_key"),
+            date_key("order_date").alias("date_key"),
             "order_status_key", "order_id", "order_item_id", "quantity", "unit_price", "discount_rate",
             "gross_amount", "discount_amount", "net_amount",
             hour_key("order_timestamp").alias("time_key"),
@@ -53,7 +53,7 @@ def fact_page_views(views: DataFrame, customers: DataFrame, products: DataFrame)
     )
     return seen.select(
         "page_view_id", "customer_key", "product_key",
-        date_key(F.col("view_timestamp").cast("date")).alias("date_key"),
+        date_key("view_timestamp").alias("date_key"),
         hour_key("view_timestamp").alias("time_key"),
         "session_id", "page_type", "referrer_type", "duration_seconds",
     )
@@ -67,7 +67,7 @@ def fact_inventory_daily(inventory: DataFrame, products: DataFrame) -> DataFrame
         .join(products.select("product_id"), "product_id")
         .select(
             F.col("product_id").alias("product_key"),
-            date_key(F.col("snapshot_date")).alias("date_key"),
+            date_key("snapshot_date").alias("date_key"),
             "quantity_on_hand", "quantity_reserved", "quantity_available", "reorder_point",
             (left < F.col("reorder_point")).alias("is_below_reorder_point"),
             (left <= 0).alias("is_out_of_stock"),

@@ -5,7 +5,7 @@ All of these group by attributes of the order, so they start from one row per or
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
 from starloom.functions import labels
@@ -33,13 +33,31 @@ def _line_average(digits: int) -> Column:
     return F.round(ratio(_net(), _lines()), digits)
 
 
+def _per_day(order_totals: DataFrame) -> DataFrame:
+    """One row per day with sales. Calendar attributes are computed on these few rows and
+    rolled up from there, not once per order."""
+    return order_totals.groupBy("order_date").agg(
+        _orders().alias("orders"),
+        _lines().alias("line_count"),
+        F.sum("quantity").alias("quantity"),
+        _net().alias("net_amount"),
+        F.sum("gross_profit").alias("gross_profit"),
+    )
+
+
+def _by_calendar(order_totals: DataFrame, *attributes: str) -> GroupedData:
+    return with_calendar(_per_day(order_totals), "order_date", *attributes).groupBy(*attributes)
+
+
+def _orders_of_days() -> Column:
+    return F.sum("orders")
+
+
 def monthly_sales(star: Star) -> DataFrame:
-    keys = ("year", "month", "month_name")
     return (
-        with_calendar(star.order_totals, "order_date", *keys)
-        .groupBy(*keys)
+        _by_calendar(star.order_totals, "year", "month", "month_name")
         .agg(
-            _orders().alias("order_count"),
+            _orders_of_days().alias("order_count"),
             _lines().alias("line_item_count"),
             _net().alias("total_net_amount"),
             F.sum("quantity").alias("total_quantity"),
@@ -49,12 +67,10 @@ def monthly_sales(star: Star) -> DataFrame:
 
 
 def monthly_sales_profit(star: Star) -> DataFrame:
-    keys = ("year", "month", "month_name")
     return (
-        with_calendar(star.order_profits, "order_date", *keys)
-        .groupBy(*keys)
+        _by_calendar(star.order_profits, "year", "month", "month_name")
         .agg(
-            _orders().alias("order_count"),
+            _orders_of_days().alias("order_count"),
             _net().alias("total_sales"),
             F.sum("gross_profit").alias("total_profit"),
         )
@@ -64,9 +80,8 @@ def monthly_sales_profit(star: Star) -> DataFrame:
 
 def seasonal_trend(star: Star) -> DataFrame:
     return (
-        with_calendar(star.order_totals, "order_date", "month", "year")
-        .groupBy("month", "year")
-        .agg(_net().alias("monthly_revenue"), _orders().alias("order_count"))
+        _by_calendar(star.order_totals, "month", "year")
+        .agg(_net().alias("monthly_revenue"), _orders_of_days().alias("order_count"))
         .orderBy("year", "month")
     )
 
@@ -78,9 +93,8 @@ def monthly_sales_yoy(star: Star) -> DataFrame:
     over the month number finds. The window sees one row per month.
     """
     months = (
-        with_calendar(star.order_totals, "order_date", "year_month", "year", "month")
-        .groupBy("year_month", "year", "month")
-        .agg(_net().alias("monthly_revenue"), _orders().alias("order_count"))
+        _by_calendar(star.order_totals, "year_month", "year", "month")
+        .agg(_net().alias("monthly_revenue"), _orders_of_days().alias("order_count"))
         .withColumn("_number", F.col("year") * 12 + F.col("month"))
     )
     year_back = Window.partitionBy(F.lit(True)).orderBy("_number").rangeBetween(-12, -12)
@@ -98,7 +112,9 @@ def moving_average(star: Star, rows: int = 7) -> DataFrame:
 
     The window runs over one row per day, a few thousand per decade.
     """
-    daily = star.order_totals.groupBy(F.col("order_date").alias("full_date")).agg(_net().alias("daily_revenue"))
+    daily = _per_day(star.order_totals).select(
+        F.col("order_date").alias("full_date"), F.col("net_amount").alias("daily_revenue")
+    )
     recent = Window.partitionBy(F.lit(True)).orderBy("full_date").rowsBetween(1 - rows, Window.currentRow)
     average = ratio(F.sum("daily_revenue").over(recent), F.count("daily_revenue").over(recent))
     return daily.withColumn(f"moving_avg_{rows}d", average).orderBy("full_date")
@@ -126,12 +142,10 @@ def hourly_order_pattern(star: Star) -> DataFrame:
 
 
 def weekday_pattern(star: Star, digits: int = 2) -> DataFrame:
-    keys = ("day_of_week", "day_name")
     return (
-        with_calendar(star.order_totals, "order_date", *keys)
-        .groupBy(*keys)
+        _by_calendar(star.order_totals, "day_of_week", "day_name")
         .agg(
-            _orders().alias("order_count"),
+            _orders_of_days().alias("order_count"),
             _net().alias("total_net_amount"),
             _line_average(digits).alias("avg_net_amount"),
         )

@@ -4,24 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from starloom.schemas import TABLES
 from starloom.sources.raw import RawTables
 
 RENAMED = {("categories", "name"): "category_name", ("order_items", "discount"): "discount_rate"}
-_BLANKS = " \t\r\n\f\x0b"
+# Blanks around an order status are noise, and so is its case.
+CLEANED = {("orders", "status"): r"lower(btrim({value}, ' \t\r\n\f'))"}
 
 
-def _clean(table: str, column: str, value: Column) -> Column:
-    if (table, column) == ("orders", "status"):
-        return F.lower(F.btrim(value, F.lit(_BLANKS)))
-    return value
-
-
-def staged_columns(table: str) -> list[str]:
-    return [RENAMED.get((table, f.name), f.name) for f in TABLES[table]]
+def _staged_name(table: str, column: str) -> str:
+    return RENAMED.get((table, column), column)
 
 
 def stage(raw: RawTables, table: str, columns: Sequence[str] | None = None) -> DataFrame:
@@ -29,12 +23,10 @@ def stage(raw: RawTables, table: str, columns: Sequence[str] | None = None) -> D
 
     ``columns`` are staged names; the source only delivers what is behind them.
     """
-    fields = [
-        (f, RENAMED.get((table, f.name), f.name))
-        for f in TABLES[table]
-        if columns is None or RENAMED.get((table, f.name), f.name) in columns
-    ]
-    source = raw.table(table, [f.name for f, _ in fields])
-    return source.select(
-        *[_clean(table, f.name, F.col(f.name).cast(f.dataType)).alias(name) for f, name in fields]
-    )
+    fields = [f for f in TABLES[table] if columns is None or _staged_name(table, f.name) in columns]
+    rules = []
+    for f in fields:
+        value = f"CAST({f.name} AS {f.dataType.simpleString()})"
+        rule = CLEANED.get((table, f.name), "{value}").format(value=value)
+        rules.append(f"{rule} AS {_staged_name(table, f.name)}")
+    return raw.table(table, [f.name for f in fields]).selectExpr(*rules)

@@ -10,7 +10,6 @@ from collections.abc import Mapping, Sequence
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from starloom.schemas import TABLES, reading_schema
 
@@ -24,7 +23,7 @@ class RawTables(Protocol):
 def conform(df: DataFrame, table: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Cast to the declared column types; a value that does not fit raises."""
     wanted = [f for f in TABLES[table] if columns is None or f.name in columns]
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in wanted])
+    return df.selectExpr(*[f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in wanted])
 
 
 class FileTables:

@@ -91,9 +91,9 @@ ORDER_ITEMS = {
     "product_id": "l_partkey",
     "quantity": "CAST(l_quantity AS BIGINT)",
     # whole cents per piece, so that the price is a two-decimal number
-    "unit_price": "CAST(CAST(round(l_extendedprice * 100) AS BIGINT) div nullif(CAST(l_quantity AS BIGINT), 0) "
-                  "AS DECIMAL(16,0)) * 0.01",
-    "discount": "CAST(l_discount AS DECIMAL(5,2)) * 100",
+    "unit_price": "CAST(floor(l_extendedprice * 100 + 0.5D) div nullif(CAST(l_quantity AS BIGINT), 0) "
+                  "AS DECIMAL(12,0)) * 0.01",
+    "discount": "floor(l_discount * 100 + 0.5D)",
 }
 
 PAGE_VIEWS = {
@@ -149,9 +149,12 @@ class RetailTables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
+        self._files: dict[str, DataFrame] = {}
 
     def _file(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._files:
+            self._files[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._files[name]
 
     def table(self, name: str, columns: Sequence[str] | None = None) -> DataFrame:
         if name in PROJECTIONS:
