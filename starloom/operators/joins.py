@@ -26,11 +26,14 @@ def left_key_lookup(facts: DataFrame, dimension: DataFrame, column: str, key: st
     """Add ``key``: the fact's ``column`` where the dimension knows it, else NULL.
 
     Rows without a value never match, but a plain left join would hash all of them to one
-    task. They get a salt taken from the unique column ``spread`` instead, which keeps them
-    apart; known values keep salt 0, the only salt the dimension has.
+    task. They get a salt taken from the unique column ``spread``, which keeps them apart;
+    known values have salt 0, the only salt of the dimension. That zero is computed from the
+    key: as a literal the optimizer would move it out of the join keys, and out of the hash.
     """
     salt = F.when(F.col(column).isNull(), 1 + F.pmod(F.col(spread), F.lit(_SALTS))).otherwise(F.lit(0))
-    known = dimension.select(F.col(key).alias("_value"), F.col(key).alias("_key"), F.lit(0).cast("bigint").alias("_s"))
+    known = dimension.select(
+        F.col(key).alias("_value"), F.col(key).alias("_key"), F.pmod(F.col(key), F.lit(1)).cast("bigint").alias("_s")
+    )
     salted = facts.withColumn("_salt", salt.cast("bigint"))
     return (
         salted.join(known, (salted[column] == known["_value"]) & (salted["_salt"] == known["_s"]), "left")

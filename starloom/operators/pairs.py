@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.operators.joins import small_or_plain
 from starloom.session import materialise
 
 _MASK_BITS = 62
@@ -25,8 +26,9 @@ def co_occurrence(baskets: DataFrame, basket: str, item: str, min_support: int)
     A basket holding a large part of all rows thus costs one mask bit per item instead of a
     number of pairs that grows with its square.
     """
-    frequent = baskets.groupBy(item).count().where(F.col("count") >= min_support).select(item)
-    kept = materialise(baskets.select(basket, item).join(frequent, item, "left_semi"), "baskets")
+    written = materialise(baskets.select(basket, item), "baskets")
+    frequent = written.groupBy(item).count().where(F.col("count") >= min_support).select(item)
+    kept = written.join(small_or_plain(frequent), item, "left_semi")
 
     spare = min(min_support - 1, _MASK_BITS)
     wide = [

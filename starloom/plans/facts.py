@@ -13,29 +13,46 @@ from pyspark.sql import functions as F
 from starloom.functions.amounts import as_decimal
 from starloom.functions.calendar import date_key
 from starloom.operators.joins import left_key_lookup
+from starloom.plans.intermediate import with_amounts
 
 
 def hour_key(moment: str) -> Column:
     return F.hour(moment).cast("bigint")
 
 
-def fact_sales(lines: DataFrame, customers: DataFrame, products: DataFrame, statuses: DataFrame) -> DataFrame:
-    """One row per order line. ``customers`` needs its id, ``products`` id and cost."""
+def fact_sales(
+    items: DataFrame, orders: DataFrame, customers: DataFrame, products: DataFrame, statuses: DataFrame
+) -> DataFrame:
+    """One row per order line. ``customers`` needs its id, ``products`` id and cost.
+
+    Customer and status are looked up once per order; only the order and the product are
+    looked up per line.
+    """
     cost = as_decimal(F.col("quantity")) * F.col("cost_price")
     codes = statuses.select("order_status_key", F.col("status_code").alias("status"))
-    return (
-        lines.where(F.col("order_date").isNotNull())
+    headers = (
+        orders.where(F.col("order_date").isNotNull())
         .join(codes, "status")
-        .join(products.select("product_id", "cost_price"), "product_id")
-        .join(customers.select("customer_id"), "customer_id")
+        .join(customers.select("customer_id"), "customer_id", "left_semi")
         .select(
+            "order_id",
             F.col("customer_id").alias("customer_key"),
-            F.col("product_id").alias("product_key"),
             date_key("order_date").alias("date_key"),
-            "order_status_key", "order_id", "order_item_id", "quantity", "unit_price", "discount_rate",
-            "gross_amount", "discount_amount", "net_amount",
+            "order_status_key",
             hour_key("order_timestamp").alias("time_key"),
             "payment_method", "device_type", "coupon_code",
+        )
+    )
+    return (
+        with_amounts(items)
+        .join(headers, "order_id")
+        .join(products.select("product_id", "cost_price"), "product_id")
+        .select(
+            "customer_key",
+            F.col("product_id").alias("product_key"),
+            "date_key", "order_status_key", "order_id", "order_item_id", "quantity", "unit_price", "discount_rate",
+            "gross_amount", "discount_amount", "net_amount", "time_key",
+            "payment_method", "device_type", "coupon_code",
             cost.alias("cost_amount"),
             (F.col("net_amount") - cost).alias("gross_profit"),
         )
@@ -64,7 +81,7 @@ def fact_inventory_daily(inventory: DataFrame, products: DataFrame) -> DataFrame
     left = F.col("quantity_available")
     return (
         inventory.where(F.col("snapshot_date").isNotNull())
-        .join(products.select("product_id"), "product_id")
+        .join(products.select("product_id"), "product_id", "left_semi")
         .select(
             F.col("product_id").alias("product_key"),
             date_key("snapshot_date").alias("date_key"),

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.amounts import percentage, ratio
+from starloom.plans.intermediate import inventory_with_sales
 from starloom.plans.star import Star
 
 
@@ -79,18 +80,19 @@ def stockout_check(star: Star) -> DataFrame:
     )
 
 
-def _on_latest_day(inventory: DataFrame) -> DataFrame:
+def _on_latest_day(snapshots: DataFrame) -> DataFrame:
     """Snapshots of the last day on record; the one-row maximum is broadcast."""
-    latest = inventory.agg(F.max("snapshot_date").alias("snapshot_date"))
-    return inventory.join(F.broadcast(latest), "snapshot_date", "left_semi")
+    latest = snapshots.agg(F.max("snapshot_date").alias("snapshot_date"))
+    return snapshots.join(F.broadcast(latest), "snapshot_date", "left_semi")
 
 
 def latest_inventory_status(star: Star, top: int = 20) -> DataFrame:
     """The latest day's stock, scarcest first; products that never sold have no days of supply
     and lead the list."""
     available = F.col("quantity_available")
+    latest = _on_latest_day(star.staged("inventory_snapshots"))
     return (
-        _on_latest_day(star.inventory)
+        inventory_with_sales(latest, star.daily_sales_average)
         .join(star.products.select("product_id", "product_name", "category_name"), "product_id")
         .orderBy(F.asc_nulls_first("days_of_supply"), "product_id")
         .limit(top)

@@ -155,11 +155,13 @@ class Star:
     def sessions(self) -> DataFrame:
         return logic.page_view_sessions(self.views)
 
+    @cached_property
+    def daily_sales_average(self) -> DataFrame:
+        return logic.daily_sales_average(self.lines)
+
     @cached_property
     def inventory(self) -> DataFrame:
-        return logic.inventory_with_sales(
-            self.staged("inventory_snapshots"), logic.daily_sales_average(self.lines)
-        )
+        return logic.inventory_with_sales(self.staged("inventory_snapshots"), self.daily_sales_average)
 
     # dimensions ----------------------------------------------------------------------------
 
@@ -198,7 +200,8 @@ class Star:
     @cached_property
     def fact_sales(self) -> DataFrame:
         return facts.fact_sales(
-            self.keyed_lines,
+            self.keyed_items,
+            self.orders,
             self.staged("customers", ["customer_id"]),
             self.staged("products", ["product_id", "cost_price"]),
             self.dim_order_status,
