@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions import labels, scoring
 from starloom.functions.calendar import ATTRIBUTES, HOLIDAYS, attribute, date_key
+from starloom.plans.dimensions import dim_time
 
 
 def evaluate(spark, column, **values):
@@ -46,6 +47,12 @@ def test_day_parts(spark):
     assert [row["part"] for row in rows] == expected
 
 
+def test_business_hours(spark):
+    rows = dim_time(spark).collect()
+    assert [r["time_key"] for r in rows if r["is_business_hours"]] == list(range(9, 18))
+    assert len(rows) == 24 and all(r["time_key"] == r["hour_of_day"] for r in rows)
+
+
 @pytest.mark.parametrize("code, label", [("pending", "保留中"), ("cancelled", "キャンセル"), ("lost", "不明"), (None, "不明")])
 def test_status_label(spark, code, label):
     assert evaluate(spark, labels.status_label(F.col("s")), s=("string", code)) == label

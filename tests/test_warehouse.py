@@ -5,7 +5,7 @@ from conftest import SMALL
 
 import __spark_entry__ as entry
 from starloom.plans import quality, warehouse
-from starloom.plans.reports import products, sales
+from starloom.plans.reports import customers, inventory, products, sales, traffic
 
 
 @pytest.fixture(scope="module")
@@ -29,6 +29,16 @@ def test_reports_continue_from_the_files(spark, built):
     assert "warehouse" in star.dim_product.inputFiles()[0]
 
 
+def test_later_sessions_report_from_the_files(spark, built):
+    star, tables, _ = built
+    reopened = tables.star(entry.AS_OF, entry.BANDS)
+    for report in (sales.order_line_rollup, products.top_products, customers.top_ltv_customers, traffic.session_conversion,
+                   inventory.sales_vs_stock):
+        result = report(reopened)
+        assert result.collect() == report(star).collect()
+        assert all("/warehouse" in name for name in result.inputFiles() if "shared" not in name)
+
+
 def test_sql_users_find_tables_and_views(spark, built):
     _, tables, counts = built
     assert "dwh.fact_sales" in tables.register("dwh")
