@@ -145,6 +145,8 @@ def product_totals(items: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("line_count"),
         F.sum("quantity").alias("quantity"),
         F.sum("net_amount").alias("net_amount"),
+        F.sum("discount_rate").alias("discount_rates"),
+        F.count("discount_rate").alias("discounted_lines"),
     )
 
 

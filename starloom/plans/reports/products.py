@@ -9,10 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.functions.amounts import as_decimal, ratio
+from starloom.functions.amounts import ratio
 from starloom.operators.pairs import co_occurrence
 from starloom.operators.shares import share_of_total
-from starloom.plans.intermediate import with_amounts
 from starloom.plans.star import Star
 
 
@@ -45,24 +44,41 @@ def category_ranking(star: Star) -> DataFrame:
 
 
 def category_sales(star: Star) -> DataFrame:
-    """Sales, profit and average discount per category.
+    """Sales, profit and average discount per category, with its distinct orders.
 
-    Distinct orders need the line grain: the lines meet the products once, and one exchange on
-    (category, order) serves the distinct count and the sums.
+    The sums start from one row per product. Only (category, order) pairs are exchanged for the
+    distinct count; in one aggregate the sums would travel with each of them.
     """
-    products = star.products.select("product_id", "parent_category_name", "category_name", "cost_price")
-    profit = F.col("net_amount") - as_decimal(F.col("quantity")) * F.col("cost_price")
+    keys = ("parent_category_name", "category_name")
+    sums = (
+        _with_profit(star.product_totals.join(star.products, "product_id"))
+        .groupBy(*keys)
+        .agg(
+            F.lit(0).cast("bigint").alias("orders"),
+            F.sum("net_amount").alias("net"),
+            F.sum("gross_profit").alias("profit"),
+            F.sum("discount_rates").alias("rates"),
+            F.sum("discounted_lines").alias("rated"),
+        )
+    )
+    orders = (
+        star.items.select("order_id", "product_id")
+        .join(star.products.select("product_id", *keys), "product_id")
+        .select(*keys, "order_id")
+        .distinct()
+        .groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("orders"))
+    )
     return (
-        with_amounts(star.items)
-        .join(products, "product_id")
-        .groupBy("parent_category_name", "category_name")
+        sums.unionByName(orders, allowMissingColumns=True)
+        .groupBy(*keys)
         .agg(
-            F.count_distinct("order_id").alias("order_count"),
-            F.sum("net_amount").alias("total_sales"),
-            F.sum(profit).alias("total_profit"),
-            F.round(ratio(F.sum("discount_rate"), F.count("discount_rate")), 1).alias("avg_discount_rate"),
+            F.sum("orders").alias("order_count"),
+            F.sum("net").alias("total_sales"),
+            F.sum("profit").alias("total_profit"),
+            F.round(ratio(F.sum("rates"), F.sum("rated")), 1).alias("avg_discount_rate"),
         )
-        .orderBy(F.desc("total_sales"), "parent_category_name", "category_name")
+        .orderBy(F.desc("total_sales"), *keys)
     )
 
 
