@@ -24,6 +24,12 @@ from starloom.sources.export import export, read_export  # noqa: E402
 from starloom.sources.load import audit, load_all, load_json_lines  # noqa: E402
 from starloom.sources.retail import RetailTables  # noqa: E402
 
+try:  # the text operators stand apart: without them everything else still works
+    import corpus_pipeline  # noqa: E402
+    from starloom.llm import queries as text_queries  # noqa: E402
+except ImportError:
+    corpus_pipeline = text_queries = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 # The day after the last order, so that recency spreads over its bands; spending bands likewise.
@@ -190,10 +196,16 @@ def queries() -> dict[str, Query]:
     return {
         **{name: _on_star(_model(name)) for name in models},
         **{name: _on_star(report) for name, report in REPORTS.items()},
+        **(text_queries.queries() if text_queries else {}),
+        **({"pipeline": corpus_pipeline.run} if corpus_pipeline else {}),
     }
 
 
 def oracle_sql() -> dict[str, str]:
     from oracle.reports import statements
 
-    return statements()
+    return {
+        **statements(),
+        **(text_queries.oracle_sql() if text_queries else {}),
+        **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline and corpus_pipeline.ORACLE_SQL else {}),
+    }
