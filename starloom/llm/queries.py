@@ -5,10 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import byte_bpe
+from starloom.llm import byte_bpe, token_counts
 from starloom.llm.frames import table
 
 
+#: Documents with more tokens are over the limit.
+TOKEN_LIMIT = 4096
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes")
+    )
+    return token_counts.count_tokens(docs, keep=["doc_id", "n_bytes"]).withColumn(
+        "over_limit", F.col("n_tokens") > TOKEN_LIMIT
+    )
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     decoded = byte_bpe.decode(byte_bpe.encode(docs, keep=["doc_id"]))
