@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from starloom.llm.frames import spread, utf8, with_columns
+from starloom.llm.frames import map_batches, spread, utf8, with_columns
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 NO_RANK = np.int32(2**31 - 1)
@@ -287,4 +287,4 @@ def decode(df: DataFrame, ids: str = "ids", out: str = "decoded", ranks: str = R
                 yield pa.RecordBatch.from_arrays([piece.column(c) for c in kept] + [done], schema.fieldNames())
                 start = stop
 
-    return df.mapInArrow(run, schema)
+    return map_batches(df, run, schema)

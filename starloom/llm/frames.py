@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +24,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, wherever they were started."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="starloom-code-")) / "starloom.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema):
+    """``mapInArrow`` with this package at hand in the workers."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def utf8(column) -> pa.Array:
     """The column as large strings, null as empty."""
     column = column.cast(pa.large_string()) if not pa.types.is_large_string(column.type) else column
@@ -66,7 +92,7 @@ def with_columns(
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in kept] + make(part), names)
 
     wanted = [*kept, *([] if text in kept else [text])]
-    return df.select(*[f"`{c}`" for c in wanted]).mapInArrow(run, schema)
+    return map_batches(df.select(*[f"`{c}`" for c in wanted]), run, schema)
 
 
 def rows_from(
@@ -79,7 +105,7 @@ def rows_from(
             for part in bites(batch, text, size):
                 yield make(part)
 
-    return df.mapInArrow(run, schema)
+    return map_batches(df, run, schema)
 
 
 def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

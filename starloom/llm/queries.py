@@ -5,10 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import byte_bpe, token_counts
+from starloom.llm import byte_bpe, quality_rules, token_counts
 from starloom.llm.frames import table
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.verdicts(table(spark, sf_dir, "documents"))
+    return judged.select(
+        "doc_id", *quality_rules.COUNTS, "base_failed", "kept", "words_left", F.size("removed").alias("lines_removed")
+    )
+
+
 #: Documents with more tokens are over the limit.
 TOKEN_LIMIT = 4096
 
