@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -75,9 +76,15 @@ def bites(batch: pa.RecordBatch, column: str, size: int = BITE) -> Iterator[pa.R
 
 
 def with_columns(
-    df: DataFrame, text: str, fields: list[T.StructField], make: Make, keep: list[str] | None = None, size: int = BITE
+    df: DataFrame,
+    text: str,
+    fields: list[T.StructField],
+    make: Make,
+    keep: list[str] | None = None,
+    size: int = BITE,
+    uses: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Columns that ``make`` computes from the rows, behind ``keep`` (default: all columns).
+    """Columns that ``make`` computes from the text and ``uses``, behind ``keep`` (default: all columns).
 
     An input column whose name, in any case, is that of a new column is replaced by it.
     """
@@ -91,7 +98,7 @@ def with_columns(
             for part in bites(batch, text, size):
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in kept] + make(part), names)
 
-    wanted = [*kept, *([] if text in kept else [text])]
+    wanted = [*kept, *(c for c in dict.fromkeys((text, *uses)) if c not in kept)]
     return map_batches(df.select(*[f"`{c}`" for c in wanted]), run, schema)
 
 
@@ -108,6 +115,12 @@ def rows_from(
     return map_batches(df, run, schema)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of tables that nothing refers to any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The numbers start, start + 1, ... of each run, one run after another."""
     ends = np.cumsum(lengths)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import byte_bpe, quality_rules, token_counts
+from starloom.llm import byte_bpe, quality_rules, suffix_dedup, token_counts
 from starloom.llm.frames import table
 
 
@@ -40,6 +40,18 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = suffix_dedup.deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("removed_spans", F.lit(0).cast("bigint"), lambda n, s: n + s["stop"] - s["start"])
+    return done.select(
+        "doc_id",
+        F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint").alias("n_bytes"),
+        removed.alias("n_removed"),
+        F.size("removed_spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept_bytes", 256).alias("kept_sha256"),
+    )
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
