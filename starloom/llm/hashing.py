@@ -37,10 +37,12 @@ class Prefix:
     """Hashes of any ranges of one byte buffer."""
 
     def __init__(self, raw: np.ndarray, which: int = 0):
+        """``raw``: bytes, or 64-bit values of wider symbols."""
         self.which = which
         n = len(raw)
+        values = raw if raw.dtype == np.uint64 else BYTE_VALUES[which][raw]
         self.sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(BYTE_VALUES[which][raw] * powers(BASES[which], n), dtype=np.uint64, out=self.sums[1:])
+        np.cumsum(values * powers(BASES[which], n), dtype=np.uint64, out=self.sums[1:])
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """A hash of raw[start:end] for each pair; equal bytes have equal hashes wherever they stand."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import byte_bpe, near_dedup, quality_rules, suffix_dedup, token_counts
+from starloom.llm import byte_bpe, language_id, near_dedup, quality_rules, suffix_dedup, token_counts
 from starloom.llm.frames import table
 
 
@@ -45,6 +45,10 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "class_id", "class_size", "representative")
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = suffix_dedup.deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"))
     removed = F.aggregate("removed_spans", F.lit(0).cast("bigint"), lambda n, s: n + s["stop"] - s["start"])
