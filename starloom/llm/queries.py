@@ -5,10 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import byte_bpe, language_id, near_dedup, quality_rules, suffix_dedup, token_counts
+from starloom.llm import (
+    byte_bpe,
+    html_text,
+    language_id,
+    near_dedup,
+    quality_rules,
+    suffix_dedup,
+    token_counts,
+    warc,
+)
 from starloom.llm.frames import table
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.extract(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+    return found.withColumn("n_chars", F.length("text").cast("bigint"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.verdicts(table(spark, sf_dir, "documents"))
     return judged.select(
@@ -16,6 +30,17 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.round_trip(table(spark, sf_dir, "pages"), payloads=False)
+    return found.select(
+        warc.page_number(F.col("record_id")).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        warc.page_number(F.col("refers_to")).alias("refers_to"),
+    )
+
+
 #: Documents with more tokens are over the limit.
 TOKEN_LIMIT = 4096
 
