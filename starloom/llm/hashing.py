@@ -66,9 +66,16 @@ IS_SPACE = np.zeros(256, bool)
 IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 
-def words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+#: Bytes of plain words: ASCII letters and digits, and all bytes of other characters.
+IS_PLAIN = np.zeros(256, bool)
+IS_PLAIN[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
+
+
+def words(
+    raw: np.ndarray, offsets: np.ndarray, in_word: np.ndarray = ~IS_SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end of every word in the buffer, and the number of words before each text."""
-    ink = ~IS_SPACE[raw]
+    ink = in_word[raw]
     n = len(raw)
     if not n:
         empty = np.empty(0, np.int64)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from starloom.llm import (
     byte_bpe,
+    decontaminate,
     html_text,
     language_id,
     near_dedup,
@@ -18,6 +19,18 @@ from starloom.llm import (
 from starloom.llm.frames import table
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    found = decontaminate.with_leaks(docs.select("doc_id", "text"), benchmark, keep=["doc_id"])
+    return found.select("doc_id", F.explode("leaks").alias("leak")).select(
+        "doc_id",
+        "leak.item_id",
+        F.round("leak.cosine", 4).alias("cosine"),
+        "leak.lcs_share",
+        "leak.answer_share",
+    )
+
+
 def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = html_text.extract(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
     return found.withColumn("n_chars", F.length("text").cast("bigint"))
