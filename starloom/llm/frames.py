@@ -14,9 +14,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from starloom.session import scratch_path
+
 #: Texts are taken in bites of about so many bytes, so that a task's arrays stay small
 #: whatever the size of an Arrow batch. One text is never split here.
-BITE = 4 << 20
+BITE = 1 << 20
 
 Make = Callable[[pa.RecordBatch], list]
 
@@ -115,12 +117,56 @@ def rows_from(
     return map_batches(df, run, schema)
 
 
+class Scratch:
+    """Tables written to the shared folder for the steps of one operator, and deleted after them."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def write(self, df: DataFrame, label: str) -> DataFrame:
+        path = scratch_path(self.spark, label)
+        df.write.parquet(path)
+        self.paths.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def clear(self) -> None:
+        """Delete all tables; only for results that are written and do not read them any more."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        for path in self.paths:
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)
+        self.paths.clear()
+        release(self.spark)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of tables that nothing refers to any more."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 
 
+def key_blocks(batches: Iterator[pa.RecordBatch], key: str, size: int) -> Iterator[pa.RecordBatch]:
+    """Rows that come sorted by a number ``key``, in blocks of about ``size`` bytes that split no key."""
+    held: list[pa.RecordBatch] = []
+    weight = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        weight += batch.nbytes
+        if weight >= size:
+            block = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            keys = block.column(key).to_numpy(zero_copy_only=False)
+            cut = int(np.searchsorted(keys, keys[-1]))
+            if cut:
+                yield block.slice(0, cut)
+            held = [block.slice(cut)]
+            weight = held[0].nbytes
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The numbers start, start + 1, ... of each run, one run after another."""
     ends = np.cumsum(lengths)

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.llm import anchors, suffix_sort
-from starloom.llm.frames import BITE, buffer, map_batches, release, rows_from, utf8, with_columns
+from starloom.llm.frames import BITE, Scratch, buffer, key_blocks, map_batches, release, rows_from, utf8, with_columns
 from starloom.session import materialise
 
 LENGTH = 100
@@ -47,9 +47,11 @@ def _find(batch: pa.RecordBatch, length: int, gram: int) -> anchors.Anchors:
     return anchors.find(*buffer(utf8(batch.column("text"))), length, gram)
 
 
-def _occurrences(base: DataFrame, length: int, gram: int) -> DataFrame:
+def _occurrences(base: DataFrame, length: int, gram: int, scratch: Scratch) -> DataFrame:
     """Every anchor of every text whose string occurs more than once in the corpus."""
 
+    bits = length.bit_length()
+
     def strings(batch: pa.RecordBatch) -> pa.RecordBatch:
         values, counts = np.unique(_find(batch, length, gram).gram, return_counts=True)
         return pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(counts)], ["gram", "n"])
@@ -61,24 +63,35 @@ def _occurrences(base: DataFrame, length: int, gram: int) -> DataFrame:
             [
                 batch.column("doc_id").take(rows),
                 batch.column("text_key").take(rows),
-                *(pa.array(x.astype(np.int32)) for x in (found.at, found.span, found.place)),
+                # One number instead of three: this is the widest shuffle.
+                pa.array((found.at << 2 * bits) | (found.span << bits) | found.place),
                 *(pa.array(x.view(np.int64)) for x in (found.gram, found.hull)),
             ],
-            ["doc_id", "text_key", "at", "span", "place", "gram", "hull"],
+            ["doc_id", "text_key", "shape", "gram", "hull"],
         )
 
     counted = rows_from(base.select("text"), "text", "gram long, n long", strings)
-    repeated = materialise(
+    repeated = scratch.write(
         counted.groupBy("gram").agg(F.sum("n").alias("n")).where("n > 1").select("gram"), "repeated"
     )
     release(base.sparkSession)
     schema = T.StructType(
-        [base.schema["doc_id"], T.StructField("text_key", T.LongType())]
-        + [T.StructField(c, T.IntegerType()) for c in ("at", "span", "place")]
-        + [T.StructField(c, T.LongType()) for c in ("gram", "hull")]
+        [base.schema["doc_id"]] + [T.StructField(c, T.LongType()) for c in ("text_key", "shape", "gram", "hull")]
     )
-    found = materialise(
-        rows_from(base, "text", schema, places).join(repeated, "gram", "left_semi"), "occurrences"
+    found = rows_from(base, "text", schema, places).join(repeated, "gram", "left_semi")
+    mask = (1 << bits) - 1
+    shape = F.col("shape")
+    found = scratch.write(
+        found.select(
+            "doc_id",
+            "text_key",
+            F.shiftright(shape, 2 * bits).cast("int").alias("at"),
+            F.shiftright(shape, bits).bitwiseAND(F.lit(mask)).cast("int").alias("span"),
+            shape.bitwiseAND(F.lit(mask)).cast("int").alias("place"),
+            "gram",
+            "hull",
+        ),
+        "occurrences",
     )
     release(base.sparkSession)
     return found
@@ -171,41 +184,20 @@ def _binary(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return buffer(column.cast(pa.large_binary()))
 
 
-def _gram_blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """The rows, which come sorted by gram, in blocks of about ``size`` rows that split no gram."""
-    held: list[pa.RecordBatch] = []
-
-    def joined() -> pa.RecordBatch:
-        return pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        held.append(batch)
-        if sum(b.num_rows for b in held) >= size:
-            block = joined()
-            grams = block.column("gram").to_numpy(zero_copy_only=False)
-            cut = int(np.searchsorted(grams, grams[-1]))
-            if cut:
-                yield block.slice(0, cut)
-            held = [block.slice(cut)]
-    if held:
-        yield joined()
-
-
 def removed_windows(
-    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int = GROUP
+    docs: DataFrame, scratch: Scratch, length: int = LENGTH, gram: int = GRAM, group: int = GROUP
 ) -> DataFrame:
     """Runs of window starts that go, for ``docs`` with doc_id, text_key and text."""
-    found = _occurrences(docs, length, gram)
+    found = _occurrences(docs, length, gram, scratch)
     place = F.struct("doc_id", "text_key", "at")
-    classes = materialise(
+    classes = scratch.write(
         found.groupBy("gram", "hull").agg(
             F.min(place).alias("first"), F.max("span").alias("span"), F.max("place").alias("place"),
             F.count("*").alias("n"),
         ),
         "hulls",
     )
+    release(docs.sparkSession)
     copies = (
         found.select("gram", "hull", "doc_id", "text_key", "at", "span")
         .join(classes.where("n > 1").select("gram", "hull", "first"), ["gram", "hull"])
@@ -214,13 +206,13 @@ def removed_windows(
     )
     several = classes.groupBy("gram").agg(F.count("*").alias("kinds")).where("kinds > 1")
     wanted = classes.join(several, "gram").select("first.*", "span", "place", "gram", "kinds")
-    hulls = materialise(_with_hulls(docs, wanted, length), "hull-bytes")
+    hulls = scratch.write(_with_hulls(docs, wanted, length), "hull-bytes")
     release(docs.sparkSession)
 
     out = T.StructType([found.schema[c] for c in ("doc_id", "text_key", "at", "span")])
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in _gram_blocks(batches, max(group, 2_000)):
+        for block in key_blocks(batches, "gram", 4 << 20):
             yield later_windows(block, length)
 
     dealt = hulls.where(F.col("kinds") <= group).repartition("gram").sortWithinPartitions("gram")
@@ -271,13 +263,14 @@ def deduplicate(
     base = docs.select(
         F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("text_key"), F.col(text).alias("text")
     )
+    scratch = Scratch(docs.sparkSession)
     gone = materialise(
-        removed_windows(base, length, gram, group)
+        removed_windows(base, scratch, length, gram, group)
         .groupBy("doc_id", "text_key")
         .agg(F.collect_list(F.struct("at", "span")).alias("__gone")),
         "gone",
     )
-    release(docs.sparkSession)
+    scratch.clear()
     names = [c for c in docs.columns if c.lower() not in ("removed_spans", "kept_bytes")]
     d, m = docs.alias("d"), gone.alias("m")
     same = F.col(f"d.`{doc_id}`").eqNullSafe(F.col("m.doc_id")) & (
@@ -309,3 +302,37 @@ def deduplicate(
 
     fields = [T.StructField("removed_spans", SPANS), T.StructField("kept_bytes", T.BinaryType())]
     return with_columns(joined, text, fields, make, names, BITE, ("__gone",))
+
+
+def _whole_characters(raw: bytes, start: int, stop: int) -> tuple[int, int]:
+    """The span without the characters it holds only in part."""
+    while start < stop and raw[start] & 0xC0 == 0x80:
+        start += 1
+    while stop > start and stop < len(raw) and raw[stop] & 0xC0 == 0x80:
+        stop -= 1
+    return start, stop
+
+
+def apply(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
+    """``docs``, all rows and columns, with the removed spans cut out of the text, whole characters only.
+
+    See :func:`deduplicate` for nulls, empty and short texts and repeated rows; a null text stays null.
+    """
+    spans = deduplicate(docs, doc_id, text, length).drop("kept_bytes")
+
+    def make(batch: pa.RecordBatch) -> list:
+        out = []
+        for value, removed in zip(batch.column(text).to_pylist(), batch.column("removed_spans").to_pylist()):
+            if removed:
+                raw = value.encode()
+                edges = [0, *(x for s in removed for x in _whole_characters(raw, s["start"], s["stop"])), len(raw)]
+                value = b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2])).decode()
+            out.append(value)
+        return [pa.array(out, pa.string())]
+
+    names = [c for c in docs.columns if c.lower() not in ("removed_spans", "kept_bytes")]
+    cut = with_columns(
+        spans, text, [T.StructField("__text", T.StringType())], make, [c for c in names if c != text],
+        uses=("removed_spans",),
+    )
+    return cut.select(*[F.col("__text").alias(text) if c == text else F.col(f"`{c}`") for c in names])
