@@ -7,14 +7,16 @@ does not depend on the corpus.
 
 1. Equal texts are one class. Each text gets ``BANDS`` keys of ``ROWS`` samples each; two texts of
    weighted Jaccard similarity s agree in a sample with probability s.
-2. Within a bucket of texts with one key, no pairs are listed: all members are compared with one
-   leader by their exact weighted Jaccard similarity, and linked to it at ``SIMILARITY`` or more.
-   One minus that similarity is a metric, so members that are closer to the leader than the
-   nearest failing member by more than the threshold cannot be linked to one that failed, and
-   leave; the others choose the next leader. After ``ROUNDS`` rounds what is left of a bucket is
-   split by rare shingles: similar texts share one of the rarest shingles that make up more than
-   1 - ``SIMILARITY`` of their weight. Rounds go on until no bucket has two members, so every pair of a
-   bucket is compared or proven to be apart or connected anyway.
+2. Texts that share a key are compared by their exact weighted Jaccard similarity, and linked at
+   ``SIMILARITY`` or more. A task compares a bucket as a whole, from the shingles that two of its members
+   share, and returns links that connect what is similar, not pairs. A bucket with more than
+   ``BLOCK_TEXTS`` texts or ``BLOCK_BYTES`` bytes is compared in pairs of blocks. One with more than
+   ``LARGE`` texts goes first through ``ROUNDS`` rounds of a leader: all members are compared with it,
+   spread over tasks. One minus the similarity is a metric, so members that are closer to the leader
+   than the nearest failing member by more than the threshold cannot be linked to one that failed,
+   and leave. What is left of it is split by rare shingles: similar texts share one of the rarest
+   shingles that make up more than 1 - ``SIMILARITY`` of their weight. So every pair of a bucket is
+   compared, or proven to be apart or connected anyway.
 3. Links make classes by minimum labels and pointer jumping.
 """
 
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.llm import hashing
-from starloom.llm.frames import bites, buffer, map_batches, release, utf8, with_columns
+from starloom.llm.frames import Scratch, bites, buffer, key_blocks, map_batches, release, utf8, with_columns
 from starloom.session import materialise
 
 SHINGLE = 5
@@ -37,6 +39,9 @@ SIMILARITY = 0.8
 BANDS = 6
 ROWS = 2
 ROUNDS = 2
+BLOCK_TEXTS = 1024
+BLOCK_BYTES = 8 << 20
+LARGE = 8 * BLOCK_TEXTS
 DF_BUCKETS = 1 << 17
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -198,11 +203,11 @@ class _Compare:
         )
 
 
-def _round(buckets: DataFrame, compare: _Compare, label: str) -> tuple[DataFrame, DataFrame]:
+def _round(buckets: DataFrame, compare: _Compare, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """Links to the leaders of the buckets (bucket, text_key), and what is left of the buckets."""
     leaders = buckets.groupBy("bucket").agg(F.min("text_key").alias("leader"))
     members = buckets.join(leaders, "bucket").where("text_key <> leader").withColumnRenamed("text_key", "member")
-    scored = materialise(compare(members.select("member", "leader").distinct()), f"{label}-scored")
+    scored = scratch.write(compare(members.select("member", "leader").distinct()), "scored")
     links = scored.where(F.col("similarity") >= SIMILARITY).select("member", "leader")
     seen = members.join(scored, ["member", "leader"])
     nearest = (
@@ -212,38 +217,128 @@ def _round(buckets: DataFrame, compare: _Compare, label: str) -> tuple[DataFrame
         # the distance to the leader is within the threshold of the nearest failing member's
         (1 - F.col("similarity")) >= (1 - F.col("nearest")) - (1 - SIMILARITY) - 1e-9
     )
-    left = materialise(left.select("bucket", F.col("member").alias("text_key")), f"{label}-left")
+    left = scratch.write(left.select("bucket", F.col("member").alias("text_key")), "left")
     # A bucket of one member is done.
     several = left.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
     return links, left.join(several, "bucket", "left_semi")
 
 
-def find_links(signatures: DataFrame, base: DataFrame, idf) -> DataFrame:
+def connect(row: np.ndarray, key: np.ndarray, count: np.ndarray, idf: np.ndarray, texts: int) -> np.ndarray:
+    """For each text of a group the first text it is connected to by similarities of the threshold or more.
+
+    The shingles (row, key, count) are sorted by row and key.
+    """
+    if texts < 2:
+        return np.arange(texts)
+    weight = idf[_bucket(key, len(idf))].astype(np.float32)
+    total = np.bincount(row, weight * count, texts)
+    # A shingle that occurs n times is n elements, so that minima of counts become common elements.
+    level = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+    row, weight = np.repeat(row, count), np.repeat(weight, count)
+    element = hashing.mix(np.repeat(key, count) + level.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    _, column, shared = np.unique(element, return_inverse=True, return_counts=True)
+    useful = shared[column] > 1
+    _, column = np.unique(column[useful], return_inverse=True)
+    row, weight = row[useful], np.sqrt(weight[useful])
+    common = np.zeros((texts, texts), np.float32)
+    order = np.argsort(column, kind="stable")
+    row, weight, column = row[order], weight[order], column[order]
+    width = 4096
+    for start in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        a, b = np.searchsorted(column, [start, start + width])
+        part = np.zeros((texts, min(width, int(column[-1]) + 1 - start)), np.float32)
+        part[row[a:b], column[a:b] - start] = weight[a:b]
+        common += part @ part.T
+    linked = common >= SIMILARITY * (total[:, None] + total[None, :] - common) - 1e-4 * np.maximum(total, 1)[:, None]
+    parent = list(range(texts))
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for x, y in zip(*(side.tolist() for side in np.nonzero(np.triu(linked, 1)))):
+        x, y = sorted((root(x), root(y)))
+        parent[y] = x
+    return np.array([root(x) for x in range(texts)])
+
+
+def _compare_buckets(buckets: DataFrame, texts: DataFrame, idf) -> DataFrame:
+    """Links (member, leader) inside buckets (bucket, text_key), each compared as a whole or in pairs of blocks."""
+    sized = buckets.join(texts.select("text_key", F.octet_length("text").alias("bytes")), "text_key")
+    # Buckets with the same members are compared once.
+    each = sized.groupBy("bucket").agg(
+        F.count("*").alias("n"), F.sum("bytes").alias("bytes"), F.bit_xor(F.xxhash64("text_key")).alias("members")
+    )
+    once = each.where("n > 1").groupBy("n", "bytes", "members").agg(F.min("bucket").alias("bucket"))
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK_TEXTS), F.ceil(F.col("bytes") / BLOCK_BYTES), F.lit(1))
+    blocks = F.least(blocks, F.col("n")).cast("int")
+    chosen = buckets.join(once.select("bucket", blocks.alias("blocks")), "bucket")
+    own = F.pmod(F.xxhash64("text_key"), F.col("blocks")).cast("int")
+    other = F.explode(
+        F.when(F.col("blocks") == 1, F.array(F.lit(0))).otherwise(
+            F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: b != F.col("block"))
+        )
+    )
+    dealt = (
+        chosen.withColumn("block", own)
+        .select("bucket", "text_key", "block", other.alias("other"))
+        .select(
+            F.xxhash64("bucket", F.least("block", "other"), F.greatest("block", "other")).alias("gram"), "text_key"
+        )
+        .join(texts, "text_key")
+        .repartition("gram")
+        .sortWithinPartitions("gram", "text_key")
+    )
+    schema = T.StructType([T.StructField(c, texts.schema["text_key"].dataType) for c in ("member", "leader")])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in key_blocks(batches, "gram", BLOCK_BYTES):
+            gram = block.column("gram").to_numpy(zero_copy_only=False)
+            heads = [0, *(np.flatnonzero(gram[1:] != gram[:-1]) + 1).tolist(), len(gram)]
+            row, key, count = shingles(utf8(block.column("text")))
+            bounds = np.searchsorted(row, heads)
+            member, leader = [], []
+            for a, b, s, e in zip(heads, heads[1:], bounds, bounds[1:]):
+                first = connect(row[s:e] - a, key[s:e], count[s:e], idf.value, b - a)
+                moved = np.flatnonzero(first != np.arange(b - a))
+                member.append(moved + a)
+                leader.append(first[moved] + a)
+            keys = block.column("text_key")
+            yield pa.RecordBatch.from_arrays(
+                [keys.take(pa.array(np.concatenate(x))) for x in (member, leader)], ["member", "leader"]
+            )
+
+    return map_batches(dealt, run, schema)
+
+
+def find_links(signatures: DataFrame, base: DataFrame, idf, scratch: Scratch, large: int = LARGE) -> DataFrame:
     """Linked pairs (member, leader) of text keys, enough to connect every class."""
-    spark = signatures.sparkSession
     keyed = signatures.select("text_key", F.explode("keys").alias("bucket"))
-    shared = keyed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    buckets = materialise(keyed.join(shared, "bucket", "left_semi"), "buckets")
+    shared = keyed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    buckets = scratch.write(keyed.join(shared, "bucket"), "buckets")
     # One row of each text that shares a bucket; equal rows cost time but change nothing.
     wanted = signatures.join(buckets, "text_key", "left_semi").select(
         F.col("text_key").alias("key"), F.col("doc_id").alias("first")
     )
     same_row = (F.col("text_key") == F.col("key")) & F.col("doc_id").eqNullSafe(F.col("first"))
-    chosen = materialise(base.join(wanted, same_row).select("text_key", "text"), "candidate-texts")
-    release(spark)
+    chosen = scratch.write(base.join(wanted, same_row).select("text_key", "text"), "candidate-texts")
+    release(base.sparkSession)
     compare = _Compare(chosen, idf)
     links = []
+    small, rest = (buckets.where(x).select("bucket", "text_key") for x in (F.col("n") <= large, F.col("n") > large))
     for number in range(ROUNDS):
-        found, buckets = _round(buckets, compare, f"round-{number}")
+        if rest.isEmpty():
+            break
+        found, rest = _round(rest, compare, scratch)
         links.append(found)
-    buckets = materialise(buckets, "rest")
-    if not buckets.isEmpty():
-        buckets = materialise(_split(buckets, chosen, idf), "split")
-        while not buckets.isEmpty():
-            found, buckets = _round(buckets, compare, "split-round")
-            links.append(found)
-            buckets = materialise(buckets, "split-rest")
-    release(spark)
+        rest = scratch.write(rest, "rest")
+    else:
+        if not rest.isEmpty():
+            rest = scratch.write(_split(rest, chosen, idf), "split")
+        small = small.unionByName(rest)
+    links.append(scratch.write(_compare_buckets(small, chosen, idf), "links"))
     every = links[0]
     for more in links[1:]:
         every = every.unionByName(more)
@@ -270,13 +365,13 @@ def _split(buckets: DataFrame, texts: DataFrame, idf) -> DataFrame:
     return finer.join(several, "bucket", "left_semi")
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """Label (smallest key of the component) of every key in ``links`` (member, leader)."""
-    edges = materialise(
+    edges = scratch.write(
         links.select(F.col("member").alias("a"), F.col("leader").alias("b")).union(links.select("leader", "member")),
         "edges",
     )
-    labels = materialise(edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b")).select(
+    labels = scratch.write(edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("b")).select(
         "node", F.least("node", "b").alias("label")), "labels")
     while True:
         heard = (
@@ -286,7 +381,7 @@ def components(links: DataFrame) -> DataFrame:
         )
         lower = labels.join(heard, "node").select("node", "label", F.least("label", "heard").alias("next"))
         jump = labels.select(F.col("node").alias("next"), F.col("label").alias("far"))
-        step = materialise(
+        step = scratch.write(
             lower.join(jump, "next").select(
                 "node", F.least("next", "far").alias("label"), (F.least("next", "far") < F.col("label")).alias("moved")
             ),
@@ -297,7 +392,7 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", large: int = LARGE) -> DataFrame:
     """One row per row of ``docs``: doc_id, text_key, class_id, class_size, representative.
 
     ``class_id`` is the smallest id of the class (null if all its ids are null, which come last).
@@ -313,6 +408,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     )
     frequencies, documents = document_frequencies(base, "text")
     idf = spark.sparkContext.broadcast(inverse(frequencies, documents))
+    scratch = Scratch(spark)
     signed = materialise(
         with_columns(
             base,
@@ -323,19 +419,20 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
         ),
         "signatures",
     )
-    signatures = materialise(
+    signatures = scratch.write(
         signed.groupBy("text_key").agg(
             F.min("doc_id").alias("doc_id"), F.any_value("keys").alias("keys"), F.count("*").alias("copies")
         ),
         "texts",
     )
-    labels = components(find_links(signatures, base, idf))
+    labels = components(find_links(signatures, base, idf, scratch, large), scratch)
     labelled = materialise(
         signatures.join(labels, signatures.text_key == labels.node, "left").select(
             "text_key", "doc_id", "copies", F.coalesce("label", "text_key").alias("label")
         ),
         "labelled",
     )
+    scratch.clear()
     lead = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key"))
     sizes = labelled.groupBy("label").agg(lead.alias("lead"), F.sum("copies").alias("class_size"))
     named = labelled.join(sizes, "label").select(
