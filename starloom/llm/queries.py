@@ -11,6 +11,7 @@ from starloom.llm import (
     html_text,
     language_id,
     near_dedup,
+    quality_classifier,
     quality_rules,
     suffix_dedup,
     token_counts,
@@ -36,6 +37,10 @@ def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("bigint"))
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.verdicts(table(spark, sf_dir, "documents"))
     return judged.select(
