@@ -14,7 +14,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
 from starloom.functions.scoring import RfmBands  # noqa: E402
-from starloom.operators.paging import page  # noqa: E402
+from starloom.operators.paging import page_after  # noqa: E402
 from starloom.plans import quality, warehouse  # noqa: E402
 from starloom.plans.reports import catalog, customers, inventory, products, sales, traffic  # noqa: E402
 from starloom.plans.star import MODELS, Star  # noqa: E402
@@ -68,8 +68,16 @@ def _preview(table: str) -> Callable[[Star], DataFrame]:
 
 def _paged(star: Star) -> DataFrame:
     wanted = star.staged("products", ["product_id", "product_name", "unit_price"])
-    third = page(wanted, ["product_name", "product_id"], number=3, size=25)
-    return third.rows.withColumns({"page": F.lit(third.number), "total_rows": F.lit(third.total_rows).cast("bigint")})
+    order, last = ["product_name", "product_id"], None
+    third = wanted.limit(0)
+    for number in range(1, 4):  # from the last row of each page to the next
+        third = page_after(wanted, order, last, 25)
+        rows = third.select(*order).collect() if number < 3 else []
+        if number < 3 and len(rows) < 25:
+            third = wanted.limit(0)
+            break
+        last = list(rows[-1]) if rows else None
+    return third.withColumns({"page": F.lit(3), "total_rows": F.lit(wanted.count()).cast("bigint")})
 
 
 def _load_audit(star: Star) -> DataFrame:
@@ -94,8 +102,15 @@ def _exported(star: Star) -> DataFrame:
     return copies[0].unionByName(copies[1])
 
 
+_warehouses: dict[tuple[str, str], warehouse.Warehouse] = {}
+
+
 def _built(star: Star) -> warehouse.Warehouse:
-    return warehouse.build(star, scratch_path(star.spark, "warehouse"))[0]
+    """The warehouse of the folder, built once per session."""
+    key = (star.spark.sparkContext.applicationId, star.raw.folder)
+    if key not in _warehouses:
+        _warehouses[key] = warehouse.build(star, scratch_path(star.spark, "warehouse"))[0]
+    return _warehouses[key]
 
 
 def _warehouse_counts(star: Star) -> DataFrame:
@@ -171,9 +186,9 @@ REPORTS: dict[str, Callable[[Star], DataFrame]] = {
     "preview_dim_date": _preview("dim_date"),
     "paged_query": _paged,
     # data quality
-    "dq_unique": quality.unique,
-    "dq_not_null": quality.not_null,
-    "dq_relationships": quality.relationships,
+    "dq_unique": lambda star: quality.unique(_built(star)),
+    "dq_not_null": lambda star: quality.not_null(_built(star)),
+    "dq_relationships": lambda star: quality.relationships(_built(star)),
     "dq_accepted_values": quality.accepted_values,
     "dq_net_amount": quality.net_amount_not_negative,
     "dq_inventory_available": quality.inventory_available,
@@ -190,12 +205,18 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["monthly_sales"](spark, "/root/testdata/sf0.001")
 
 
-def queries() -> dict[str, Query]:
+def retail_queries() -> dict[str, Query]:
     # dim_time reads no table, so it has no query of its own; the hourly reports use it.
     models = [*(f"stg_{table}" for table in TABLES), *(name for name in MODELS if name != "dim_time")]
     return {
         **{name: _on_star(_model(name)) for name in models},
         **{name: _on_star(report) for name, report in REPORTS.items()},
+    }
+
+
+def queries() -> dict[str, Query]:
+    return {
+        **retail_queries(),
         **(text_queries.queries() if text_queries else {}),
         **({"pipeline": corpus_pipeline.run} if corpus_pipeline else {}),
     }

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import re
 
-from starloom.functions.calendar import HOLIDAYS
-from starloom.functions.labels import REGIONS
+from oracle.fixed import HOLIDAYS, REGIONS
 
 AS_OF = "DATE '2001-08-02'"
 RECENCY, FREQUENCY, MONETARY = (30, 90, 180, 365), (20, 10, 5, 2), (2_400_000, 1_900_000, 1_500_000, 1_000_000)
@@ -71,8 +70,9 @@ LAYERS: dict[str, str] = {
                CASE WHEN o_orderkey % 7 = 0 THEN 'C' || (o_custkey // 15) END AS coupon_code
         FROM orders""",
     "raw_order_items": """
-        SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
-                   l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS order_item_id,
+        SELECT (l_orderkey * 10 + l_linenumber) * 100000
+                   + row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity,
+                       l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS order_item_id,
                l_orderkey AS order_id, l_partkey AS product_id, l_quantity::BIGINT AS quantity,
                ((floor(l_extendedprice * 100 + 0.5)::BIGINT // l_quantity::BIGINT)::DECIMAL(12,0) * 0.01)::DECIMAL(12,2) AS unit_price,
                floor(l_discount * 100 + 0.5)::DECIMAL(5,2) AS discount
@@ -90,11 +90,10 @@ LAYERS: dict[str, str] = {
                CASE WHEN event_id % 13 <> 0 THEN floor(value)::BIGINT END AS duration_seconds
         FROM events""",
     "stock_days": """
-        SELECT p_partkey AS p, d::DATE AS day, dayofyear(d)::BIGINT AS n
-        FROM part, generate_series(DATE '1998-01-01', DATE '1998-12-31', INTERVAL 1 DAY) AS s(d)
-        WHERE p_partkey % 20 = 0""",
+        SELECT l_partkey AS p, l_shipdate::DATE AS day, dayofyear(l_shipdate::DATE)::BIGINT AS n
+        FROM lineitem GROUP BY ALL""",
     "raw_inventory_snapshots": """
-        SELECT p * 1000 + n AS snapshot_id, p AS product_id, day AS snapshot_date,
+        SELECT p * 100000 + date_diff('day', DATE '1970-01-01', day) AS snapshot_id, p AS product_id, day AS snapshot_date,
                (p * 37 + n * 13) % 200 AS quantity_on_hand,
                least((p * 37 + n * 13) % 200, (p + n) % 40) AS quantity_reserved,
                20 + p % 30 AS reorder_point, 3 + p % 12 AS lead_time_days
@@ -174,8 +173,8 @@ LAYERS: dict[str, str] = {
     "int_product_abc": """
         SELECT product_id, total_revenue, revenue_rank, cumulative_revenue,
                cumulative_revenue::DOUBLE / nullif(everything::DOUBLE, 0) AS cumulative_pct,
-               CASE WHEN cumulative_revenue::DOUBLE / nullif(everything::DOUBLE, 0) <= 0.6 THEN 'A'
-                    WHEN cumulative_revenue::DOUBLE / nullif(everything::DOUBLE, 0) <= 0.85 THEN 'B' ELSE 'C' END AS abc_rank
+               CASE WHEN cumulative_revenue * 100 <= everything * 60 THEN 'A'
+                    WHEN cumulative_revenue * 100 <= everything * 85 THEN 'B' ELSE 'C' END AS abc_rank
         FROM revenue_order""",
     "int_page_view_sessions": """
         SELECT session_id, max(customer_id) AS customer_id, min(referrer_type) AS referrer_type,

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
+from oracle.fixed import COLUMNS, FOREIGN_KEYS, KEYS, NOT_NULL, REFERENCES, REQUIRED, UNIQUE_KEYS
 from oracle.layers import LAYERS, statement
-from starloom.plans.quality import KEYS, REFERENCES, not_null_columns
-from starloom.schemas import FOREIGN_KEYS, TABLES, UNIQUE_KEYS, required_columns
 
 MODELS = [name for name in LAYERS if name.startswith(("stg_", "int_", "dim_", "fact_")) and name != "dim_time"]
 MONEY = {
@@ -220,10 +219,10 @@ REPORTS: dict[str, str] = {
         SELECT full_date, product_name, quantity_on_hand, quantity_available, days_of_supply
         FROM stock WHERE product_key = 20 ORDER BY full_date LIMIT 15""",
     # catalog, load, export
-    "raw_row_counts": " UNION ALL ".join(_count(f"raw_{name}", table_name=name) for name in TABLES),
+    "raw_row_counts": " UNION ALL ".join(_count(f"raw_{name}", table_name=name) for name in COLUMNS),
     "load_audit": " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, count(*) AS extracted, count(*) AS loaded, true AS succeeded FROM raw_{name}"
-        for name in TABLES
+        for name in COLUMNS
     ),
     "table_row_counts": " UNION ALL ".join(
         _count(name, table_name=name, type="fact" if name.startswith("fact_") else "dimension")
@@ -262,7 +261,7 @@ REPORTS: dict[str, str] = {
     ),
     "dq_not_null": " UNION ALL ".join(
         f"SELECT '{table}' AS table_name, '{column}' AS column_name, count(*) - count({column}) AS null_rows FROM {table}"
-        for table, columns in not_null_columns().items() for column in columns
+        for table, columns in NOT_NULL.items() for column in columns
     ),
     "dq_relationships": " UNION ALL ".join(
         f"SELECT '{fact}' AS table_name, '{key}' AS column_name, {key}::VARCHAR AS value, count(*) AS occurrences "
@@ -305,9 +304,9 @@ REPORTS: dict[str, str] = {
         ]
     ),
     "schema_conformance": " UNION ALL ".join(
-        f"SELECT '{table}' AS table_name, '{f.name}' AS column_name, {f.name in required_columns(table)} AS required, "
-        f"count(*) - count({f.name}) AS null_rows FROM raw_{table}"
-        for table, schema in TABLES.items() for f in schema
+        f"SELECT '{table}' AS table_name, '{column}' AS column_name, {column in REQUIRED[table]} AS required, "
+        f"count(*) - count({column}) AS null_rows FROM raw_{table}"
+        for table, columns in COLUMNS.items() for column in columns
     ),
 }
 
@@ -326,7 +325,7 @@ def _summary() -> str:
     ]
     parts += [
         f"SELECT 'not_null', '{table}', '{column}', count(*) - count({column}) FROM {table}"
-        for table, columns in not_null_columns().items() for column in columns
+        for table, columns in NOT_NULL.items() for column in columns
     ]
     parts += [
         f"SELECT 'relationships', '{fact}', '{key}', count(*) FROM {fact} WHERE {key} NOT IN (SELECT {key} FROM {dimension})"

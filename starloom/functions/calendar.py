@@ -10,21 +10,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Public holidays 2024-2026.
-HOLIDAYS = """
-2024-01-01 2024-01-08 2024-02-11 2024-02-12 2024-02-23 2024-03-20 2024-04-29 2024-05-03
-2024-05-04 2024-05-05 2024-05-06 2024-07-15 2024-08-11 2024-08-12 2024-09-16 2024-09-22
-2024-09-23 2024-10-14 2024-11-03 2024-11-04 2024-11-23
-2025-01-01 2025-01-13 2025-02-11 2025-02-23 2025-02-24 2025-03-20 2025-04-29 2025-05-03
-2025-05-04 2025-05-05 2025-05-06 2025-07-21 2025-08-11 2025-09-15 2025-09-23 2025-10-13
-2025-11-03 2025-11-23 2025-11-24
-2026-01-01 2026-01-12 2026-02-11 2026-02-23 2026-03-20 2026-04-29 2026-05-03 2026-05-04
-2026-05-05 2026-05-06 2026-07-20 2026-08-11 2026-09-21 2026-09-22 2026-09-23 2026-10-12
-2026-11-03 2026-11-23
-""".split()
+HOLIDAYS = [
+    "2024-01-01", "2024-01-08", "2024-02-11", "2024-02-12", "2024-02-23", "2024-03-20", "2024-04-29", "2024-05-03",
+    "2024-05-04", "2024-05-05", "2024-05-06", "2024-07-15", "2024-08-11", "2024-08-12", "2024-09-16", "2024-09-22",
+    "2024-09-23", "2024-10-14", "2024-11-03", "2024-11-04", "2024-11-23",
+    "2025-01-01", "2025-01-13", "2025-02-11", "2025-02-23", "2025-02-24", "2025-03-20", "2025-04-29", "2025-05-03",
+    "2025-05-04", "2025-05-05", "2025-05-06", "2025-07-21", "2025-08-11", "2025-09-15", "2025-09-23", "2025-10-13",
+    "2025-11-03", "2025-11-23", "2025-11-24",
+    "2026-01-01", "2026-01-12", "2026-02-11", "2026-02-23", "2026-03-20", "2026-04-29", "2026-05-03", "2026-05-04",
+    "2026-05-05", "2026-05-06", "2026-07-20", "2026-08-11", "2026-09-21", "2026-09-22", "2026-09-23", "2026-10-12",
+    "2026-11-03", "2026-11-23",
+]
 
 FISCAL_START_MONTH = 4
 
-
 _HOLIDAY_LIST = ", ".join(f"DATE'{day}'" for day in HOLIDAYS)
 _TO_FISCAL = 1 - FISCAL_START_MONTH
 
@@ -58,6 +57,11 @@ def date_key(day: str) -> Column:
     return F.expr(f"CAST(year({day}) * 10000 + month({day}) * 100 + day({day}) AS BIGINT)")
 
 
+def day_of(key: str) -> Column:
+    """The date behind a date key."""
+    return F.expr(f"make_date(CAST({key} div 10000 AS INT), CAST({key} div 100 % 100 AS INT), CAST({key} % 100 AS INT))")
+
+
 def with_calendar(df: DataFrame, day: str, *names: str) -> DataFrame:
     """Add the named calendar columns derived from the date column ``day``."""
     return df.select("*", *[attribute(name, day) for name in names])

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -49,8 +48,8 @@ CHAMPION, LOYAL, PROMISING, AT_RISK, DORMANT, OTHER = (
 NEVER_BOUGHT = "未購入"
 SEGMENTS = (CHAMPION, LOYAL, PROMISING, AT_RISK, DORMANT, OTHER, NEVER_BOUGHT)
 
-# Product ranks with the cumulative share each one ends at.
-ABC_CUTS: tuple[tuple[float, str], ...] = ((0.6, "A"), (0.85, "B"))
+# Product ranks with the cumulative share, in percent, each one ends at.
+ABC_CUTS: tuple[tuple[int, str], ...] = ((60, "A"), (85, "B"))
 LOWEST_RANK = "C"
 ABC_RANKS = ("A", "B", "C")
 
@@ -61,8 +60,7 @@ DASHBOARD_STAGES = ("home", "category", "product", "cart", "complete")
 
 def lookup(key: Column, mapping: Mapping[str, str], default: str) -> Column:
     """Map a small vocabulary with one literal map, so no join is planned."""
-    text = json.dumps(mapping, ensure_ascii=False)
-    known = F.from_json(F.lit(text), "map<string,string>")
+    known = F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
     return F.coalesce(F.try_element_at(known, key), F.lit(default))
 
 
@@ -91,5 +89,6 @@ def status_label(status: Column) -> Column:
     return lookup(status, STATUS_LABELS, UNKNOWN)
 
 
-def abc_rank(cumulative_share: Column) -> Column:
-    return first_match([(cumulative_share <= cut, F.lit(rank)) for cut, rank in ABC_CUTS], F.lit(LOWEST_RANK))
+def abc_rank(cumulative: Column, total: Column) -> Column:
+    """Compared in exact decimals, so that a share on the cut falls on the right side of it."""
+    return first_match([(cumulative * 100 <= total * cut, F.lit(rank)) for cut, rank in ABC_CUTS], F.lit(LOWEST_RANK))

@@ -38,15 +38,11 @@ def rfm_scores(recency: Column, frequency: Column, monetary: Column, bands: RfmB
 
 def rfm_segment(r: Column, f: Column, m: Column) -> Column:
     """Rules are tried top to bottom; the order is part of the definition."""
-
-    def each_at_least(score: int, *parts: Column) -> Column:
-        return F.least(*parts) >= score if len(parts) > 1 else parts[0] >= score
-
-    rules = [
-        (each_at_least(4, r, f, m), labels.CHAMPION),
-        (each_at_least(3, r, f, m), labels.LOYAL),
+    rules = [  # fixed values
+        ((r >= 4) & (f >= 4) & (m >= 4), labels.CHAMPION),
+        ((r >= 3) & (f >= 3) & (m >= 3), labels.LOYAL),
         ((r >= 4) & (f <= 2), labels.PROMISING),
-        ((r <= 2) & each_at_least(3, f, m), labels.AT_RISK),
+        ((r <= 2) & (f >= 3) & (m >= 3), labels.AT_RISK),
         ((r <= 2) & (f <= 2), labels.DORMANT),
     ]
     return labels.first_match([(rule, F.lit(name)) for rule, name in rules], F.lit(labels.OTHER))

@@ -5,32 +5,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.session import materialise
+
 SMALL_ROWS = 10_000
-_SALTS = 1024
 
 
 def small_or_plain(dimension: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Compute a dimension once and mark it for broadcast if it has at most ``max_rows`` rows.
+    """Write a dimension once and mark it for broadcast if it has at most ``max_rows`` rows.
 
     Used for vocabularies (statuses, categories) whose size estimate is that of the big table
-    they were distilled from; as a local relation their true size is known to the optimizer.
-    Above the bound the dimension is returned as it came, and the join is planned as a shuffle.
+    they were distilled from. This runs a job when the plan is made. Either way the plan goes on
+    from the written rows; above the bound the optimizer chooses the join from their true size.
     """
-    rows = dimension.limit(max_rows + 1).toArrow()
-    if rows.num_rows > max_rows:
-        return dimension
-    return F.broadcast(dimension.sparkSession.createDataFrame(rows, dimension.schema))
+    written = materialise(dimension, "vocabulary")
+    return F.broadcast(written) if written.count() <= max_rows else written
 
 
 def left_key_lookup(facts: DataFrame, dimension: DataFrame, column: str, key: str, spread: str) -> DataFrame:
     """Add ``key``: the fact's ``column`` where the dimension knows it, else NULL.
 
     Rows without a value never match, but a plain left join would hash all of them to one
-    task. They get a salt taken from the unique column ``spread``, which keeps them apart;
+    task. They get the hash of the unique column ``spread`` as a salt, which keeps them apart;
     known values have salt 0, the only salt of the dimension. That zero is computed from the
     key: as a literal the optimizer would move it out of the join keys, and out of the hash.
     """
-    salt = F.when(F.col(column).isNull(), 1 + F.pmod(F.col(spread), F.lit(_SALTS))).otherwise(F.lit(0))
+    salt = F.when(F.col(column).isNull(), F.xxhash64(spread)).otherwise(F.lit(0))
     known = dimension.select(
         F.col(key).alias("_value"), F.col(key).alias("_key"), F.pmod(F.col(key), F.lit(1)).cast("bigint").alias("_s")
     )

@@ -60,39 +60,55 @@ def order_lines(items: DataFrame, orders: DataFrame) -> DataFrame:
     return with_amounts(items).join(orders, "order_id")
 
 
-def order_rollup(items: DataFrame, orders: DataFrame, products: DataFrame | None = None) -> DataFrame:
+def flagged_orders(orders: DataFrame, customers: DataFrame) -> DataFrame:
+    """Orders with their hour, and ``is_sale``: whether their lines belong into the sales fact.
+
+    That takes a known customer, a date and a status.
+    """
+    known = customers.select(F.col("customer_id").alias("_known"))
+    has_keys = F.col("_known").isNotNull() & F.col("order_date").isNotNull() & F.col("status").isNotNull()
+    return (
+        orders.join(known, F.col("customer_id") == F.col("_known"), "left")
+        .withColumns({"is_sale": has_keys, "time_key": F.hour("order_timestamp").cast("bigint")})
+        .drop("_known")
+    )
+
+
+def order_rollup(items: DataFrame, orders: DataFrame, products: DataFrame) -> DataFrame:
     """One row per order that has lines: order attributes and summed measures.
 
+    ``line_count``, ``quantity``, ``net_amount`` and ``gross_profit`` are those of the sales fact,
+    so they leave out lines of unknown products; ``all_net`` and ``all_line_count`` are over all lines.
     Lines are summed before they meet the orders, so an order with very many lines reaches the
-    join as one row per map task. With ``products`` the profit is included.
+    join as one row per map task.
     """
-    lines = with_amounts(items)
-    profit = F.lit(None).cast("decimal(38,6)")
-    if products is not None:
-        lines = lines.join(products.select("product_id", "cost_price"), "product_id")
-        cost = as_decimal(F.col("quantity")) * F.col("cost_price")
-        profit = F.sum(F.col("net_amount") - cost)
+    costs = products.select(F.col("product_id").alias("_known"), "cost_price")
+    lines = with_amounts(items).join(costs, F.col("product_id") == F.col("_known"), "left")
+    sold = F.col("_known").isNotNull()
+    cost = as_decimal(F.col("quantity")) * F.col("cost_price")
     totals = lines.groupBy("order_id").agg(
-        F.count(F.lit(1)).alias("line_count"),
-        F.sum("quantity").alias("quantity"),
-        F.sum("net_amount").alias("net_amount"),
-        profit.alias("gross_profit"),
+        F.count_if(sold).alias("line_count"),
+        F.sum(F.when(sold, F.col("quantity"))).alias("quantity"),
+        F.sum(F.when(sold, F.col("net_amount"))).alias("net_amount"),
+        F.sum(F.col("net_amount") - cost).alias("gross_profit"),
+        F.count(F.lit(1)).alias("all_line_count"),
+        F.sum("net_amount").alias("all_net"),
     )
     return totals.join(orders, "order_id")
 
 
 def customer_activity(order_totals: DataFrame) -> DataFrame:
-    """Per customer: all orders, and separately those that were not cancelled.
+    """Per customer: the orders of the sales fact, and separately all that were not cancelled.
 
     ``order_totals`` has one row per order, so counting rows counts distinct orders.
     """
-    kept = active()
+    kept, sale = active(), F.col("is_sale") & (F.col("line_count") > 0)
     return order_totals.groupBy("customer_id").agg(
-        F.count(F.lit(1)).alias("all_orders"),
-        F.sum("line_count").alias("all_lines"),
-        F.sum("net_amount").alias("all_net"),
+        F.count_if(sale).alias("all_orders"),
+        F.sum(F.when(sale, F.col("line_count"))).alias("all_lines"),
+        F.sum(F.when(sale, F.col("net_amount"))).alias("all_net"),
         F.count_if(kept).alias("total_orders"),
-        F.sum(F.when(kept, F.col("net_amount"))).alias("total_spent"),
+        F.sum(F.when(kept, F.col("all_net"))).alias("total_spent"),
         F.min(F.when(kept, F.col("order_date"))).alias("first_order_date"),
         F.max(F.when(kept, F.col("order_date"))).alias("last_order_date"),
     )
@@ -139,9 +155,9 @@ def customer_ltv(metrics: DataFrame) -> DataFrame:
     )
 
 
-def product_totals(items: DataFrame) -> DataFrame:
+def product_totals(lines: DataFrame) -> DataFrame:
     """Per product, over all its lines."""
-    return with_amounts(items).groupBy("product_id").agg(
+    return lines.groupBy("product_id").agg(
         F.count(F.lit(1)).alias("line_count"),
         F.sum("quantity").alias("quantity"),
         F.sum("net_amount").alias("net_amount"),
@@ -151,16 +167,16 @@ def product_totals(items: DataFrame) -> DataFrame:
 
 
 def product_ranking(lines: DataFrame) -> DataFrame:
-    """Per product: all lines, the revenue of those not cancelled, and its place by that revenue.
+    """Per product: its lines in the sales fact, the revenue of those not cancelled, its place by that revenue.
 
     Products without revenue come last and add nothing, so one written table serves both the
     ranks and the totals.
     """
-    kept = active()
+    kept, sale = active(), F.col("is_sale")
     activity = lines.groupBy("product_id").agg(
-        F.count(F.lit(1)).alias("line_count"),
-        F.sum("quantity").alias("quantity"),
-        F.sum("net_amount").alias("net_amount"),
+        F.count_if(sale).alias("line_count"),
+        F.sum(F.when(sale, F.col("quantity"))).alias("quantity"),
+        F.sum(F.when(sale, F.col("net_amount"))).alias("net_amount"),
         F.count_if(kept).alias("active_lines"),
         F.sum(F.when(kept, F.col("net_amount"))).alias("total_revenue"),
     )
@@ -169,8 +185,8 @@ def product_ranking(lines: DataFrame) -> DataFrame:
         rank="revenue_rank", running="cumulative_revenue", total="_grand_total",
     )
     share = ratio(F.col("cumulative_revenue"), F.col("_grand_total"))
-    rank = F.when(F.col("active_lines") > 0, labels.abc_rank(F.col("cumulative_pct"))).otherwise(labels.LOWEST_RANK)
-    return ranked.withColumn("cumulative_pct", share).withColumn("abc_rank", rank).drop("_grand_total")
+    rank = F.when(F.col("active_lines") > 0, labels.abc_rank(F.col("cumulative_revenue"), F.col("_grand_total"))).otherwise(labels.LOWEST_RANK)
+    return ranked.withColumns({"cumulative_pct": share, "abc_rank": rank}).drop("_grand_total")
 
 
 def product_abc(ranking: DataFrame) -> DataFrame:

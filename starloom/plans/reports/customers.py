@@ -14,7 +14,7 @@ from starloom.plans.star import Star
 def rfm_segment_sales(star: Star) -> DataFrame:
     """All sales by segment; the average is per order line."""
     return (
-        star.customer_metrics.groupBy("rfm_segment")
+        star.customer_sales.groupBy("rfm_segment")
         .agg(
             F.count(F.lit(1)).alias("customer_count"),
             F.sum("all_net").alias("total_revenue"),
@@ -90,7 +90,7 @@ def top_ltv_customers(star: Star, top: int = 20) -> DataFrame:
 
 def _by_region(star: Star) -> DataFrame:
     """One row per customer who ordered, with region; sums of it are sums over orders."""
-    per_customer = star.customer_metrics.select("customer_id", "all_orders", "all_lines", "all_net")
+    per_customer = star.customer_sales.select("customer_id", "all_orders", "all_lines", "all_net")
     return per_customer.join(star.customers.select("customer_id", "region"), "customer_id").groupBy("region")
 
 

@@ -6,10 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.amounts import percentage, ratio
-from starloom.plans.intermediate import inventory_with_sales
+from starloom.functions.calendar import day_of
 from starloom.plans.star import Star
 
 
+def _stock(star: Star) -> DataFrame:
+    """The inventory fact by product id."""
+    return star.fact_inventory_daily.withColumnRenamed("product_key", "product_id")
+
+
 def inventory_turnover(star: Star, by: tuple[str, ...] = ("product_name", "parent_category_name"),
                        per_product_once: bool = False) -> DataFrame:
     """Sold pieces over average stock.
@@ -17,7 +22,7 @@ def inventory_turnover(star: Star, by: tuple[str, ...] = ("product_name", "paren
     By default a product's sales count once per snapshot row, which multiplies them by the days
     on record; ``per_product_once`` counts them once. Both facts are summed per product first.
     """
-    stock = star.staged("inventory_snapshots", ["product_id", "quantity_on_hand"]).groupBy("product_id").agg(
+    stock = _stock(star).groupBy("product_id").agg(
         F.sum("quantity_on_hand").alias("on_hand"), F.count(F.lit(1)).alias("days")
     )
     sold = star.product_totals.select("product_id", "quantity")
@@ -39,15 +44,17 @@ def inventory_turnover(star: Star, by: tuple[str, ...] = ("product_name", "paren
 
 def _stock_days(star: Star) -> DataFrame:
     """Days on record and out of stock per product, before names come in."""
-    out = (F.col("quantity_on_hand") - F.col("quantity_reserved")) <= 0
-    day = F.when(out, F.col("snapshot_date"))
-    per_product = star.staged("inventory_snapshots").groupBy("product_id").agg(
+    out = F.col("is_out_of_stock")
+    day = F.when(out, F.col("date_key"))
+    per_product = _stock(star).groupBy("product_id").agg(
         F.count(F.lit(1)).alias("days"),
         F.count_if(out).alias("out"),
         F.min(day).alias("first"),
         F.max(day).alias("last"),
     )
-    return per_product.join(star.staged("products", ["product_id", "product_name"]), "product_id")
+    return per_product.withColumns({"first": day_of("first"), "last": day_of("last")}).join(
+        star.staged("products", ["product_id", "product_name"]), "product_id"
+    )
 
 
 def _stockout_share() -> Column:
@@ -80,36 +87,31 @@ def stockout_check(star: Star) -> DataFrame:
     )
 
 
-def _on_latest_day(snapshots: DataFrame) -> DataFrame:
-    """Snapshots of the last day on record; the one-row maximum is broadcast."""
-    latest = snapshots.agg(F.max("snapshot_date").alias("snapshot_date"))
-    return snapshots.join(F.broadcast(latest), "snapshot_date", "left_semi")
+def _on_latest_day(star: Star) -> DataFrame:
+    """Stock of the last day of the fact. The day is a scalar subquery, found before the fact is
+    read again and then compared with its row-group statistics."""
+    stock = _stock(star)
+    return stock.where(F.col("date_key") == star.fact_inventory_daily.select(F.max("date_key")).scalar())
 
 
 def latest_inventory_status(star: Star, top: int = 20) -> DataFrame:
     """The latest day's stock, scarcest first; products that never sold have no days of supply
     and lead the list."""
-    available = F.col("quantity_available")
-    latest = _on_latest_day(star.staged("inventory_snapshots"))
     return (
-        inventory_with_sales(latest, star.daily_sales_average)
+        _on_latest_day(star)
         .join(star.products.select("product_id", "product_name", "category_name"), "product_id")
         .orderBy(F.asc_nulls_first("days_of_supply"), "product_id")
         .limit(top)
         .select(
             "product_name", "category_name", "quantity_on_hand", "quantity_available", "reorder_point",
-            "days_of_supply",
-            (available <= 0).alias("is_out_of_stock"),
-            (available < F.col("reorder_point")).alias("is_below_reorder_point"),
+            "days_of_supply", "is_out_of_stock", "is_below_reorder_point",
         )
     )
 
 
 def sales_vs_stock(star: Star, top: int = 15) -> DataFrame:
     """Best sellers next to their latest stock."""
-    stock = _on_latest_day(star.staged("inventory_snapshots")).select(
-        "product_id", F.col("quantity_on_hand").alias("latest_stock")
-    )
+    stock = _on_latest_day(star).select("product_id", F.col("quantity_on_hand").alias("latest_stock"))
     sold = star.product_totals.select(
         "product_id", F.col("net_amount").alias("total_sales"), F.col("quantity").alias("total_qty_sold")
     )
@@ -126,12 +128,12 @@ def sales_vs_stock(star: Star, top: int = 15) -> DataFrame:
 def product_stock_history(star: Star, product_id: int, top: int = 15) -> DataFrame:
     """The first days of one product's stock."""
     return (
-        star.inventory.where(F.col("product_id") == product_id)
+        _stock(star).where(F.col("product_id") == product_id)
         .join(star.staged("products", ["product_id", "product_name"]), "product_id")
-        .orderBy("snapshot_date")
+        .orderBy("date_key")
         .limit(top)
         .select(
-            F.col("snapshot_date").alias("full_date"), "product_name", "quantity_on_hand", "quantity_available",
+            day_of("date_key").alias("full_date"), "product_name", "quantity_on_hand", "quantity_available",
             "days_of_supply",
         )
     )

@@ -25,9 +25,8 @@ def _with_profit(totals: DataFrame) -> DataFrame:
 
 
 def _ranked_products(star: Star) -> DataFrame:
-    """Sold products with totals, profit and rank: the ranking already holds the totals."""
-    ranking = star.product_ranking.select("product_id", "line_count", "quantity", "net_amount", "abc_rank")
-    return _with_profit(ranking.join(star.products, "product_id"))
+    """Sold products with totals, profit and rank."""
+    return _with_profit(star.ranked_totals.join(star.products, "product_id"))
 
 
 def category_ranking(star: Star) -> DataFrame:
@@ -62,7 +61,7 @@ def category_sales(star: Star) -> DataFrame:
         )
     )
     orders = (
-        star.items.select("order_id", "product_id")
+        star.sales.select("order_id", "product_id")
         .join(star.products.select("product_id", *keys), "product_id")
         .select(*keys, "order_id")
         .distinct()
@@ -126,7 +125,7 @@ def abc_product_summary(star: Star) -> DataFrame:
 def abc_sales_lines(star: Star) -> DataFrame:
     """Order lines and revenue by rank; ``products`` counts lines, as the dashboard shows it."""
     return (
-        star.product_ranking.groupBy("abc_rank")
+        star.ranked_totals.groupBy("abc_rank")
         .agg(F.sum("line_count").alias("products"), F.sum("net_amount").alias("revenue"))
         .orderBy("abc_rank")
     )
@@ -149,7 +148,7 @@ def top_products(star: Star, top: int = 20) -> DataFrame:
 def cross_sell(star: Star, min_support: int = 10, top: int = 20, by: str = "product_name") -> DataFrame:
     """Products bought together in the same order most often."""
     names = star.staged("products", sorted({"product_id", by}))
-    baskets = star.items.select("order_id", "product_id")
+    baskets = star.sales.select("order_id", "product_id")
     if by != "product_id":
         baskets = baskets.join(names, "product_id").select("order_id", by)
     pairs = co_occurrence(baskets.where(F.col(by).isNotNull()).distinct(), "order_id", by, min_support)
@@ -167,9 +166,10 @@ def view_to_purchase(star: Star) -> DataFrame:
     """For each product whether its page was viewed and whether it was bought."""
     viewed = (
         star.views.where((F.col("page_type") == "product") & F.col("product_id").isNotNull())
+        .where(F.col("view_timestamp").isNotNull())
         .select("product_id").distinct().withColumn("_viewed", F.lit(True))
     )
-    bought = star.items.select("product_id").distinct().withColumn("_bought", F.lit(True))
+    bought = star.sales.select("product_id").distinct().withColumn("_bought", F.lit(True))
     return (
         star.staged("products", ["product_id", "product_name"])
         .join(viewed, "product_id", "left")

@@ -12,8 +12,6 @@ from starloom.functions import labels
 from starloom.functions.amounts import percentage, ratio
 from starloom.functions.calendar import with_calendar
 from starloom.operators.shares import share_of_total
-from starloom.plans.facts import hour_key
-from starloom.plans.intermediate import with_amounts
 from starloom.plans.star import Star
 
 
@@ -68,7 +66,7 @@ def monthly_sales(star: Star) -> DataFrame:
 
 def monthly_sales_profit(star: Star) -> DataFrame:
     return (
-        _by_calendar(star.order_profits, "year", "month", "month_name")
+        _by_calendar(star.order_totals, "year", "month", "month_name")
         .agg(
             _orders_of_days().alias("order_count"),
             _net().alias("total_sales"),
@@ -123,7 +121,7 @@ def moving_average(star: Star, rows: int = 7) -> DataFrame:
 def _by_hour(star: Star, **measures: Column) -> DataFrame:
     """Measures per hour of the day with the hour's name; 24 rows at most meet the dimension."""
     per_hour = (
-        star.order_totals.groupBy(hour_key("order_timestamp").alias("time_key"))
+        star.order_totals.groupBy("time_key")
         .agg(*[measure.alias(name) for name, measure in measures.items()])
     )
     return per_hour.join(F.broadcast(star.dim_time), "time_key").select("time_period", "hour_of_day", *measures)
@@ -222,9 +220,8 @@ def order_line_rollup(star: Star, top: int = 10) -> DataFrame:
 
 
 def coupon_usage(star: Star) -> DataFrame:
-    """Order lines bought with a known coupon. The code is matched once per order."""
-    redeemed = star.orders.where(F.col("coupon_code").isNotNull()).select("order_id", "coupon_code")
+    """Order lines bought with a known coupon."""
     offers = star.staged("coupons", ["coupon_code", "coupon_type", "discount_value"])
-    return with_amounts(star.items).join(redeemed.join(offers, "coupon_code"), "order_id").select(
+    return star.sales.where(F.col("coupon_code").isNotNull()).join(offers, "coupon_code").select(
         "order_id", "coupon_code", "coupon_type", "discount_value", "discount_rate", "net_amount"
     )

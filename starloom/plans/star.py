@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions import labels
+from starloom.functions.calendar import day_of
 from starloom.functions.scoring import RfmBands
 from starloom.operators.joins import small_or_plain
 from starloom.plans import dimensions, facts
@@ -20,15 +21,16 @@ from starloom.sources.raw import RawTables
 
 # What reports read of an order line: everything but its id.
 LINE_COLUMNS = ("order_id", "product_id", "quantity", "unit_price", "discount_rate")
+HEADER_COLUMNS = ("time_key", "payment_method", "device_type", "coupon_code")
 
 
 class Star:
     """Staged tables, business logic, dimensions and facts as lazy DataFrames.
 
     Reports start from the narrowest frame that answers them (order or product roll-ups rather
-    than the wide fact), which relies on the keys the source enforces: ids are unique and
-    references point at existing rows. ``enforce_keys`` drops dangling order lines first, for
-    sources without such constraints.
+    than the wide fact) and agree with the facts: lines of unknown customers or products and
+    orders without a date are left out as the facts leave them out. On a written warehouse the
+    same frames are taken from the written facts.
     """
 
     def __init__(
@@ -37,11 +39,10 @@ class Star:
         as_of: date | None = None,
         bands: RfmBands = RfmBands(),
         regions: Mapping[str, Sequence[str]] = labels.REGIONS,
-        enforce_keys: bool = False,
     ):
         self.spark = tune(raw.spark)
         self.raw, self.as_of, self.bands = raw, as_of or date.today(), bands
-        self.regions, self.enforce_keys = regions, enforce_keys
+        self.regions = regions
         self._staged: dict[str, DataFrame] = {}
 
     # staged tables -------------------------------------------------------------------------
@@ -63,27 +64,52 @@ class Star:
         """Continue from written copies of derived tables instead of computing them again."""
         self.__dict__.update(frames)
 
+    def rebind_sales(self, fact: DataFrame, statuses: DataFrame) -> None:
+        """Take the frames of all sales reports from the written fact."""
+        codes = statuses.select("order_status_key", F.col("status_code").alias("status"))
+        sales = fact.join(codes, "order_status_key").select(
+            "order_id",
+            F.col("customer_key").alias("customer_id"),
+            F.col("product_key").alias("product_id"),
+            day_of("date_key").alias("order_date"),
+            "status", "time_key", "payment_method", "device_type", "coupon_code",
+            "quantity", "discount_rate", "net_amount", "gross_profit",
+        )
+        per_order = ("order_id", "customer_id", "order_date", "status", *HEADER_COLUMNS)
+        orders = sales.groupBy(*per_order).agg(
+            F.count(F.lit(1)).alias("line_count"),
+            F.sum("quantity").alias("quantity"),
+            F.sum("net_amount").alias("net_amount"),
+            F.sum("gross_profit").alias("gross_profit"),
+        )
+        segments = self.dim_customer.select("customer_id", "rfm_segment")
+        customers = orders.groupBy("customer_id").agg(
+            F.count(F.lit(1)).alias("all_orders"),
+            F.sum("line_count").alias("all_lines"),
+            F.sum("net_amount").alias("all_net"),
+        )
+        products = logic.product_totals(sales)
+        ranks = self.dim_product.select("product_id", "abc_rank")
+        self.rebind(
+            sales=sales,
+            order_totals=orders,
+            customer_sales=customers.join(segments, "customer_id"),
+            product_totals=products,
+            ranked_totals=products.join(ranks, "product_id"),
+        )
+
     @cached_property
     def orders(self) -> DataFrame:
-        orders = self.staged("orders")
-        if self.enforce_keys:
-            orders = orders.join(self.staged("customers", ["customer_id"]), "customer_id", "left_semi")
-        return orders
+        return logic.flagged_orders(self.staged("orders"), self.staged("customers", ["customer_id"]))
 
     @cached_property
     def items(self) -> DataFrame:
         """Order lines without their id."""
-        return self._valid(self.staged("order_items", LINE_COLUMNS))
+        return self.staged("order_items", LINE_COLUMNS)
 
     @cached_property
     def keyed_items(self) -> DataFrame:
-        return self._valid(self.staged("order_items"))
-
-    def _valid(self, items: DataFrame) -> DataFrame:
-        if self.enforce_keys:
-            items = items.join(self.staged("products", ["product_id"]), "product_id", "left_semi")
-            items = items.join(self.orders.select("order_id"), "order_id", "left_semi")
-        return items
+        return self.staged("order_items")
 
     @cached_property
     def views(self) -> DataFrame:
@@ -97,7 +123,7 @@ class Star:
 
     @cached_property
     def keyed_lines(self) -> DataFrame:
-        return logic.order_lines(self.keyed_items, self.orders)
+        return logic.order_lines(self.keyed_items, self.staged("orders"))
 
     @cached_property
     def keyed_lines_table(self) -> DataFrame:
@@ -108,13 +134,21 @@ class Star:
         )
 
     @cached_property
-    def order_totals(self) -> DataFrame:
-        return logic.order_rollup(self.items, self.orders)
+    def sales(self) -> DataFrame:
+        """The lines of the sales fact with what reports read of them."""
+        known = self.staged("products", ["product_id"])
+        return self.lines.where("is_sale").join(known, "product_id", "left_semi")
 
     @cached_property
-    def order_profits(self) -> DataFrame:
+    def all_order_totals(self) -> DataFrame:
+        """One row per order that has lines, whether or not they are in the sales fact."""
         return logic.order_rollup(self.items, self.orders, self.staged("products", ["product_id", "cost_price"]))
 
+    @cached_property
+    def order_totals(self) -> DataFrame:
+        """One row per order of the sales fact."""
+        return self.all_order_totals.where("is_sale AND line_count > 0")
+
     @cached_property
     def customers(self) -> DataFrame:
         return logic.customers_with_region(self.staged("customers"), self.as_of, self.regions)
@@ -129,7 +163,12 @@ class Star:
 
     @cached_property
     def customer_metrics(self) -> DataFrame:
-        return logic.with_customer_metrics(logic.customer_activity(self.order_totals), self.as_of, self.bands)
+        return logic.with_customer_metrics(logic.customer_activity(self.all_order_totals), self.as_of, self.bands)
+
+    @cached_property
+    def customer_sales(self) -> DataFrame:
+        """One row per customer of the sales fact: orders, lines, revenue and segment."""
+        return self.customer_metrics.where("all_orders > 0")
 
     @cached_property
     def customer_rfm(self) -> DataFrame:
@@ -141,7 +180,16 @@ class Star:
 
     @cached_property
     def product_totals(self) -> DataFrame:
-        return logic.product_totals(self.items)
+        """One row per product of the sales fact."""
+        known = self.staged("products", ["product_id"])
+        return logic.product_totals(self.lines.where("is_sale")).join(known, "product_id", "left_semi")
+
+    @cached_property
+    def ranked_totals(self) -> DataFrame:
+        """``product_totals`` with the product's rank, which holds the totals already."""
+        known = self.staged("products", ["product_id"])
+        sold = self.product_ranking.where("line_count > 0").join(known, "product_id", "left_semi")
+        return sold.select("product_id", "line_count", "quantity", "net_amount", "abc_rank")
 
     @cached_property
     def product_ranking(self) -> DataFrame:
@@ -201,7 +249,7 @@ class Star:
     def fact_sales(self) -> DataFrame:
         return facts.fact_sales(
             self.keyed_items,
-            self.orders,
+            self.staged("orders"),
             self.staged("customers", ["customer_id"]),
             self.staged("products", ["product_id", "cost_price"]),
             self.dim_order_status,

@@ -8,72 +8,99 @@ MONEY = T.DecimalType(12, 2)
 PERCENT = T.DecimalType(5, 2)
 _LONG, _TEXT, _DATE = T.LongType(), T.StringType(), T.DateType()
 _TIME, _FLAG = T.TimestampType(), T.BooleanType()
+_REQUIRED, _OPTIONAL = True, False
 
 
-def _table(required: dict[str, T.DataType], optional: dict[str, T.DataType], order: str) -> T.StructType:
-    fields = {name: T.StructField(name, kind, False) for name, kind in required.items()}
-    fields |= {name: T.StructField(name, kind, True) for name, kind in optional.items()}
-    return T.StructType([fields[name] for name in order.split()])
+def _table(*columns: tuple[str, T.DataType, bool]) -> T.StructType:
+    return T.StructType([T.StructField(name, kind, not required) for name, kind, required in columns])
 
 
-# Table -> column types; loaded in this order, parents before children.
+# Table -> columns; loaded in this order, parents before children.
 TABLES: dict[str, T.StructType] = {
     "customers": _table(
-        {"customer_id": _LONG, "first_name": _TEXT, "last_name": _TEXT, "email": _TEXT},
-        {"phone": _TEXT, "city": _TEXT, "prefecture": _TEXT, "postal_code": _TEXT,
-         "created_at": _TIME, "gender": _TEXT, "birth_date": _DATE, "registration_channel": _TEXT},
-        "customer_id first_name last_name email phone city prefecture postal_code created_at "
-        "gender birth_date registration_channel",
+        ("customer_id", _LONG, _REQUIRED),
+        ("first_name", _TEXT, _REQUIRED),
+        ("last_name", _TEXT, _REQUIRED),
+        ("email", _TEXT, _REQUIRED),
+        ("phone", _TEXT, _OPTIONAL),
+        ("city", _TEXT, _OPTIONAL),
+        ("prefecture", _TEXT, _OPTIONAL),
+        ("postal_code", _TEXT, _OPTIONAL),
+        ("created_at", _TIME, _OPTIONAL),
+        ("gender", _TEXT, _OPTIONAL),
+        ("birth_date", _DATE, _OPTIONAL),
+        ("registration_channel", _TEXT, _OPTIONAL),
     ),
     "categories": _table(
-        {"category_id": _LONG, "name": _TEXT}, {"parent_id": _LONG}, "category_id name parent_id"
+        ("category_id", _LONG, _REQUIRED),
+        ("name", _TEXT, _REQUIRED),
+        ("parent_id", _LONG, _OPTIONAL),
     ),
     "products": _table(
-        {"product_id": _LONG, "product_name": _TEXT, "category_id": _LONG, "unit_price": MONEY},
-        {"description": _TEXT, "created_at": _TIME, "cost_price": MONEY, "weight_gram": _LONG,
-         "is_active": _FLAG},
-        "product_id product_name category_id unit_price description created_at cost_price "
-        "weight_gram is_active",
+        ("product_id", _LONG, _REQUIRED),
+        ("product_name", _TEXT, _REQUIRED),
+        ("category_id", _LONG, _REQUIRED),
+        ("unit_price", MONEY, _REQUIRED),
+        ("description", _TEXT, _OPTIONAL),
+        ("created_at", _TIME, _OPTIONAL),
+        ("cost_price", MONEY, _OPTIONAL),
+        ("weight_gram", _LONG, _OPTIONAL),
+        ("is_active", _FLAG, _OPTIONAL),
     ),
     "orders": _table(
-        {"order_id": _LONG, "customer_id": _LONG, "order_date": _DATE, "status": _TEXT,
-         "order_timestamp": _TIME},
-        {"shipping_address": _TEXT, "created_at": _TIME, "updated_at": _TIME,
-         "payment_method": _TEXT, "device_type": _TEXT, "coupon_code": _TEXT},
-        "order_id customer_id order_date shipping_address status created_at updated_at "
-        "order_timestamp payment_method device_type coupon_code",
+        ("order_id", _LONG, _REQUIRED),
+        ("customer_id", _LONG, _REQUIRED),
+        ("order_date", _DATE, _REQUIRED),
+        ("shipping_address", _TEXT, _OPTIONAL),
+        ("status", _TEXT, _REQUIRED),
+        ("created_at", _TIME, _OPTIONAL),
+        ("updated_at", _TIME, _OPTIONAL),
+        ("order_timestamp", _TIME, _REQUIRED),
+        ("payment_method", _TEXT, _OPTIONAL),
+        ("device_type", _TEXT, _OPTIONAL),
+        ("coupon_code", _TEXT, _OPTIONAL),
     ),
     "order_items": _table(
-        {"order_item_id": _LONG, "order_id": _LONG, "product_id": _LONG, "quantity": _LONG,
-         "unit_price": MONEY},
-        {"discount": PERCENT},
-        "order_item_id order_id product_id quantity unit_price discount",
+        ("order_item_id", _LONG, _REQUIRED),
+        ("order_id", _LONG, _REQUIRED),
+        ("product_id", _LONG, _REQUIRED),
+        ("quantity", _LONG, _REQUIRED),
+        ("unit_price", MONEY, _REQUIRED),
+        ("discount", PERCENT, _OPTIONAL),
     ),
     "page_views": _table(
-        {"page_view_id": _LONG, "session_id": _TEXT, "page_type": _TEXT, "view_timestamp": _TIME},
-        {"customer_id": _LONG, "product_id": _LONG, "category_id": _LONG, "referrer_type": _TEXT,
-         "duration_seconds": _LONG},
-        "page_view_id customer_id session_id page_type product_id category_id referrer_type "
-        "view_timestamp duration_seconds",
+        ("page_view_id", _LONG, _REQUIRED),
+        ("customer_id", _LONG, _OPTIONAL),
+        ("session_id", _TEXT, _REQUIRED),
+        ("page_type", _TEXT, _REQUIRED),
+        ("product_id", _LONG, _OPTIONAL),
+        ("category_id", _LONG, _OPTIONAL),
+        ("referrer_type", _TEXT, _OPTIONAL),
+        ("view_timestamp", _TIME, _REQUIRED),
+        ("duration_seconds", _LONG, _OPTIONAL),
     ),
     "inventory_snapshots": _table(
-        {"snapshot_id": _LONG, "product_id": _LONG, "snapshot_date": _DATE,
-         "quantity_on_hand": _LONG, "quantity_reserved": _LONG, "reorder_point": _LONG,
-         "lead_time_days": _LONG},
-        {},
-        "snapshot_id product_id snapshot_date quantity_on_hand quantity_reserved reorder_point "
-        "lead_time_days",
+        ("snapshot_id", _LONG, _REQUIRED),
+        ("product_id", _LONG, _REQUIRED),
+        ("snapshot_date", _DATE, _REQUIRED),
+        ("quantity_on_hand", _LONG, _REQUIRED),
+        ("quantity_reserved", _LONG, _REQUIRED),
+        ("reorder_point", _LONG, _REQUIRED),
+        ("lead_time_days", _LONG, _REQUIRED),
     ),
     "coupons": _table(
-        {"coupon_id": _LONG, "coupon_code": _TEXT, "coupon_type": _TEXT, "discount_value": MONEY,
-         "valid_from": _DATE, "valid_to": _DATE},
-        {"min_order_amount": MONEY, "campaign_name": _TEXT},
-        "coupon_id coupon_code coupon_type discount_value min_order_amount valid_from valid_to "
-        "campaign_name",
+        ("coupon_id", _LONG, _REQUIRED),
+        ("coupon_code", _TEXT, _REQUIRED),
+        ("coupon_type", _TEXT, _REQUIRED),
+        ("discount_value", MONEY, _REQUIRED),
+        ("min_order_amount", MONEY, _OPTIONAL),
+        ("valid_from", _DATE, _REQUIRED),
+        ("valid_to", _DATE, _REQUIRED),
+        ("campaign_name", _TEXT, _OPTIONAL),
     ),
 }
 
-# Keys the operational database enforces: (table, columns) must be unique.
+# Keys the operational database enforces: (table, columns) must be unique.
 UNIQUE_KEYS: list[tuple[str, tuple[str, ...]]] = [
     ("customers", ("customer_id",)),
     ("customers", ("email",)),
@@ -88,7 +115,7 @@ UNIQUE_KEYS: list[tuple[str, tuple[str, ...]]] = [
     ("coupons", ("coupon_code",)),
 ]
 
-# (child table, column, parent table, parent column); NULL children are allowed.
+# Fixed values: (child table, column, parent table, parent column); NULL children are allowed.
 FOREIGN_KEYS: list[tuple[str, str, str, str]] = [
     ("categories", "parent_id", "categories", "category_id"),
     ("products", "category_id", "categories", "category_id"),

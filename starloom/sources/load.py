@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import astuple, dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -38,15 +39,33 @@ def load_table(raw: RawTables, table: str, target: str, chunk_rows: int | None =
     return LoadResult(table, seen.get["rows"], loaded, True)
 
 
-def load_all(raw: RawTables, target: str, tables: Iterable[str] = tuple(TABLES)) -> list[LoadResult]:
-    """Load one table after another; a failing table is reported and does not stop the rest."""
-    results = []
-    for table in tables:
+class LoadError(RuntimeError):
+    """Some tables failed; ``results`` tells of all."""
+
+    def __init__(self, results: list[LoadResult]):
+        super().__init__("failed to load " + ", ".join(r.table_name for r in results if not r.succeeded))
+        self.results = results
+
+
+def load_all(
+    raw: RawTables, target: str, tables: Iterable[str] = tuple(TABLES), parallel: int = 4
+) -> list[LoadResult]:
+    """Load the tables, ``parallel`` at a time; a failing one does not stop the rest.
+
+    Raises :class:`LoadError` after the last one if any failed, so that nothing is built on them.
+    """
+
+    def attempt(table: str) -> LoadResult:
         try:
-            results.append(load_table(raw, table, target))
+            return load_table(raw, table, target)
         except Exception:
             log.exception("load of %s failed", table)
-            results.append(LoadResult(table, None, None, False))
+            return LoadResult(table, None, None, False)
+
+    with ThreadPoolExecutor(parallel) as pool:
+        results = list(pool.map(attempt, tables))
+    if not all(result.succeeded for result in results):
+        raise LoadError(results)
     return results
 
 

@@ -44,8 +44,8 @@ class DatabaseTables:
     """Tables of the operational database over JDBC, read by parallel key ranges.
 
     ``ranges`` maps a table to (lowest key, highest key, partitions). The bounds only place the
-    cuts; rows outside them are still read. A table without an entry is read in one partition,
-    which suits the small parents.
+    cuts; rows outside them are still read. For a table without an entry they are asked from the
+    database first, with ``partitions`` ranges.
     """
 
     def __init__(
@@ -54,9 +54,10 @@ class DatabaseTables:
         url: str,
         properties: Mapping[str, str],
         ranges: Mapping[str, tuple[int, int, int]] | None = None,
+        partitions: int = 16,
     ):
         self.spark, self.url = spark, url
-        self.properties, self.ranges = dict(properties), dict(ranges or {})
+        self.properties, self.ranges, self.partitions = dict(properties), dict(ranges or {}), partitions
 
     def read_options(self, name: str) -> dict[str, str]:
         options = {"url": self.url, "dbtable": name, "fetchsize": "10000", **self.properties}
@@ -70,7 +71,20 @@ class DatabaseTables:
             }
         return options
 
+    def bounds_options(self, name: str) -> dict[str, str]:
+        key = TABLES[name][0].name
+        query = f"SELECT MIN({key}) AS low, MAX({key}) AS high FROM {name}"
+        return {"url": self.url, "query": query, **self.properties}
+
+    def _ask_range(self, name: str) -> None:
+        """Bounds of a table's key; an empty table keeps the plain read."""
+        row = self.spark.read.format("jdbc").options(**self.bounds_options(name)).load().first()
+        if row[0] is not None and row[1] > row[0]:
+            self.ranges[name] = (int(row[0]), int(row[1]) + 1, self.partitions)
+
     def table(self, name: str, columns: Sequence[str] | None = None) -> DataFrame:
+        if name not in self.ranges:
+            self._ask_range(name)
         df = self.spark.read.format("jdbc").options(**self.read_options(name)).load()
         return conform(df, name, columns)
 

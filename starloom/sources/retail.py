@@ -1,25 +1,24 @@
 """The eight operational tables derived from the wholesale test tables.
 
-The rules are deterministic functions of each row; only the order line number needs more,
-because the wholesale lines carry no unique id.
+The rules are deterministic functions of each row; only the order line id needs more, because
+wholesale lines of one order may share a number.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from starloom.functions.labels import REGIONS
-from starloom.operators.ranking import dense_index
 from starloom.sources.raw import conform
 
+# Lines of one order may share a number: these tell them apart.
 LINE_ORDER = (
-    "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+    "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
     "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
 )
-STOCK_YEAR = 1998
-STOCK_STEP = 20  # every 20th part is kept in stock
 
 
 def _text_id(text: str) -> str:
@@ -112,9 +111,10 @@ PAGE_VIEWS = {
 }
 
 _DAY = "dayofyear(snapshot_date)"
+_DAY_NUMBER = "datediff(snapshot_date, DATE '1970-01-01')"
 _ON_HAND = f"(p_partkey * 37 + {_DAY} * 13) % 200"
 INVENTORY = {
-    "snapshot_id": f"p_partkey * 1000 + {_DAY}",
+    "snapshot_id": f"p_partkey * 100000 + {_DAY_NUMBER}",
     "product_id": "p_partkey",
     "snapshot_date": "snapshot_date",
     "quantity_on_hand": _ON_HAND,
@@ -182,13 +182,14 @@ class RetailTables:
     def _order_items(self, columns: Sequence[str] | None) -> DataFrame:
         lines, rules = self._file("lineitem"), ORDER_ITEMS
         if columns is None or "order_item_id" in columns:
-            lines = dense_index(lines, LINE_ORDER, "order_item_id")
+            same_number = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*LINE_ORDER)
+            number = (F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 100_000 + F.row_number().over(same_number)
+            lines = lines.withColumn("order_item_id", number)
             rules = {"order_item_id": "order_item_id", **rules}
         return self._project(lines, rules, columns)
 
     def _inventory_snapshots(self, columns: Sequence[str] | None) -> DataFrame:
-        stocked = self._file("part").where(f"p_partkey % {STOCK_STEP} = 0").selectExpr(
-            "p_partkey",
-            f"explode(sequence(DATE '{STOCK_YEAR}-01-01', DATE '{STOCK_YEAR}-12-31', INTERVAL 1 DAY)) AS snapshot_date",
-        )
+        """A snapshot of each part on every day that some of it was shipped."""
+        stocked = self._file("lineitem").selectExpr("l_partkey AS p_partkey", "CAST(l_shipdate AS DATE) AS snapshot_date")
+        stocked = stocked.distinct()
         return self._project(stocked, INVENTORY, columns)

@@ -10,8 +10,6 @@ sys.path[:0] = [str(ROOT), str(ROOT / "tools"), str(ROOT / "tests")]
 
 from starloom.session import build_session  # noqa: E402
 
-SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from datetime import date
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -141,4 +142,4 @@ def test_annual_frequency(spark, orders, first, last, yearly):
 
 @pytest.mark.parametrize("share, rank", [(0.6, "A"), (0.6000001, "B"), (0.85, "B"), (0.8500001, "C"), (1.0, "C")])
 def test_abc_cuts(spark, share, rank):
-    assert evaluate(spark, labels.abc_rank(F.col("s")), s=("double", share)) == rank
+    assert evaluate(spark, labels.abc_rank(F.col("s"), F.lit(1).cast("decimal(12,2)")), s=("decimal(12,8)", Decimal(str(share)))) == rank

@@ -9,7 +9,7 @@ from tables import frame, raw_tables
 from starloom.schemas import TABLES
 from starloom.session import materialise, scratch_path, shared_dir
 from starloom.sources.export import export, read_export
-from starloom.sources.load import audit, load_all, load_json_lines, load_table
+from starloom.sources.load import LoadError, audit, load_all, load_json_lines, load_table
 from starloom.sources.raw import DatabaseTables, FileTables
 
 PRODUCT = {"product_id": 1, "product_name": "käse", "category_id": 2, "unit_price": "12.34",
@@ -37,7 +37,9 @@ def test_failing_table_does_not_stop_the_others(spark, tmp_path):
     raw.frames["coupons"] = frame(spark, "coupons", []).selectExpr("* EXCEPT (coupon_id)", "'no number' AS coupon_id").union(
         spark.sql("SELECT 'c', 't', 1.00, 1.00, current_date(), current_date(), 'n', 'no number'")
     )
-    rows = {r["table_name"]: r for r in audit(spark, load_all(raw, str(tmp_path))).collect()}
+    with pytest.raises(LoadError, match="orders, coupons") as failed:
+        load_all(raw, str(tmp_path))
+    rows = {r["table_name"]: r for r in audit(spark, failed.value.results).collect()}
     assert list(rows) == list(TABLES)
     assert {name for name, r in rows.items() if not r["succeeded"]} == {"orders", "coupons"}
     assert rows["products"]["loaded"] == 1 and rows["orders"]["loaded"] is None

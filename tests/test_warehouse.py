@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import SMALL
+from tables import SMALL
 
 import __spark_entry__ as entry
 from starloom.plans import quality, warehouse
@@ -37,6 +37,10 @@ def test_later_sessions_report_from_the_files(spark, built):
         result = report(reopened)
         assert result.collect() == report(star).collect()
         assert all("/warehouse" in name for name in result.inputFiles() if "shared" not in name)
+    for report in (sales.monthly_sales, sales.weekday_pattern, products.category_sales, customers.region_sales,
+                   products.abc_analysis, products.cross_sell):
+        read = report(reopened).inputFiles()
+        assert not any("stg_order" in name or "int_orders" in name for name in read)
 
 
 def test_sql_users_find_tables_and_views(spark, built):
