@@ -78,9 +78,9 @@ def test_search_recall_against_brute_force(spark):
             for start in starts:
                 part = hashes[start : min(start + size, b)]
                 known = part[np.isin(part, queries_.vocabulary)]
-                if not len(known):
-                    continue
                 norm = np.sqrt((space.idf[decontaminate._bucket(part)].astype(float) ** 2).sum())
+                if not norm or not len(known):
+                    continue
                 scores = bench[chosen] @ decontaminate._tf_idf([known], queries_, own)[0] / norm
                 want |= {(start, min(start + size, b), int(q)) for q in chosen[scores >= decontaminate.COSINE + 1e-3]}
     assert want and len(got & want) / len(want) >= 0.98

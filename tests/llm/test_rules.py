@@ -50,7 +50,7 @@ def test_words_never_run_across_texts():
 
 
 def prose(seed, n):
-    return " ".join(f"{seed}w{i}" for i in range(n))
+    return " ".join(f"{seed}w{i}".translate(str.maketrans("0123456789", "abcdefghij")) for i in range(n))
 
 
 def test_frequent_lines_go_and_depleted_documents_are_rejected(spark):
