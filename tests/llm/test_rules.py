@@ -54,14 +54,14 @@ def prose(seed, n):
 
 
 def test_frequent_lines_go_and_depleted_documents_are_rejected(spark):
-    banner = "Subscribe to our letter 7 now"
-    other_digit = "subscribe to  our letter 8 NOW"
-    rows = [(i, f"{prose(i, 30)}\n{banner if i % 2 else other_digit}") for i in range(12)]
-    rows += [(100, f"{prose(100, 5)}\n" + "\n".join([banner] * 4)), (101, prose(101, 10))]
+    banners = ["Subscribe to our letter {} now", "All rights reserved by us since {}", "Read more news about {} things here", "Share this with {} of your friends"]
+    rows = [(i, "\n".join([prose(i, 30), *(b.format(i % 7) for b in banners)])) for i in range(12)]
+    rows[3] = (3, rows[3][1].replace("Subscribe to our", "subscribe  TO our"))
+    rows += [(100, "\n".join([prose(100, 5), *(b.format(9) for b in banners)])), (101, prose(101, 10))]
     rows += [(200 + i, prose("copy", 40) + "\n" + prose("tail", 9)) for i in range(40)]  # copies are no boilerplate
     docs = make_documents(spark, rows)
     found = {r.doc_id: r for r in quality_rules.verdicts(docs).collect()}
-    assert all(found[i].kept and found[i].removed == [1] for i in range(12))
+    assert all(found[i].kept and found[i].removed == [1, 2, 3, 4] for i in range(12))
     assert not found[100].base_failed and not found[100].kept
     assert found[101].base_failed and not found[101].kept
     assert all(found[200 + i].kept and not found[200 + i].removed for i in range(40))
