@@ -9,17 +9,20 @@ from starloom.operators.joins import small_or_plain
 from starloom.session import materialise
 
 _MASK_BITS = 62
+BLOCK = 256
 
 
 def co_occurrence(baskets: DataFrame, basket: str, item: str, min_support: int) -> DataFrame:
     """Item pairs (``item_a`` < ``item_b``) sharing at least ``min_support`` baskets, with ``pairs``.
 
-    ``baskets`` holds distinct (basket, item) rows. Exact, in three steps:
+    ``baskets`` holds distinct (basket, item) rows. Exact, in four steps:
 
     * an item in fewer than ``min_support`` baskets can be in no result and is dropped;
-    * the ``min_support - 1`` widest baskets are set aside. They alone cannot lift a pair to
+    * the ``min_support - 1`` widest baskets (62 at most) are set aside. They alone cannot lift a pair to
       the threshold, so every result pair also shares a basket among the rest, and joining the
       rest with itself finds all of them;
+    * the items of a basket are split into blocks of about ``BLOCK``, and a task joins one pair of
+      blocks, never a whole basket;
     * for the pairs found, the wide baskets are counted by giving each item a bit mask of the
       wide baskets it is in: the bits two masks share are the wide baskets the pair shares.
 
@@ -38,10 +41,14 @@ def co_occurrence(baskets: DataFrame, basket: str, item: str, min_support: int)
     is_wide = F.col(basket).isin(wide)
 
     rest = kept.where(~is_wide)
-    left = rest.select(basket, F.col(item).alias("item_a"))
-    right = rest.select(basket, F.col(item).alias("item_b"))
+    widths = rest.groupBy(basket).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("_blocks"))
+    own = F.pmod(F.xxhash64(item), F.col("_blocks")).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
+    placed = rest.join(widths, basket).withColumn("_own", own)
+    left = placed.select(basket, F.col("_own").alias("_i"), every.alias("_j"), F.col(item).alias("item_a"))
+    right = placed.select(basket, every.alias("_i"), F.col("_own").alias("_j"), F.col(item).alias("item_b"))
     found = (
-        left.join(right, basket)
+        left.join(right, [basket, "_i", "_j"])
         .where(F.col("item_a") < F.col("item_b"))
         .groupBy("item_a", "item_b")
         .agg(F.count(F.lit(1)).alias("_rest"))

@@ -16,7 +16,7 @@ from starloom.operators.joins import small_or_plain
 from starloom.plans import dimensions, facts
 from starloom.plans import intermediate as logic
 from starloom.plans.staging import stage
-from starloom.session import tune
+from starloom.session import delete_scratch, scratch_paths, tune
 from starloom.sources.raw import RawTables
 
 # What reports read of an order line: everything but its id.
@@ -44,6 +44,20 @@ class Star:
         self.raw, self.as_of, self.bands = raw, as_of or date.today(), bands
         self.regions = regions
         self._staged: dict[str, DataFrame] = {}
+        self._before = frozenset(scratch_paths(self.spark))
+
+    def __enter__(self) -> Star:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
+    def close(self) -> None:
+        """Delete the scratch tables written in this application since the star was made.
+
+        Its lazy reports, and those of stars made later, cannot be read afterwards.
+        """
+        delete_scratch(self.spark, [p for p in scratch_paths(self.spark) if p not in self._before])
 
     # staged tables -------------------------------------------------------------------------
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,8 +61,30 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+#: Scratch paths given out, by application.
+_given: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    _given.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def scratch_paths(spark: SparkSession) -> list[str]:
+    """The scratch paths given out in this application and not deleted."""
+    return list(_given.get(spark.sparkContext.applicationId, ()))
+
+
+def delete_scratch(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Delete scratch tables; for callers that do not read them any more."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    kept = _given.setdefault(spark.sparkContext.applicationId, [])
+    for path in list(paths):
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
+        if path in kept:
+            kept.remove(path)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

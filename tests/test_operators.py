@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from starloom.operators import joins, pairs
 from starloom.operators.checks import dangling, duplicates, null_counts, outside
-from starloom.operators.paging import page
+from starloom.operators.paging import page, page_after
 from starloom.operators.ranking import dense_index, running_total
 from starloom.operators.shares import share_of_total
 
@@ -70,6 +70,24 @@ def test_co_occurrence_when_every_shared_basket_is_wide(spark):
     assert len(pairs.co_occurrence(frame, "basket", "item", 3).collect()) == 3
 
 
+@pytest.mark.parametrize("support", [1, 3])
+def test_wide_baskets_are_joined_in_blocks(spark, monkeypatch, support):
+    monkeypatch.setattr(pairs, "BLOCK", 8)
+    baskets = {b: {f"i{(b * 7 + k * k) % 60}" for k in range(40)} for b in range(12)}
+    frame = spark.createDataFrame([(b, i) for b, items in baskets.items() for i in items], "basket bigint, item string")
+    got = pairs.co_occurrence(frame, "basket", "item", support).collect()
+    assert {(r["item_a"], r["item_b"]): r["pairs"] for r in got} == brute_pairs(baskets, support)
+
+
+def test_page_after_goes_on_behind_the_last_row(spark):
+    frame = spark.range(23).withColumn("k", F.col("id") % 3)
+    seen, last = [], None
+    while rows := page_after(frame, ["k", "id"], last, 7).collect():
+        seen += [(r["k"], r["id"]) for r in rows]
+        last = (rows[-1]["k"], rows[-1]["id"])
+    assert seen == sorted((i % 3, i) for i in range(23))
+
+
 def test_left_key_lookup_keeps_unknown_and_empty_rows(spark):
     facts = spark.createDataFrame([(1, 10), (2, None), (3, 99), (4, None), (5, 10)], "id bigint, ref bigint")
     known = spark.createDataFrame([(10,), (11,)], "ref_key bigint")

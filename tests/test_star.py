@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from datetime import date, datetime, timedelta
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from tables import AS_OF, dicts, raw_tables
@@ -9,6 +10,7 @@ from tables import AS_OF, dicts, raw_tables
 from starloom.plans import warehouse
 from starloom.plans.reports import catalog, customers, inventory, products, sales, traffic
 from starloom.plans.star import Star
+from starloom.session import scratch_paths
 
 D = Decimal
 
@@ -359,3 +361,13 @@ def test_coupon_usage_and_view_to_purchase(spark):
     assert [r["coupon_key"] for r in star.dim_coupon.collect()] == [1]
     got = {r["product_name"]: (r["was_viewed"], r["was_purchased"]) for r in products.view_to_purchase(star).collect()}
     assert got == {"a": (False, True), "b": (True, False)}
+
+
+def test_closing_a_star_deletes_its_scratch_tables(spark):
+    before = scratch_paths(spark)
+    with shop(spark, **DANGLING) as star:
+        assert products.abc_analysis(star).count() == 2
+        written = [p for p in scratch_paths(spark) if p not in before]
+        assert written and all(Path(p.removeprefix("file:")).exists() for p in written)
+    assert scratch_paths(spark) == before
+    assert not any(Path(p.removeprefix("file:")).exists() for p in written)
