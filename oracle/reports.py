@@ -249,7 +249,10 @@ REPORTS: dict[str, str] = {
                (SELECT count(*) FROM raw_products) AS total_rows
         FROM raw_products ORDER BY product_name, product_id LIMIT 25 OFFSET 50""",
     "scan_raw": "SELECT * FROM raw_orders",
-    "raw_load_roundtrip": "SELECT * FROM raw_orders",
+    "raw_load_roundtrip": " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, count(*) AS row_count, sum({columns[0]} % 1000003)::BIGINT AS key_sum FROM raw_{table}"
+        for table, columns in COLUMNS.items()
+    ),
     "export_csv_json": f"""
         SELECT format, year, month, month_name, {ORDERS} AS order_count, count(*) AS line_item_count,
                {NET} AS total_net_amount, sum(quantity)::BIGINT AS total_quantity
