@@ -252,17 +252,26 @@ def host_of(url):
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@?#]*@)?([^/:?#]*)", 1)), F.lit(""))
 
 
-def host_paths(pages: DataFrame, url: str = "url", html: str = "html", least_share: float = LEAST_SHARE) -> DataFrame:
-    """host and its winning ``paths``; at most 1 / ``least_share`` of them."""
-    own = pages.select(host_of(F.col(url)).alias("host"), F.col(html).alias("html"))
+def _row_key(url: str, html: str):
+    """A hash that spreads the pages of a host; equal for equal pages only, but for collisions of 64 bits."""
+    return F.xxhash64(F.col(url), F.col(html))
+
+
+def page_votes(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+    """host, key and best path of every page, written."""
+    own = pages.select(host_of(F.col(url)).alias("host"), _row_key(url, html).alias("key"), F.col(html).alias("html"))
 
     def make(batch: pa.RecordBatch) -> list:
         return [pa.array([best_path(parse(h)) if h else None for h in batch.column("html").to_pylist()], pa.string())]
 
-    votes = with_columns(own, "html", [T.StructField("path", T.StringType())], make, ["host"])
-    counted = materialise(
-        votes.where("path is not null").groupBy("host", "path").agg(F.count("*").alias("votes")), "votes"
+    return materialise(
+        with_columns(own, "html", [T.StructField("path", T.StringType())], make, ["host", "key"]), "votes"
     )
+
+
+def host_paths(votes: DataFrame, least_share: float = LEAST_SHARE) -> DataFrame:
+    """host and its winning ``paths``; at most 1 / ``least_share`` of them."""
+    counted = votes.where("path is not null").groupBy("host", "path").agg(F.count("*").alias("votes"))
     totals = counted.groupBy("host").agg(F.sum("votes").alias("pages"))
     winners = counted.join(totals, "host").where(F.col("votes") >= least_share * F.col("pages"))
     ranked = winners.groupBy("host").agg(F.sort_array(F.collect_list(F.struct((-F.col("votes")).alias("n"), "path"))).alias("r"))
@@ -279,8 +288,13 @@ def extract(
     replaced.
     """
     names = pages.columns if keep is None else keep
-    winners = host_paths(pages, url, html).select(F.col("host").alias("__of"), F.col("paths").alias("__paths"))
-    joined = pages.join(winners, host_of(F.col(url)) == F.col("__of"), "left")
+    votes = page_votes(pages, url, html)
+    # Paths reach the pages by the key of the page: narrow rows are joined by host, and the html
+    # of a host with very many pages is spread.
+    narrow = votes.select("host", "key").distinct().join(host_paths(votes), "host")
+    of_page = narrow.select(F.col("host").alias("__of"), F.col("key").alias("__key"), F.col("paths").alias("__paths"))
+    same = (_row_key(url, html) == F.col("__key")) & (host_of(F.col(url)) == F.col("__of"))
+    joined = pages.join(of_page, same, "left")
 
     def make(batch: pa.RecordBatch) -> list:
         rows = zip(batch.column(html).to_pylist(), batch.column("__paths").to_pylist())
