@@ -29,8 +29,8 @@ from starloom.llm.frames import map_batches, spread, utf8, with_columns
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 NO_RANK = np.int32(2**31 - 1)
 #: Pre-tokens remembered by a Python worker between bites; then it starts afresh.
-REMEMBERED = 700_000
-ENCODE_BITE = 12 << 20
+REMEMBERED = 400_000
+ENCODE_BITE = 6 << 20
 
 
 class RankQueue:
@@ -185,7 +185,7 @@ class Memory(dict):
         self.vocabulary = vocabulary
         self.known = 0
         self.flat = np.empty(0, np.int32)
-        self.starts = self.counts = np.empty(0, np.int64)
+        self.starts = self.counts = np.empty(0, np.int32)
 
     def __missing__(self, piece: str) -> int:
         number = self[piece] = len(self)
@@ -203,7 +203,8 @@ class Memory(dict):
         counts[rest] = sizes
         flat = np.repeat(whole, counts).astype(np.int32)
         flat[flat < 0] = ids
-        starts = np.cumsum(counts) - counts + len(self.flat)
+        counts = counts.astype(np.int32)
+        starts = np.cumsum(counts, dtype=np.int32) - counts + np.int32(len(self.flat))
         self.flat = np.concatenate([self.flat, flat])
         self.starts = np.concatenate([self.starts, starts])
         self.counts = np.concatenate([self.counts, counts])
@@ -229,13 +230,14 @@ def encode_texts(texts: list[str], path: str, pattern: str) -> tuple[np.ndarray,
     """Ids of all texts one after another, and the offsets of each text in them."""
     memory = remembered(path)
     split, number = regex.compile(pattern).findall, memory.__getitem__
-    numbers = [np.fromiter(map(number, split(text)), np.int64) for text in texts]
+    numbers = [np.fromiter(map(number, split(text)), np.int32) for text in texts]
     memory.learn()
     sizes = np.array([len(x) for x in numbers], np.int64)
-    every = np.concatenate(numbers) if numbers else np.empty(0, np.int64)
+    every = np.concatenate(numbers) if numbers else np.empty(0, np.int32)
+    del numbers
     counts = memory.counts[every]
     ids = memory.flat[spread(memory.starts[every], counts)]
-    totals = np.concatenate([[0], np.cumsum(counts)])
+    totals = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
     return ids, totals[np.concatenate([[0], np.cumsum(sizes)])]
 
 

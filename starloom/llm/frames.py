@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import tempfile
 import zipfile
@@ -20,6 +22,9 @@ from starloom.session import scratch_path
 #: whatever the size of an Arrow batch. One text is never split here.
 BITE = 1 << 20
 
+#: Rows of an Arrow batch at most: texts are long, and both sides hold whole batches.
+ARROW_ROWS = 2000
+
 Make = Callable[[pa.RecordBatch], list]
 
 
@@ -41,13 +46,29 @@ def ship(spark: SparkSession) -> None:
         for source in sorted(package.rglob("*.py")):
             out.write(source, source.relative_to(package.parent))
     context.addPyFile(str(archive))
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > ARROW_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
     _shipped.add(context.applicationId)
 
 
 def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema):
-    """``mapInArrow`` with this package at hand in the workers."""
+    """``mapInArrow`` with this package at hand in the workers, which give memory back after each task."""
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            _give_back()
+
+    return df.mapInArrow(task, schema)
+
+
+def _give_back() -> None:
+    """Return freed memory to the system: workers live on between tasks of different operators."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def utf8(column) -> pa.Array:
@@ -168,7 +189,9 @@ def key_blocks(batches: Iterator[pa.RecordBatch], key: str, size: int) -> Iterat
 
 
 def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The numbers start, start + 1, ... of each run, one run after another."""
-    ends = np.cumsum(lengths)
+    """The numbers start, start + 1, ... of each run, one run after another, in the type of ``starts``."""
+    ends = np.cumsum(lengths, dtype=starts.dtype)
     total = int(ends[-1]) if len(ends) else 0
-    return np.repeat(starts - (ends - lengths), lengths) + np.arange(total, dtype=np.int64)
+    out = np.arange(total, dtype=starts.dtype)
+    out += np.repeat(starts - (ends - lengths), lengths)
+    return out
