@@ -1,10 +1,14 @@
 """Quality rules with line frequency across documents.
 
 Each document is described once (word counts, repeated windows, hashes of its normalised lines).
-Lines are counted per host over its distinct texts, so that copies of one document do not make its
-own lines look like boilerplate. A line in more than ``limit`` texts of a host is removed, and a
-document with less than ``least_left`` of its words left is depleted. Documents that fail the base
-rules or are depleted are rejected.
+Lines are counted per host over its distinct texts, told apart by their normalised lines. Copies with
+small changes are distinct texts too, but their lines are no boilerplate: they keep the company of
+the same long lines, where boilerplate stands in unrelated texts. So the companion of a line is the
+longest other line of its text; a line is above the limit if it has more than ``limit`` companions in
+a host, and more than half as many as texts. It is removed, and a document with less than ``least_left``
+of its words left is depleted. Documents that fail the base rules or are depleted are rejected.
+
+Lines of more than ``LONG_LINE`` words are passages, which the deduplication of texts is for; they stay.
 
 A line is normalised by dropping white space and digits and lowering ASCII letters.
 """
@@ -24,14 +28,24 @@ from starloom.session import materialise
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
-#: A line in more distinct texts of a host is removed from all of them.
+#: A line with more companions in a host is removed from all of its texts.
 LINE_LIMIT = 10
+#: Longer lines are no boilerplate.
+LONG_LINE = 40
 #: Share of the words that must be left.
 LEAST_LEFT = 0.3
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-_LINES = T.ArrayType(T.StructType([T.StructField("line", T.LongType()), T.StructField("words", T.IntegerType())]))
-FIELDS = [T.StructField(c, T.LongType()) for c in COUNTS] + [T.StructField("lines", _LINES)]
+_LINES = T.ArrayType(
+    T.StructType(
+        [T.StructField("line", T.LongType()), T.StructField("words", T.IntegerType()), T.StructField("companion", T.LongType())]
+    )
+)
+FIELDS = [
+    *(T.StructField(c, T.LongType()) for c in COUNTS),
+    T.StructField("identity", T.LongType()),
+    T.StructField("lines", _LINES),
+]
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
@@ -77,6 +91,21 @@ def _repeated_words(word_hashes: np.ndarray, before: np.ndarray) -> np.ndarray:
     return hashing.per_text(np.cumsum(edges)[:n] > 0, before)
 
 
+def _companions(line: np.ndarray, words: np.ndarray, owner: np.ndarray, texts: int) -> np.ndarray:
+    """For each line the longest line of its text that differs from it; 0 if there is none."""
+
+    def longest(some: np.ndarray) -> np.ndarray:
+        out = np.zeros(texts, np.uint64)
+        order = np.lexsort((line[some], words[some], owner[some]))
+        out[owner[some][order]] = line[some][order]  # the last of each text stays
+        return out
+
+    every = np.arange(len(line))
+    top = longest(every)
+    second = longest(every[line != top[owner]])
+    return np.where(line == top[owner], second[owner], top[owner])
+
+
 def describe_batch(texts: pa.Array) -> list:
     raw, offsets = buffer(texts)
     begin, end, before = hashing.words(raw, offsets)
@@ -98,16 +127,28 @@ def describe_batch(texts: pa.Array) -> list:
 
     kept = ~_DROPPED[raw]
     place = np.concatenate([[0], np.cumsum(kept, dtype=np.int64)])
-    normal = hashing.Prefix(_LOWER[raw[kept]], 1).of(place[starts], place[ends]).view(np.int64)
+    normal = hashing.Prefix(_LOWER[raw[kept]], 1).of(place[starts], place[ends])
+    first_line = np.cumsum(n_lines) - n_lines
+    nth = (np.arange(len(owner)) - first_line[owner]).astype(np.uint64)
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(hashing.mix(normal + hashing.mix(nth)), dtype=np.uint64)])
+    identity = sums[first_line + n_lines] - sums[first_line]
     lines = pa.ListArray.from_arrays(
         pa.array(np.concatenate([[0], np.cumsum(n_lines)]).astype(np.int32)),
-        pa.StructArray.from_arrays([pa.array(normal), pa.array(in_line.astype(np.int32))], ["line", "words"]),
+        pa.StructArray.from_arrays(
+            [
+                pa.array(normal.view(np.int64)),
+                pa.array(in_line.astype(np.int32)),
+                pa.array(_companions(normal, in_line, owner, len(texts)).view(np.int64)),
+            ],
+            ["line", "words", "companion"],
+        ),
     )
-    return [pa.array(x.astype(np.int64)) for x in (n_words, word_chars, n_symbols, n_dup, repeated)] + [lines]
+    counts = [pa.array(x.astype(np.int64)) for x in (n_words, word_chars, n_symbols, n_dup, repeated)]
+    return [*counts, pa.array(identity.view(np.int64)), lines]
 
 
 def describe(df: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``df`` with the counts of the base rules and the hashes of its lines that have a word.
+    """``df`` with the counts of the base rules, the hashes of its lines that have a word, and one of them all.
 
     Null and empty texts have zeros and no lines.
     """
@@ -139,11 +180,13 @@ def verdicts(
     # Written once, so that the row numbers are fixed and texts are read and parsed once.
     described = materialise(described, "lines")
     # A text's lines are read from one of its rows per host.
-    distinct = described.groupBy("host", "text_key").agg(F.min("row").alias("row"))
-    one_each = described.select("row", "host", F.explode(F.array_distinct("lines.line")).alias("line")).join(
-        distinct.select("row"), "row", "left_semi"
-    )
-    common = one_each.groupBy("host", "line").agg(F.count("*").alias("texts")).where(F.col("texts") > limit)
+    distinct = described.groupBy("host", "identity").agg(F.min("row").alias("row"))
+    short = F.filter("lines", lambda x: x["words"] <= LONG_LINE)
+    each = F.explode(F.array_distinct(F.transform(short, lambda x: F.struct(x["line"], x["companion"]))))
+    one_each = described.select("row", "host", each.alias("it")).join(distinct.select("row"), "row", "left_semi")
+    company = one_each.groupBy("host", "it.line", "it.companion").agg(F.count("*").alias("texts"))
+    counted = company.groupBy("host", "line").agg(F.count("*").alias("companions"), F.sum("texts").alias("texts"))
+    common = counted.where((F.col("companions") > limit) & (2 * F.col("companions") > F.col("texts")))
     placed = described.select("row", "host", F.posexplode("lines").alias("number", "it")).select(
         "row", "host", "number", "it.line", "it.words"
     )
