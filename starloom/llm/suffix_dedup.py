@@ -245,21 +245,8 @@ def _union(at: np.ndarray, stop: np.ndarray) -> tuple[list[int], list[int]]:
     return at[heads].tolist(), reach[np.concatenate([heads[1:], [len(at)]]) - 1].tolist()
 
 
-def deduplicate(
-    docs: DataFrame,
-    doc_id: str = "doc_id",
-    text: str = "text",
-    length: int = LENGTH,
-    gram: int = GRAM,
-    group: int = GROUP,
-) -> DataFrame:
-    """``docs`` with ``removed_spans`` (byte offsets, maximal runs) and ``kept_bytes``, what is left of the text.
-
-    Null and empty texts lose nothing and keep no bytes. Texts shorter than ``length`` bytes lose
-    nothing. Null ids come before all others. Equal rows lose the same bytes; rows with one id and
-    different texts are ordered by a hash of the text. An empty table stays empty. Columns that
-    have the names of the two new ones are replaced.
-    """
+def _with_removed(docs: DataFrame, doc_id: str, text: str, length: int, gram: int, group: int) -> DataFrame:
+    """``docs`` with the removed windows of each text in ``__gone``."""
     base = docs.select(
         F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("text_key"), F.col(text).alias("text")
     )
@@ -271,37 +258,60 @@ def deduplicate(
         "gone",
     )
     scratch.clear()
-    names = [c for c in docs.columns if c.lower() not in ("removed_spans", "kept_bytes")]
     d, m = docs.alias("d"), gone.alias("m")
     same = F.col(f"d.`{doc_id}`").eqNullSafe(F.col("m.doc_id")) & (
         F.xxhash64(F.col(f"d.`{text}`")) == F.col("m.text_key")
     )
-    joined = d.join(m, same, "left").select(*[F.col(f"d.`{c}`") for c in names], "m.__gone")
+    return d.join(m, same, "left").select(*[F.col(f"d.`{c}`") for c in docs.columns], "m.__gone")
+
+
+def _texts_and_spans(batch: pa.RecordBatch, text: str, length: int) -> Iterator[tuple[bytes, list[int], list[int]]]:
+    """The bytes of each text, and begin and end of its removed spans."""
+    raw, offsets = buffer(utf8(batch.column(text)))
+    lists = batch.column("__gone")
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.cumsum(sizes)
+    flat = lists.flatten()
+    at = flat.field("at").to_numpy(zero_copy_only=False)
+    stop = at + flat.field("span").to_numpy(zero_copy_only=False) + length
+    for row, (start, end) in enumerate(zip((ends - sizes).tolist(), ends.tolist())):
+        own = raw[offsets[row] : offsets[row + 1]].tobytes()
+        begins, stops = _union(at[start:end], stop[start:end]) if start < end else ([], [])
+        yield own, begins, stops
+
+
+def _cut(raw: bytes, begins: list[int], stops: list[int]) -> bytes:
+    edges = [0, *(x for pair in zip(begins, stops) for x in pair), len(raw)]
+    return b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2]))
+
+
+def deduplicate(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    length: int = LENGTH,
+    gram: int = GRAM,
+    group: int = GROUP,
+) -> DataFrame:
+    """``docs`` with ``removed_spans`` (byte offsets, maximal runs) and ``kept_bytes``, what is left of the text.
+
+    Null and empty texts lose nothing and keep no bytes. Texts shorter than ``length`` bytes lose
+    nothing. Null ids come before all others. Equal rows lose the same bytes; rows with one id and
+    different texts are ordered by a hash of the text. An empty table stays empty. Columns that
+    have the names of the two new ones are replaced.
+    """
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
 
     def make(batch: pa.RecordBatch) -> list:
-        raw, offsets = buffer(utf8(batch.column(text)))
-        lists = batch.column("__gone")
-        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-        ends = np.cumsum(sizes)
-        flat = lists.flatten()
-        at = flat.field("at").to_numpy(zero_copy_only=False)
-        stop = at + flat.field("span").to_numpy(zero_copy_only=False) + length
         spans, kept = [], []
-        for row, (start, end) in enumerate(zip((ends - sizes).tolist(), ends.tolist())):
-            own = raw[offsets[row] : offsets[row + 1]].tobytes()
-            if start == end:
-                spans.append([])
-                kept.append(own)
-                continue
-            begins, stops = _union(at[start:end], stop[start:end])
+        for raw, begins, stops in _texts_and_spans(batch, text, length):
             spans.append([{"start": a, "stop": b} for a, b in zip(begins, stops)])
-            edges = [0, *(x for pair in zip(begins, stops) for x in pair), len(own)]
-            kept.append(b"".join(own[a:b] for a, b in zip(edges[::2], edges[1::2])))
-        kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
+            kept.append(_cut(raw, begins, stops))
         return [pa.array(spans, kind), pa.array(kept, pa.binary())]
 
     fields = [T.StructField("removed_spans", SPANS), T.StructField("kept_bytes", T.BinaryType())]
-    return with_columns(joined, text, fields, make, names, BITE, ("__gone",))
+    joined = _with_removed(docs, doc_id, text, length, gram, group)
+    return with_columns(joined, text, fields, make, docs.columns, BITE, ("__gone",))
 
 
 def _whole_characters(raw: bytes, start: int, stop: int) -> tuple[int, int]:
@@ -316,23 +326,20 @@ def _whole_characters(raw: bytes, start: int, stop: int) -> tuple[int, int]:
 def apply(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """``docs``, all rows and columns, with the removed spans cut out of the text, whole characters only.
 
-    See :func:`deduplicate` for nulls, empty and short texts and repeated rows; a null text stays null.
+    See :func:`deduplicate` for empty and short texts and repeated rows; a null text stays null.
     """
-    spans = deduplicate(docs, doc_id, text, length).drop("kept_bytes")
 
     def make(batch: pa.RecordBatch) -> list:
+        there = batch.column(text).is_valid().to_pylist()
         out = []
-        for value, removed in zip(batch.column(text).to_pylist(), batch.column("removed_spans").to_pylist()):
-            if removed:
-                raw = value.encode()
-                edges = [0, *(x for s in removed for x in _whole_characters(raw, s["start"], s["stop"])), len(raw)]
-                value = b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2])).decode()
-            out.append(value)
+        for valid, (raw, begins, stops) in zip(there, _texts_and_spans(batch, text, length)):
+            whole = [_whole_characters(raw, a, b) for a, b in zip(begins, stops)]
+            out.append(_cut(raw, [a for a, _ in whole], [b for _, b in whole]).decode() if valid else None)
         return [pa.array(out, pa.string())]
 
-    names = [c for c in docs.columns if c.lower() not in ("removed_spans", "kept_bytes")]
+    names = docs.columns
     cut = with_columns(
-        spans, text, [T.StructField("__text", T.StringType())], make, [c for c in names if c != text],
-        uses=("removed_spans",),
+        _with_removed(docs, doc_id, text, length, GRAM, GROUP), text, [T.StructField("__text", T.StringType())], make,
+        [c for c in names if c != text], uses=("__gone",),
     )
     return cut.select(*[F.col("__text").alias(text) if c == text else F.col(f"`{c}`") for c in names])
