@@ -11,6 +11,9 @@ BYTE_VALUES = _rng.integers(1, 2**63, (2, 256), dtype=np.uint64) * np.uint64(2)
 BASES = [int(x) | 1 for x in _rng.integers(2**62, 2**63, 2, dtype=np.uint64)]
 INVERSES = [pow(b, -1, 2**64) for b in BASES]
 
+#: Powers that a worker keeps; those for longer buffers are made anew.
+REMEMBERED = 1 << 21
+
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -20,7 +23,9 @@ def powers(base: int, n: int) -> np.ndarray:
     if have is None or len(have) < n:
         filled = np.full(max(n, 1 << 16), np.uint64(base))
         filled[0] = 1
-        have = _powers[base] = np.cumprod(filled, dtype=np.uint64)
+        have = np.cumprod(filled, dtype=np.uint64)
+        if n <= REMEMBERED:
+            _powers[base] = have
     return have[:n]
 
 

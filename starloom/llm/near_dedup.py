@@ -40,7 +40,7 @@ BANDS = 6
 ROWS = 2
 ROUNDS = 2
 BLOCK_TEXTS = 1024
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 LARGE = 8 * BLOCK_TEXTS
 DF_BUCKETS = 1 << 17
 
@@ -249,7 +249,11 @@ def connect(row: np.ndarray, key: np.ndarray, count: np.ndarray, idf: np.ndarray
         part = np.zeros((texts, min(width, int(column[-1]) + 1 - start)), np.float32)
         part[row[a:b], column[a:b] - start] = weight[a:b]
         common += part @ part.T
-    linked = common >= SIMILARITY * (total[:, None] + total[None, :] - common) - 1e-4 * np.maximum(total, 1)[:, None]
+    total = total.astype(np.float32)
+    # common >= SIMILARITY * (total a + total b - common), with room for rounding
+    common *= np.float32(1 + SIMILARITY)
+    common += np.float32(1e-4) * np.maximum(total, 1)[:, None]
+    linked = common >= np.float32(SIMILARITY) * (total[:, None] + total[None, :])
     parent = list(range(texts))
 
     def root(x: int) -> int:
@@ -294,10 +298,15 @@ def _compare_buckets(buckets: DataFrame, texts: DataFrame, idf) -> DataFrame:
     schema = T.StructType([T.StructField(c, texts.schema["text_key"].dataType) for c in ("member", "leader")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in key_blocks(batches, "gram", BLOCK_BYTES):
+        for block in key_blocks(batches, "gram", 2 << 20):
             gram = block.column("gram").to_numpy(zero_copy_only=False)
             heads = [0, *(np.flatnonzero(gram[1:] != gram[:-1]) + 1).tolist(), len(gram)]
-            row, key, count = shingles(utf8(block.column("text")))
+            found, start = [], 0
+            for part in bites(block, "text"):  # the arrays behind shingles are many times the text
+                row, key, count = shingles(utf8(part.column("text")))
+                found.append((row + start, key, count))
+                start += part.num_rows
+            row, key, count = (np.concatenate(x) for x in zip(*found))
             bounds = np.searchsorted(row, heads)
             member, leader = [], []
             for a, b, s, e in zip(heads, heads[1:], bounds, bounds[1:]):
