@@ -2,49 +2,53 @@
 
 Each document is described once (word counts, repeated windows, hashes of its normalised lines).
 Lines are counted per host over its distinct texts, told apart by their normalised lines. Copies with
-small changes are distinct texts too, but their lines are no boilerplate: they keep the company of
-the same long lines, where boilerplate stands in unrelated texts. So the companion of a line is the
-longest other line of its text; a line is above the limit if it has more than ``limit`` companions in
-a host, and more than half as many as texts. It is removed, and a document with less than ``least_left``
-of its words left is depleted. Documents that fail the base rules or are depleted are rejected.
+small changes are distinct texts too, but count once: two texts are near copies if lines with
+``NEAR_COPY`` of the words of either stand in the other, and a class is what near copies connect. A
+line in more than ``limit`` classes of a host is removed, and a document with less than
+``least_left`` of its words left is depleted. Documents that fail the base rules or are depleted are
+rejected.
 
-Lines of more than ``LONG_LINE`` words are passages, which the deduplication of texts is for; they stay.
+Only texts with a line in more than ``limit`` texts need classes. Each has ``SAMPLES`` of its lines,
+drawn consistently by their words. Texts of a host that share a sample are compared, line by line,
+with one of them, and verified links are connected. A near copy that shares no sample with its class
+(less than one in a thousand) or meets no member of it counts by itself, as any distinct text.
 
 A line is normalised by dropping white space and digits and lowering ASCII letters.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm import hashing
-from starloom.llm.frames import buffer, utf8, with_columns
+from starloom.llm import hashing, near_dedup
+from starloom.llm.frames import Scratch, buffer, map_batches, utf8, with_columns
 from starloom.session import materialise
 
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
-#: A line with more companions in a host is removed from all of its texts.
+#: A line in more classes of texts of a host is removed from all of its texts.
 LINE_LIMIT = 10
-#: Longer lines are no boilerplate.
-LONG_LINE = 40
+#: Share of the words of either of two near copies that stand in lines of the other.
+NEAR_COPY = 0.75
+#: Lines drawn from each text to find its near copies.
+SAMPLES = 8
 #: Share of the words that must be left.
 LEAST_LEFT = 0.3
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-_LINES = T.ArrayType(
-    T.StructType(
-        [T.StructField("line", T.LongType()), T.StructField("words", T.IntegerType()), T.StructField("companion", T.LongType())]
-    )
-)
+_LINES = T.ArrayType(T.StructType([T.StructField("line", T.LongType()), T.StructField("words", T.IntegerType())]))
 FIELDS = [
     *(T.StructField(c, T.LongType()) for c in COUNTS),
     T.StructField("identity", T.LongType()),
     T.StructField("lines", _LINES),
+    T.StructField("samples", T.ArrayType(T.LongType())),
 ]
 
 _SYMBOL = np.zeros(256, bool)
@@ -91,19 +95,20 @@ def _repeated_words(word_hashes: np.ndarray, before: np.ndarray) -> np.ndarray:
     return hashing.per_text(np.cumsum(edges)[:n] > 0, before)
 
 
-def _companions(line: np.ndarray, words: np.ndarray, owner: np.ndarray, texts: int) -> np.ndarray:
-    """For each line the longest line of its text that differs from it; 0 if there is none."""
-
-    def longest(some: np.ndarray) -> np.ndarray:
-        out = np.zeros(texts, np.uint64)
-        order = np.lexsort((line[some], words[some], owner[some]))
-        out[owner[some][order]] = line[some][order]  # the last of each text stays
-        return out
-
-    every = np.arange(len(line))
-    top = longest(every)
-    second = longest(every[line != top[owner]])
-    return np.where(line == top[owner], second[owner], top[owner])
+def _samples(line: np.ndarray, words: np.ndarray, owner: np.ndarray, texts: int) -> pa.Array:
+    """Consistent samples of the lines of each text, weighted by words; none for a text without lines."""
+    order = np.lexsort((line, owner))
+    line, words, owner = line[order], words[order], owner[order]
+    first = np.ones(len(line), bool)
+    first[1:] = (line[1:] != line[:-1]) | (owner[1:] != owner[:-1])
+    line, words, owner = line[first], words[first].astype(np.float32), owner[first]
+    drawn = np.zeros((texts, SAMPLES), np.uint64)
+    for number in range(SAMPLES):
+        drawn[:, number] = near_dedup.samples(owner, line, words, texts, number) + np.uint64(number)
+    some = np.zeros(texts, bool)
+    some[owner] = True
+    offsets = np.concatenate([[0], np.cumsum(some * SAMPLES)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(drawn[some].ravel().view(np.int64)))
 
 
 def describe_batch(texts: pa.Array) -> list:
@@ -138,23 +143,64 @@ def describe_batch(texts: pa.Array) -> list:
             [
                 pa.array(normal.view(np.int64)),
                 pa.array(in_line.astype(np.int32)),
-                pa.array(_companions(normal, in_line, owner, len(texts)).view(np.int64)),
             ],
-            ["line", "words", "companion"],
+            ["line", "words"],
         ),
     )
     counts = [pa.array(x.astype(np.int64)) for x in (n_words, word_chars, n_symbols, n_dup, repeated)]
-    return [*counts, pa.array(identity.view(np.int64)), lines]
+    return [*counts, pa.array(identity.view(np.int64)), lines, _samples(normal, in_line, owner, len(texts))]
 
 
 def describe(df: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``df`` with the counts of the base rules, the hashes of its lines that have a word, and one of them all.
+    """``df`` with the counts of the base rules, the hashes of its lines that have a word, one of them all, and samples.
 
     Null and empty texts have zeros and no lines.
     """
     return with_columns(df, text, FIELDS, lambda batch: describe_batch(utf8(batch.column(text))), keep)
 
 
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Line, words and row of all lines of a column of lists."""
+    flat = column.flatten()
+    owner = np.repeat(np.arange(len(column)), np.diff(column.offsets.to_numpy()))
+    line, words = (flat.field(x).to_numpy(zero_copy_only=False) for x in ("line", "words"))
+    return line.view(np.uint64), words.astype(float), owner
+
+
+def _near_copies(left: pa.Array, right: pa.Array) -> np.ndarray:
+    """Whether the texts with these lines are near copies."""
+    near = np.ones(len(left), bool)
+    own = [(hashing.mix(line + hashing.mix(row.astype(np.uint64))), words, row) for line, words, row in map(_flat, (left, right))]
+    for (key, words, row), (other, _, _) in (own, own[::-1]):
+        shared = np.bincount(row, words * np.isin(key, other), len(left))
+        near &= shared >= NEAR_COPY * np.bincount(row, words, len(left))
+    return near
+
+
+def _classes(texts: DataFrame, scratch: Scratch) -> DataFrame:
+    """row and ``label`` of the texts (row, host, identity, lines, samples) that have near copies in their host."""
+    bucket = F.xxhash64(F.col("host").isNull(), "host", "sample").alias("bucket")
+    drawn = texts.select("row", "host", "identity", F.explode("samples").alias("sample")).select(bucket, "row", "identity")
+    leaders = drawn.groupBy("bucket").agg(F.min(F.struct("identity", "row")).alias("lead"), F.count("*").alias("n"))
+    pairs = (
+        drawn.join(leaders.where("n > 1").select("bucket", F.col("lead.row").alias("leader")), "bucket")
+        .where("row <> leader")
+        .select(F.col("row").alias("member"), "leader")
+        .distinct()
+    )
+    both = pairs.join(texts.select(F.col("row").alias("member"), F.col("lines").alias("own")), "member").join(
+        texts.select(F.col("row").alias("leader"), F.col("lines").alias("others")), "leader"
+    )
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = pa.array(_near_copies(batch.column("own"), batch.column("others")))
+            yield batch.select(["member", "leader"]).filter(near)
+
+    links = scratch.write(map_batches(both, verify, "member long, leader long"), "near-copies")
+    return near_dedup.components(links, scratch).select(F.col("node").alias("row"), "label")
+
+
 def verdicts(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -181,12 +227,25 @@ def verdicts(
     described = materialise(described, "lines")
     # A text's lines are read from one of its rows per host.
     distinct = described.groupBy("host", "identity").agg(F.min("row").alias("row"))
-    short = F.filter("lines", lambda x: x["words"] <= LONG_LINE)
-    each = F.explode(F.array_distinct(F.transform(short, lambda x: F.struct(x["line"], x["companion"]))))
-    one_each = described.select("row", "host", each.alias("it")).join(distinct.select("row"), "row", "left_semi")
-    company = one_each.groupBy("host", "it.line", "it.companion").agg(F.count("*").alias("texts"))
-    counted = company.groupBy("host", "line").agg(F.count("*").alias("companions"), F.sum("texts").alias("texts"))
-    common = counted.where((F.col("companions") > limit) & (2 * F.col("companions") > F.col("texts")))
+    each = F.explode(F.array_distinct(F.transform("lines", lambda x: x["line"]))).alias("line")
+    one_each = described.select("row", "host", each).join(distinct.select("row"), "row", "left_semi")
+    often = one_each.groupBy("host", "line").agg(F.count("*").alias("texts")).where(F.col("texts") > limit)
+    one, many = one_each.alias("o"), often.alias("m")
+    scratch = Scratch(docs.sparkSession)
+    held = scratch.write(
+        one.join(
+            many, F.col("o.host").eqNullSafe(F.col("m.host")) & (F.col("o.line") == F.col("m.line")), "left_semi"
+        ),
+        "frequent-lines",
+    )
+    texts = described.select("row", "host", "identity", "lines", "samples").join(
+        held.select("row").distinct(), "row", "left_semi"
+    )
+    labels = _classes(scratch.write(texts, "frequent-texts"), scratch)
+    classed = held.join(labels, "row", "left").select("host", "line", F.coalesce("label", "row").alias("label"))
+    counted = classed.distinct().groupBy("host", "line").agg(F.count("*").alias("classes"))
+    common = materialise(counted.where(F.col("classes") > limit).select("host", "line"), "boilerplate")
+    scratch.clear()
     placed = described.select("row", "host", F.posexplode("lines").alias("number", "it")).select(
         "row", "host", "number", "it.line", "it.words"
     )
@@ -197,7 +256,7 @@ def verdicts(
     lost = hit.groupBy("row").agg(
         F.sum("words").cast("bigint").alias("words_lost"), F.sort_array(F.collect_list("number")).alias("removed")
     )
-    judged = described.drop("lines").join(lost, "row", "left")
+    judged = described.drop("lines", "samples").join(lost, "row", "left")
     base_failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
     )

@@ -80,6 +80,25 @@ def test_lines_are_counted_per_host(spark):
     assert all(r.removed for r in quality_rules.verdicts(make_documents(spark, rows), limit=9).collect())
 
 
+def test_boilerplate_goes_beside_a_long_line_and_near_copies(spark):
+    banners = ["Subscribe to our letter now", "Share this with your friends"]
+    # All texts of a host share a notice that is longer than their own lines.
+    notice = prose("notice", 50)
+    rows = [(i, "\n".join([prose(f"own{i}", 30), notice, *banners]), "en", "long") for i in range(40)]
+    # A line stands in some unrelated texts and in more near copies of one text.
+    copied = [prose(f"line{k}", 20) for k in range(9)]
+    rows += [(100 + i, "\n".join([prose(f"other{i}", 30), banners[0]]), "en", "mixed") for i in range(15)]
+    rows += [(200 + i, "\n".join([*copied, prose(f"new{i}", 10), banners[0]]), "en", "mixed") for i in range(45)]
+    # A long line in unrelated texts, in a host without a name.
+    rows += [(300 + i, "\n".join([prose(f"text{i}", 60), prose("passage", 45)]), "en", None) for i in range(12)]
+    found = {r.doc_id: r for r in quality_rules.verdicts(make_documents(spark, rows)).collect()}
+    assert all(r.kept for r in found.values())
+    assert all(found[i].removed == [1, 2, 3] for i in range(40))
+    assert all(found[100 + i].removed == [1] for i in range(15))
+    assert all(found[200 + i].removed == [10] for i in range(45))
+    assert all(found[300 + i].removed == [1] for i in range(12))
+
+
 def test_rules_on_odd_rows(odd, nothing):
     found = quality_rules.verdicts(odd).collect()
     assert len(found) == odd.count()
