@@ -95,6 +95,27 @@ def test_blocks_of_the_benchmark(spark, monkeypatch):
     assert whole == parts and any(whole.values())
 
 
+def test_many_queries_lose_no_direction(spark):
+    rng = random.Random(8)
+    items = [(i, " ".join(words(rng, 130, "b"))) for i in range(400)]
+    blocks = list(decontaminate._blocks(spark.createDataFrame(items, BENCHMARK), "item_id", "text", None))
+    assert sum(len(b.words) for b in blocks) == 800
+    for block in blocks:
+        none = np.zeros((len(block.vocabulary), decontaminate.SKETCH))
+        space = decontaminate.build_space(block, np.zeros(decontaminate.DF_BUCKETS), none, 1000)
+        # The cosine of each query with its exact copy.
+        assert np.linalg.norm(space.items, axis=1).min() > 0.99
+
+
+def test_an_item_of_many_queries_is_reported_once(spark):
+    item = [f"w{i}" for i in range(16_000)]
+    rows = [(1, " ".join(item[64:192] + [f"x{i}" for i in range(300)] + item[15_872:15_936])), (2, "y " * 100)]
+    benchmark = spark.createDataFrame([(7, " ".join(item)), (8, "z " * 30)], BENCHMARK)
+    assert len(list(decontaminate._blocks(benchmark, "item_id", "text", None))) > 1
+    found = {r.doc_id: r.leaks for r in decontaminate.with_leaks(make_documents(spark, rows), benchmark).collect()}
+    assert [(x.item_id, x.lcs_share) for x in found[1]] == [(7, 1.0)] and found[2] == []
+
+
 def test_leaks_of_odd_rows(spark, odd, nothing):
     benchmark = spark.createDataFrame(
         [(1, None), (2, ""), (3, "!!!"), (4, "the same text twice, row for row, and long enough"), (4, "the same text twice"), (None, "x y z")],
