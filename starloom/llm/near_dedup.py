@@ -327,12 +327,13 @@ def find_links(signatures: DataFrame, base: DataFrame, idf, scratch: Scratch, la
     keyed = signatures.select("text_key", F.explode("keys").alias("bucket"))
     shared = keyed.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     buckets = scratch.write(keyed.join(shared, "bucket"), "buckets")
-    # One row of each text that shares a bucket; equal rows cost time but change nothing.
+    # One row of each text that shares a bucket: equal rows would cancel in the sums of members.
     wanted = signatures.join(buckets, "text_key", "left_semi").select(
         F.col("text_key").alias("key"), F.col("doc_id").alias("first")
     )
     same_row = (F.col("text_key") == F.col("key")) & F.col("doc_id").eqNullSafe(F.col("first"))
-    chosen = scratch.write(base.join(wanted, same_row).select("text_key", "text"), "candidate-texts")
+    rows = base.join(wanted, same_row).select("text_key", "text")
+    chosen = scratch.write(rows.dropDuplicates(["text_key"]), "candidate-texts")
     release(base.sparkSession)
     compare = _Compare(chosen, idf)
     links = []

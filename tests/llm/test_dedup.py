@@ -215,3 +215,16 @@ def test_a_text_can_repeat_itself(spark):
     rows = [(1, "a" * 150), (2, "b" + "a" * 120)]
     kept = {r.doc_id: bytes(r.kept_bytes) for r in suffix_dedup.deduplicate(make_documents(spark, rows)).collect()}
     assert kept == {1: b"a", 2: b"b"}
+
+
+def test_classes_of_a_table_with_every_row_twice(spark):
+    rng = random.Random(12)
+    rows = []
+    for i in range(12):  # pairs of texts of the same size, so that only the members tell the buckets apart
+        own = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(61)]
+        rows += [(2 * i, " ".join(own[:60])), (2 * i + 1, " ".join([*own[:59], own[60]]))]
+    docs = make_documents(spark, rows)
+    found = near_dedup.classes(docs.union(docs)).collect()
+    assert len(found) == 48
+    assert all(r.class_id == r.doc_id // 2 * 2 and r.class_size == 4 for r in found)
+    assert near_dedup.keep_one(docs.union(docs)).count() == 12
