@@ -95,6 +95,31 @@ def test_blocks_of_the_benchmark(spark, monkeypatch):
     assert whole == parts and any(whole.values())
 
 
+def test_short_items_among_rarer_words_are_found(spark):
+    items = [(5, "alpha beta gamma delta epsilon"), (10, " ".join(f"k{i}" for i in range(10)))]
+    rng = random.Random(3)
+    rows, leaking = [], set()
+    for i in range(200):
+        text = [f"u{i}x{k}" for k in range(80)]
+        own = (items[0][1] + " " + items[1][1]).split()
+        rng.shuffle(own)
+        if i < 20:  # exact copies
+            own = items[i % 2][1].split()
+            leaking.add((i, items[i % 2][0]))
+        elif i < 30:  # one word is another
+            own = items[1][1].replace("k4", f"v{i}").split()
+            leaking.add((i, 10))
+        elif i >= 60:
+            own = []
+        step = 1 if i < 30 else 5
+        for k, word in enumerate(own):
+            text.insert(20 + i % 12 + k * step, word)
+        rows.append((i, " ".join(text)))
+    docs, benchmark = make_documents(spark, rows), spark.createDataFrame(items, BENCHMARK)
+    found = {(r.doc_id, x.item_id) for r in decontaminate.with_leaks(docs, benchmark).collect() for x in r.leaks}
+    assert found == leaking
+
+
 def test_many_queries_lose_no_direction(spark):
     rng = random.Random(8)
     items = [(i, " ".join(words(rng, 130, "b"))) for i in range(400)]
