@@ -11,6 +11,7 @@ from starloom.llm import (
     html_text,
     language_id,
     near_dedup,
+    packing,
     quality_classifier,
     quality_rules,
     suffix_dedup,
@@ -104,6 +105,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), keep=["doc_id"], ids=False)
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
