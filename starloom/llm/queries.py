@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from starloom.llm import (
     byte_bpe,
+    conversation_repair,
     decontaminate,
     html_text,
     language_id,
@@ -109,6 +110,11 @@ def op11_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), keep=["doc_id"], ids=False)
 
 
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = conversation_repair.damage(table(spark, sf_dir, "conversations"))
+    return conversation_repair.repair(damaged, copies="copies")
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 

@@ -21,7 +21,7 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 from tokenizers import Tokenizer  # noqa: E402
 
 #: Bytes of units and ids that a worker remembers; beyond them it starts afresh.
-REMEMBERED = 256 << 20
+REMEMBERED = 144 << 20
 
 #: Units given to the library in one call.
 CALL = 4_000
