@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm import (
+    alignment,
     byte_bpe,
     conversation_repair,
     decontaminate,
@@ -110,6 +111,10 @@ def op11_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), keep=["doc_id"], ids=False)
 
 
+def op12_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.compare(table(spark, sf_dir, "documents"), keep=["doc_id"])[0]
+
+
 def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     damaged = conversation_repair.damage(table(spark, sf_dir, "conversations"))
     return conversation_repair.repair(damaged, copies="copies")
