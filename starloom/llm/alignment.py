@@ -217,27 +217,37 @@ class _Document:
     def __init__(self):
         self.counts = [0, 0, 0]
         self.sha = hashlib.sha256()
-        self.pairs: dict[tuple[int, int], int] = {}
+        self.pairs: list[np.ndarray] = []
         self.good, self.going = True, False
 
-    def add(self, counts: list[int], groups: bytes, pairs: list[tuple[int, int, int]], good: bool) -> None:
+    def add(self, counts: list[int], groups: bytes, pairs: np.ndarray, good: bool) -> None:
         self.good, self.going = self.good and good, True
         if self.counts[0] and counts[0]:
             self.sha.update(b";")
         self.sha.update(groups[:-1])
         self.counts = [x + y for x, y in zip(self.counts, counts)]
-        for a, b, n in pairs:
-            self.pairs[a, b] = self.pairs.get((a, b), 0) + n
+        self.pairs.append(pairs)
+        if len(self.pairs) > 64:
+            self.pairs = [_summed(self.pairs)]
 
     def row(self) -> tuple:
         if not self.good or not self.counts[0]:
-            return 0, 0, 0, 0, "", []
+            return 0, 0, 0, 0, "", np.empty((3, 0), np.int64)
         n_a, n_b, n = self.counts
-        return n_a, n_b, n, n, self.sha.hexdigest(), [{"a": a, "b": b, "n": m} for (a, b), m in self.pairs.items()]
+        return n_a, n_b, n, n, self.sha.hexdigest(), _summed(self.pairs)
+
+
+def _summed(pairs: list[np.ndarray]) -> np.ndarray:
+    """Distinct pairs (a, b, n) of the stretches of a text."""
+    if len(pairs) == 1:
+        return pairs[0]
+    a, b, n = np.concatenate(pairs, 1)
+    keys, at = np.unique(a << 32 | b, return_inverse=True)
+    return np.stack([keys >> 32, keys & 0xFFFFFFFF, np.bincount(at, weights=n).astype(np.int64)])
 
 
 def documents(texts: list[str], a: str, b: str) -> Iterator[tuple]:
-    """(row, n_a, n_b, n_groups, n_links, sha256, pairs) of each text."""
+    """(row, n_a, n_b, n_groups, n_links, sha256, distinct pairs as rows a, b and n of an array) of each text."""
     own = _Document()
     for stretch in units.stretches(texts, BITE, _cut):
         parts = [t for _, t, _ in stretch]
@@ -250,13 +260,12 @@ def documents(texts: list[str], a: str, b: str) -> Iterator[tuple]:
         doc = counted.column("doc").to_numpy()
         order = np.argsort(doc, kind="stable")
         marks = np.searchsorted(doc[order], np.arange(len(parts) + 1))
-        pairs = [counted.column(c).to_numpy()[order] for c in ("a", "b", "count_all")]
+        pairs = np.stack([counted.column(c).to_numpy()[order].astype(np.int64) for c in ("a", "b", "count_all")])
         raw = groups.tobytes()
         for n, (row, text, last) in enumerate(stretch):
-            p, q = marks[n], marks[n + 1]
-            triples = list(zip(*(x[p:q].tolist() for x in pairs)))
+            own_pairs = pairs[:, marks[n] : marks[n + 1]]
             counts = [int(n_a[n]), int(n_b[n]), int(n_links[n])]
-            own.add(counts, raw[at[n] : at[n + 1]], triples, bool(counts[0]) or not parts[n])
+            own.add(counts, raw[at[n] : at[n + 1]], own_pairs, bool(counts[0]) or not parts[n])
             if last:
                 yield row, *own.row()
                 own = _Document()
@@ -269,7 +278,7 @@ def aligned(df: DataFrame, text: str, keep: list[str], a: str, b: str) -> DataFr
     schema = T.StructType([df.schema[c] for c in keep] + fields)
     from pyspark.sql.pandas.types import to_arrow_type
 
-    kinds = [to_arrow_type(f.dataType) for f in fields]
+    kinds = [to_arrow_type(f.dataType) for f in fields[:-1]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -277,7 +286,7 @@ def aligned(df: DataFrame, text: str, keep: list[str], a: str, b: str) -> DataFr
             held, weight = [], 0
             for found in documents(texts, a, b):
                 held.append(found)
-                weight += len(found[-1])
+                weight += found[-1].shape[1]
                 if weight > 200_000:
                     yield emit(batch, held)
                     held, weight = [], 0
@@ -285,8 +294,11 @@ def aligned(df: DataFrame, text: str, keep: list[str], a: str, b: str) -> DataFr
                 yield emit(batch, held)
 
     def emit(batch: pa.RecordBatch, held: list[tuple]) -> pa.RecordBatch:
-        rows, *columns = zip(*held)
+        rows, *columns, pairs = zip(*held)
         made = [pa.array(c, kind) for c, kind in zip(columns, kinds)]
+        offsets = np.concatenate([[0], np.cumsum([p.shape[1] for p in pairs])]).astype(np.int32)
+        values = [pa.array(x.astype(np.int32)) for x in np.concatenate(pairs, 1)]
+        made.append(pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(values, ["a", "b", "n"])))
         return pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(rows)) for c in keep] + made, schema.fieldNames())
 
     return map_batches(df.select(*[f"`{c}`" for c in dict.fromkeys([*keep, text])]), run, schema)
