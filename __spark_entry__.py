@@ -15,8 +15,11 @@ from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
 from starloom.functions.scoring import RfmBands  # noqa: E402
+from starloom.operators.as_of import as_of  # noqa: E402
 from starloom.operators.paging import page_after  # noqa: E402
 from starloom.plans import quality, warehouse  # noqa: E402
+from starloom.plans.history import History, previous_value  # noqa: E402
+from starloom.plans.monthly import MonthlySales, by_month, delta  # noqa: E402
 from starloom.plans.reports import catalog, customers, inventory, products, sales, traffic  # noqa: E402
 from starloom.plans.star import MODELS, Star  # noqa: E402
 from starloom.schemas import TABLES  # noqa: E402
@@ -24,7 +27,7 @@ from starloom.session import scratch_path, tune  # noqa: E402
 from starloom.sources.export import export, read_export  # noqa: E402
 from starloom.sources.load import audit, load_all  # noqa: E402
 from starloom.sources.raw import FileTables  # noqa: E402
-from starloom.sources.retail import RetailTables  # noqa: E402
+from starloom.sources.retail import LOAD_DAYS, RetailTables  # noqa: E402
 
 try:  # the text operators stand apart: without them everything else still works
     import corpus_pipeline  # noqa: E402
@@ -132,7 +135,74 @@ def _warehouse_counts(star: Star) -> DataFrame:
     return star.spark.createDataFrame(list(counts.items()), "table_name string, row_count bigint")
 
 
+TRACKED = {
+    "customers": ("customer_id", ("city", "prefecture", "registration_channel")),
+    "products": ("product_id", ("unit_price", "is_active")),
+}
+
+
+def _history(star: Star, table: str) -> History:
+    """Three loads of the dimension, the first one taken to describe the past as well."""
+    key, tracked = TRACKED[table]
+    history = History(star.spark, scratch_path(star.spark, f"history-{table}"), key, tracked)
+    for number, day in enumerate(LOAD_DAYS):
+        history.apply(star.raw.load(table, number), day, first_day=None if number else date(1900, 1, 1))
+    return history
+
+
+def _at_order_time(star: Star) -> DataFrame:
+    """Orders of the sales fact with the version of their customer that was valid on the day."""
+    orders = star.order_totals.select("order_id", "customer_id", "order_date", "net_amount")
+    starts = _history(star, "customers").starts()
+    return as_of(orders, starts, "customer_id", "order_date", "valid_from", ["version_key"])
+
+
+def _city_sales_at_order_time(star: Star) -> DataFrame:
+    history = _history(star, "customers")
+    orders = star.order_totals.select("order_id", "customer_id", "order_date", "net_amount")
+    placed = as_of(orders, history.starts(), "customer_id", "order_date", "valid_from", ["version_key"])
+    cities = history.dimension().select("version_key", "city")
+    per_version = placed.groupBy("version_key").agg(F.count(F.lit(1)).alias("orders"), F.sum("net_amount").alias("net"))
+    return (
+        per_version.join(cities, "version_key", "left")
+        .groupBy("city")
+        .agg(F.sum("orders").alias("order_count"), F.sum("net").alias("total_sales"))
+    )
+
+
+def _monthly(star: Star) -> MonthlySales:
+    """The aggregate after a first load without late lines and with some wrong ones, and two later batches."""
+    lines = star.sales.select("order_id", "product_id", "order_date", "quantity", "net_amount", "discount_rate")
+    late, wrong = F.col("order_id") % 10 == 3, F.col("order_id") % 10 == 7
+    first = lines.where(~late).withColumn("quantity", F.when(wrong, F.col("quantity") + 1).otherwise(F.col("quantity")))
+    monthly = MonthlySales(star.spark, scratch_path(star.spark, "monthly"))
+    monthly.apply("first", by_month(first))
+    monthly.apply("late", delta(lines.where(late)))
+    monthly.apply("corrections", delta(lines.where(wrong), first.where(wrong)))
+    return monthly
+
+
+def _on_monthly(report: Callable[[Star], DataFrame]) -> Callable[[Star], DataFrame]:
+    """A report whose product totals come from the monthly aggregate."""
+
+    def run(star: Star) -> DataFrame:
+        star.rebind_product_totals(_monthly(star).product_totals())
+        return report(star)
+
+    return run
+
+
 REPORTS: dict[str, Callable[[Star], DataFrame]] = {
+    # history of dimensions
+    "customer_history": lambda star: _history(star, "customers").dimension(),
+    "product_history": lambda star: _history(star, "products").dimension(),
+    "customer_previous_city": lambda star: previous_value(_history(star, "customers"), "city"),
+    "order_customer_versions": lambda star: _at_order_time(star).select("order_id", "version_key"),
+    "city_sales_at_order_time": _city_sales_at_order_time,
+    # monthly aggregate
+    "monthly_product_sales": lambda star: _monthly(star).table(),
+    "top_products_from_months": _on_monthly(products.top_products),
+    "category_sales_from_months": _on_monthly(products.category_sales),
     # sources and sinks
     "scan_raw": lambda star: star.raw.table("orders"),
     "raw_load_roundtrip": _json_round_trip,

@@ -33,6 +33,21 @@ REGION_ROWS = ", ".join(f"('{name}', '{region}')" for region, names in REGIONS.i
 DIRTY_STATUS = """CASE o_orderstatus WHEN 'O' THEN 'shipped' WHEN 'F' THEN 'delivered'
     ELSE CASE o_orderpriority WHEN '5-LOW' THEN 'cancelled' WHEN '4-NOT SPECIFIED' THEN 'confirmed' ELSE 'pending' END END"""
 
+LOADS = "(VALUES (0, DATE '1900-01-01'), (1, DATE '1997-06-30'), (2, DATE '1999-06-30')) AS loads (load, day)"
+
+
+def _versions(loads: str, key: str, tracked: str) -> str:
+    """Loads in which a member is new, has changed or has gone, with the days until the next of them."""
+    return f"""
+        SELECT version_key, {key}, {tracked}, present, day AS valid_from,
+               coalesce(lead(day) OVER (PARTITION BY {key} ORDER BY load), DATE '9999-12-31') AS valid_to
+        FROM (SELECT *, row_number() OVER (ORDER BY load, {key}) AS version_key
+              FROM (SELECT *, CASE WHEN present THEN ({tracked})::VARCHAR END AS state,
+                           lag(CASE WHEN present THEN ({tracked})::VARCHAR END) OVER (PARTITION BY {key} ORDER BY load) AS before
+                    FROM {loads})
+              WHERE state IS DISTINCT FROM before)"""
+
+
 LAYERS: dict[str, str] = {
     # operational tables ---------------------------------------------------------------------
     "raw_customers": f"""
@@ -70,7 +85,7 @@ LAYERS: dict[str, str] = {
                CASE WHEN o_orderkey % 7 = 0 THEN 'C' || (o_custkey // 15) END AS coupon_code
         FROM orders""",
     "raw_order_items": """
-        SELECT (l_orderkey * 10 + l_linenumber) * 100000
+        SELECT (l_orderkey * 1024 + l_linenumber) * 4096
                    + row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity,
                        l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS order_item_id,
                l_orderkey AS order_id, l_partkey AS product_id, l_quantity::BIGINT AS quantity,
@@ -256,6 +271,21 @@ LAYERS: dict[str, str] = {
                quantity_available < reorder_point AS is_below_reorder_point,
                quantity_available <= 0 AS is_out_of_stock, days_of_supply
         FROM int_inventory_with_sales JOIN dim_product USING (product_id) JOIN dim_date ON full_date = snapshot_date""",
+    # history --------------------------------------------------------------------------------
+    "customer_loads": f"""
+        SELECT load, day, c_custkey AS customer_id,
+               'city-' || ((c_nationkey + CASE WHEN (c_custkey + load) % 5 = 0 THEN load ELSE 0 END) % 25) AS city,
+               {_pick('c_custkey % 48', PREFECTURES)} AS prefecture,
+               {_pick('c_custkey % 5', ['organic', 'ad_search', 'ad_social', 'referral', 'affiliate'])} AS registration_channel,
+               NOT (c_custkey % 11 = 5 AND load = 0) AND NOT (c_custkey % 13 = 6 AND load = 2) AS present
+        FROM customer, {LOADS}""",
+    "customer_versions": _versions("customer_loads", "customer_id", "city, prefecture, registration_channel"),
+    "product_loads": f"""
+        SELECT load, day, p_partkey AS product_id,
+               (p_retailprice::DECIMAL(12,2) + CASE WHEN (p_partkey + load) % 4 = 0 THEN 10 * load ELSE 0 END)::DECIMAL(12,2) AS unit_price,
+               p_size <= 40 AS is_active, true AS present
+        FROM part, {LOADS}""",
+    "product_versions": _versions("product_loads", "product_id", "unit_price, is_active"),
     # wide rows for the reports -----------------------------------------------------------------
     "sale": """
         SELECT f.* EXCLUDE (unit_price), d.* EXCLUDE (date_key), t.time_period, t.hour_of_day, s.status_code,

@@ -36,10 +36,20 @@ def _count(table: str, **literals: str) -> str:
     return f"SELECT {labels}count(*) AS row_count FROM {table}"
 
 
-NET, PROFIT = "sum(net_amount)::DOUBLE", "sum(gross_profit)::DOUBLE"
-PER_LINE = "sum(net_amount)::DOUBLE / count(net_amount)"
+SUM_NET = "sum(net_amount)"
+NET, PROFIT = f"{SUM_NET}::DOUBLE", "sum(gross_profit)::DOUBLE"
+PER_LINE = ("sum(net_amount)", "count(net_amount)")
 ORDERS = "count(DISTINCT order_id)"
 OUT_DAYS = "count(*) FILTER (is_out_of_stock)"
+
+
+def rounded(numerator: str, denominator: str, digits: int, times: int = 1) -> str:
+    """``times * numerator / denominator`` rounded half up once, by whole numbers; NULL for a zero denominator."""
+    top, bottom = (f"(({part})::DECIMAL(25,6) * 1000000)::HUGEINT" for part in (numerator, denominator))
+    whole = f"(abs({top}) * {2 * times * 10**digits} + abs({bottom})) // nullif(2 * abs({bottom}), 0)"
+    return f"(sign({top}) * sign({bottom}) * ({whole})::DOUBLE / {10**digits})"
+
+
 MONTHLY = f"SELECT year, month, month_name, {ORDERS} AS order_count, "
 
 REPORTS: dict[str, str] = {
@@ -50,7 +60,7 @@ REPORTS: dict[str, str] = {
     "monthly_sales_yoy": f"""
         SELECT now.year_month, now.revenue::DOUBLE AS monthly_revenue, now.orders AS order_count,
                ago.revenue::DOUBLE AS prev_year_revenue,
-               round((now.revenue - ago.revenue)::DOUBLE * 100.0 / nullif(ago.revenue::DOUBLE, 0), 1) AS yoy_growth_pct
+               {rounded('(now.revenue - ago.revenue)', 'ago.revenue', 1, 100)} AS yoy_growth_pct
         FROM months AS now LEFT JOIN months AS ago ON ago.month = now.month AND ago.fiscal_year = now.fiscal_year - 1""",
     "moving_average_7d": f"""
         SELECT full_date, revenue::DOUBLE AS daily_revenue,
@@ -65,19 +75,19 @@ REPORTS: dict[str, str] = {
         FROM sale WHERE hour_of_day IS NOT NULL GROUP BY ALL""",
     "weekday_pattern": f"""
         SELECT day_of_week, day_name, {ORDERS} AS order_count, {NET} AS total_net_amount,
-               round({PER_LINE}, 2) AS avg_net_amount FROM sale GROUP BY ALL""",
+               {rounded(*PER_LINE, 2)} AS avg_net_amount FROM sale GROUP BY ALL""",
     "order_status_analysis": f"""
         SELECT status_label, status_code, count(*) AS item_count, {NET} AS total_net_amount,
-               round({PER_LINE}, 2) AS avg_net_amount FROM sale GROUP BY ALL""",
+               {rounded(*PER_LINE, 2)} AS avg_net_amount FROM sale GROUP BY ALL""",
     "order_status_distribution": f"""
         SELECT status_code, {ORDERS} AS order_count,
-               round({ORDERS} * 100.0::DOUBLE / (SELECT {ORDERS} FROM sale), 1) AS pct FROM sale GROUP BY ALL""",
+               {rounded(ORDERS, f'(SELECT {ORDERS} FROM sale)', 1, 100)} AS pct FROM sale GROUP BY ALL""",
     "payment_distribution": f"""
         SELECT '決済方法分布' AS analysis_type, payment_method, {ORDERS} AS order_count,
-               round({ORDERS} * 100.0::DOUBLE / (SELECT {ORDERS} FROM sale), 1) AS pct FROM sale GROUP BY ALL""",
+               {rounded(ORDERS, f'(SELECT {ORDERS} FROM sale)', 1, 100)} AS pct FROM sale GROUP BY ALL""",
     "device_distribution": f"""
         SELECT 'デバイス分布' AS analysis_type, device_type, {ORDERS} AS order_count,
-               round({ORDERS} * 100.0::DOUBLE / (SELECT {ORDERS} FROM sale), 1) AS pct FROM sale GROUP BY ALL""",
+               {rounded(ORDERS, f'(SELECT {ORDERS} FROM sale)', 1, 100)} AS pct FROM sale GROUP BY ALL""",
     "payment_mix": f"SELECT payment_method, {ORDERS} AS orders, {NET} AS sales FROM sale GROUP BY ALL",
     "order_line_rollup": f"""
         SELECT order_id, count(*) AS line_items, sum(quantity)::BIGINT AS total_qty, {NET} AS order_total
@@ -89,18 +99,18 @@ REPORTS: dict[str, str] = {
     # customers
     "rfm_segment_sales": f"""
         SELECT rfm_segment, count(DISTINCT customer_key) AS customer_count, {NET} AS total_revenue,
-               round({PER_LINE}, 0) AS avg_order_amount FROM customer_sale GROUP BY ALL""",
+               {rounded(*PER_LINE, 0)} AS avg_order_amount FROM customer_sale GROUP BY ALL""",
     "cohort_retention": """
         SELECT cohort_month, year_month AS activity_month, count(DISTINCT customer_key) AS active_customers
         FROM sale JOIN (SELECT customer_key, min(year_month) AS cohort_month FROM sale GROUP BY ALL) USING (customer_key)
         GROUP BY ALL""",
-    "ltv_distribution": """
+    "ltv_distribution": f"""
         SELECT rfm_segment, age_group, count(*) AS customer_count, round(avg(ltv_estimated), 0) AS avg_ltv,
-               round(sum(total_spent)::DOUBLE / count(*), 0) AS avg_total_spent,
-               round(sum(total_orders)::DOUBLE / count(*), 1) AS avg_orders
+               {rounded('sum(total_spent)', 'count(*)', 0)} AS avg_total_spent,
+               {rounded('sum(total_orders)', 'count(*)', 1)} AS avg_orders
         FROM dim_customer WHERE total_orders > 0 GROUP BY ALL""",
-    "rfm_segment_distribution": """
-        SELECT rfm_segment, count(*) AS customer_count, round(sum(total_spent)::DOUBLE / count(*), 0) AS avg_spent,
+    "rfm_segment_distribution": f"""
+        SELECT rfm_segment, count(*) AS customer_count, {rounded('sum(total_spent)', 'count(*)', 0)} AS avg_spent,
                round(avg(ltv_estimated), 0) AS avg_ltv FROM dim_customer WHERE total_orders > 0 GROUP BY ALL""",
     "top_ltv_customers": """
         SELECT full_name, prefecture, region, rfm_segment, total_orders, total_spent::DOUBLE AS total_spent,
@@ -108,23 +118,23 @@ REPORTS: dict[str, str] = {
         FROM (FROM dim_customer WHERE ltv_estimated IS NOT NULL ORDER BY ltv_estimated DESC, customer_id LIMIT 20)""",
     "region_customer_analysis": f"""
         SELECT region, count(DISTINCT customer_key) AS customer_count, {ORDERS} AS order_count,
-               round({PER_LINE}, 2) AS avg_order_amount,
-               round({ORDERS}::DOUBLE / count(DISTINCT customer_key), 2) AS orders_per_customer
+               {rounded(*PER_LINE, 2)} AS avg_order_amount,
+               {rounded(ORDERS, 'count(DISTINCT customer_key)', 2)} AS orders_per_customer
         FROM customer_sale GROUP BY ALL""",
     "region_sales": f"""
         SELECT region, count(DISTINCT customer_key) AS customers, {ORDERS} AS orders, {NET} AS total_sales
         FROM customer_sale GROUP BY ALL""",
-    "segment_distribution": """
+    "segment_distribution": f"""
         SELECT 'RFMセグメント分布' AS analysis_type, rfm_segment, count(*) AS customer_count,
-               round(count(*) * 100.0::DOUBLE / (SELECT count(*) FROM dim_customer), 1) AS pct
+               {rounded('count(*)', '(SELECT count(*) FROM dim_customer)', 1, 100)} AS pct
         FROM dim_customer GROUP BY ALL""",
-    "gender_distribution": """
+    "gender_distribution": f"""
         SELECT '性別分布' AS analysis_type, gender, count(*) AS customer_count,
-               round(count(*) * 100.0::DOUBLE / (SELECT count(*) FROM dim_customer), 1) AS pct
+               {rounded('count(*)', '(SELECT count(*) FROM dim_customer)', 1, 100)} AS pct
         FROM dim_customer GROUP BY ALL""",
-    "age_distribution": """
+    "age_distribution": f"""
         SELECT '年代分布' AS analysis_type, age_group, count(*) AS customer_count,
-               round(count(*) * 100.0::DOUBLE / (SELECT count(*) FROM dim_customer), 1) AS pct
+               {rounded('count(*)', '(SELECT count(*) FROM dim_customer)', 1, 100)} AS pct
         FROM dim_customer GROUP BY ALL""",
     # products
     "category_ranking": f"""
@@ -133,18 +143,18 @@ REPORTS: dict[str, str] = {
     "category_sales": f"""
         SELECT parent_category_name, category_name, {ORDERS} AS order_count, {NET} AS total_sales,
                {PROFIT} AS total_profit,
-               round(sum(discount_rate)::DOUBLE / count(discount_rate), 1) AS avg_discount_rate
+               {rounded('sum(discount_rate)', 'count(discount_rate)', 1)} AS avg_discount_rate
         FROM product_sale GROUP BY ALL""",
     "category_line_counts": f"""
         SELECT parent_category_name, category_name, count(*) AS sales_count, {NET} AS total_sales
         FROM product_sale GROUP BY ALL""",
     "abc_analysis": f"""
         SELECT abc_rank, count(DISTINCT product_key) AS product_count, {NET} AS total_revenue, {PROFIT} AS total_profit,
-               round({NET} * 100.0 / (SELECT {NET} FROM fact_sales), 1) AS revenue_share_pct
+               {rounded(SUM_NET, f'(SELECT {SUM_NET} FROM fact_sales)', 1, 100)} AS revenue_share_pct
         FROM product_sale GROUP BY ALL""",
-    "abc_product_summary": """
+    "abc_product_summary": f"""
         SELECT abc_rank, count(*) AS product_count, sum(sold)::DOUBLE AS total_revenue,
-               round(sum(gross_margin_pct::DECIMAL(12,2))::DOUBLE / count(gross_margin_pct), 1) AS avg_margin_pct
+               {rounded('sum(gross_margin_pct::DECIMAL(12,2))', 'count(gross_margin_pct)', 1)} AS avg_margin_pct
         FROM dim_product JOIN (SELECT product_key, sum(net_amount) AS sold FROM fact_sales GROUP BY ALL) USING (product_key)
         GROUP BY ALL""",
     "abc_sales_lines": f"SELECT abc_rank, count(*) AS products, {NET} AS revenue FROM product_sale GROUP BY ALL",
@@ -164,20 +174,20 @@ REPORTS: dict[str, str] = {
                product_key IN (SELECT product_key FROM fact_sales) AS was_purchased
         FROM dim_product""",
     # traffic
-    "conversion_funnel": """
+    "conversion_funnel": f"""
         SELECT page_type, sessions,
-               round(sessions * 100.0::DOUBLE / nullif(max(sessions) FILTER (page_type = 'top') OVER (), 0), 1) AS pct_of_top
+               {rounded('sessions', "max(sessions) FILTER (page_type = 'top') OVER ()", 1, 100)} AS pct_of_top
         FROM (SELECT page_type, count(DISTINCT session_id) AS sessions FROM fact_page_views
               WHERE page_type IN ('top', 'category', 'product', 'cart', 'checkout', 'complete') GROUP BY ALL)""",
-    "page_type_traffic": """
+    "page_type_traffic": f"""
         SELECT page_type, count(*) AS page_views, count(DISTINCT session_id) AS sessions,
-               round(sum(duration_seconds)::DOUBLE / count(duration_seconds), 1) AS avg_duration_sec
+               {rounded('sum(duration_seconds)', 'count(duration_seconds)', 1)} AS avg_duration_sec
         FROM fact_page_views GROUP BY ALL""",
     "funnel_page_views": "SELECT page_type, count(*) AS views FROM fact_page_views GROUP BY ALL",
-    "session_conversion": """
+    "session_conversion": f"""
         SELECT referrer_type, count(*) AS sessions, count(*) FILTER (has_cart) AS cart_sessions,
                count(*) FILTER (has_purchase) AS purchase_sessions,
-               round(count(*) FILTER (has_purchase) * 100.0::DOUBLE / count(*), 1) AS cvr_pct
+               {rounded('count(*) FILTER (has_purchase)', 'count(*)', 1, 100)} AS cvr_pct
         FROM int_page_view_sessions GROUP BY ALL""",
     "sales_vs_views_monthly": """
         SELECT year, month, month_name, sum(coalesce(lines, 0))::BIGINT AS sales_count,
@@ -187,18 +197,18 @@ REPORTS: dict[str, str] = {
         LEFT JOIN (SELECT date_key, count(*) AS views FROM fact_page_views GROUP BY ALL) USING (date_key)
         GROUP BY ALL""",
     # inventory
-    "inventory_turnover": """
-        SELECT product_name, parent_category_name, round(sum(quantity_on_hand)::DOUBLE / count(*), 0) AS avg_inventory,
+    "inventory_turnover": f"""
+        SELECT product_name, parent_category_name, {rounded('sum(quantity_on_hand)', 'count(*)', 0)} AS avg_inventory,
                sum(sold)::BIGINT AS total_sold,
-               round(sum(sold)::DOUBLE / nullif(sum(quantity_on_hand)::DOUBLE / count(*), 0), 2) AS turnover_rate
+               {rounded('sum(sold) * count(*)', 'sum(quantity_on_hand)', 2)} AS turnover_rate
         FROM stock LEFT JOIN (SELECT product_key, sum(quantity) AS sold FROM fact_sales GROUP BY ALL) USING (product_key)
         GROUP BY ALL""",
     "stockout_analysis": f"""
-        SELECT product_name, {OUT_DAYS} AS stockout_days, round({OUT_DAYS} * 100.0::DOUBLE / count(*), 1) AS stockout_pct
+        SELECT product_name, {OUT_DAYS} AS stockout_days, {rounded(OUT_DAYS, 'count(*)', 1, 100)} AS stockout_pct
         FROM stock GROUP BY ALL HAVING {OUT_DAYS} > 0""",
     "stockout_check": f"""
         SELECT product_name, count(*) AS total_days, {OUT_DAYS} AS stockout_days,
-               round({OUT_DAYS} * 100.0::DOUBLE / count(*), 1) AS stockout_pct,
+               {rounded(OUT_DAYS, 'count(*)', 1, 100)} AS stockout_pct,
                min(full_date) FILTER (is_out_of_stock) AS first_stockout_date,
                max(full_date) FILTER (is_out_of_stock) AS last_stockout_date
         FROM stock GROUP BY ALL HAVING {OUT_DAYS} > 0""",
@@ -353,6 +363,36 @@ def _summary() -> str:
 
 REPORTS["dq_summary"] = _summary()
 
+# history of dimensions
+for _name, _key, _columns in (
+    ("customer", "customer_id", "city, prefecture, registration_channel"),
+    ("product", "product_id", "unit_price::DOUBLE AS unit_price, is_active"),
+):
+    REPORTS[f"{_name}_history"] = f"""
+        SELECT version_key, {_key}, {_columns}, valid_from, valid_to, valid_to = DATE '9999-12-31' AS is_current
+        FROM {_name}_versions WHERE present"""
+REPORTS["customer_previous_city"] = """
+    SELECT now.customer_id, now.city AS current_city, before.city AS previous_city, before.city IS NOT NULL AS has_previous
+    FROM customer_versions AS now
+    LEFT JOIN (SELECT old.customer_id, arg_max(old.city, old.valid_from) AS city
+               FROM customer_versions AS old JOIN customer_versions AS new USING (customer_id)
+               WHERE old.present AND new.present AND new.valid_to = DATE '9999-12-31' AND old.city <> new.city
+               GROUP BY old.customer_id) AS before USING (customer_id)
+    WHERE now.present AND now.valid_to = DATE '9999-12-31'"""
+ORDER_VERSIONS = """(SELECT f.order_id, f.net, v.version_key, v.city
+    FROM (SELECT order_id, customer_key, full_date, sum(net_amount) AS net FROM sale GROUP BY ALL) AS f
+    LEFT JOIN customer_versions AS v ON v.customer_id = f.customer_key AND v.present
+        AND f.full_date BETWEEN v.valid_from AND v.valid_to - 1)"""
+REPORTS["order_customer_versions"] = f"SELECT order_id, version_key FROM {ORDER_VERSIONS}"
+REPORTS["city_sales_at_order_time"] = f"""
+    SELECT city, count(*) AS order_count, sum(net)::DOUBLE AS total_sales FROM {ORDER_VERSIONS} GROUP BY city"""
+REPORTS["monthly_product_sales"] = f"""
+    SELECT year * 100 + month AS month, product_key AS product_id, count(*) AS line_count, sum(quantity)::BIGINT AS quantity,
+           {NET} AS net_amount, sum(discount_rate)::DOUBLE AS discount_rates, count(discount_rate) AS discounted_lines
+    FROM sale GROUP BY ALL"""
+for _name in ("top_products", "category_sales"):
+    REPORTS[f"{_name}_from_months"] = REPORTS[_name]
+
 
 def statements() -> dict[str, str]:
     bodies = {name: _model(name) for name in MODELS} | REPORTS

@@ -24,5 +24,18 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return numerator.cast("double") / F.nullif(denominator.cast("double"), F.lit(0.0))
 
 
+def rounded_ratio(numerator: Column, denominator: Column, digits: int, times: int = 1) -> Column:
+    """``times * numerator / denominator`` rounded half up once, as a double; NULL where the denominator is zero.
+
+    Both are whole numbers or decimals of up to six places. They are divided as whole numbers, so a
+    quotient that is exactly a tie rounds up, and none does that only comes near one.
+    """
+    top, bottom = ((c.cast("decimal(25,6)") * 1_000_000).cast("decimal(38,0)") for c in (numerator, denominator))
+    bottom = F.nullif(bottom, F.lit(0).cast("decimal(38,0)"))
+    scaled = F.abs(top) * F.lit(2 * times * 10**digits).cast("decimal(12,0)") + F.abs(bottom)
+    quotient = F.call_function("div", scaled, F.abs(bottom) * 2).cast("double") / float(10**digits)
+    return F.when((top < 0) != (bottom < 0), -quotient).otherwise(quotient)
+
+
 def percentage(numerator: Column, denominator: Column, digits: int = 1) -> Column:
-    return F.round(numerator.cast("double") * 100.0 / F.nullif(denominator.cast("double"), F.lit(0.0)), digits)
+    return rounded_ratio(numerator, denominator, digits, 100)

@@ -18,7 +18,7 @@ from starloom.session import materialise
 _POSITION_BITS = 33  # monotonically_increasing_id keeps the partition above 33 row bits
 
 
-def _in_ranges(df: DataFrame, order: Sequence[Column], label: str) -> DataFrame:
+def in_ranges(df: DataFrame, order: Sequence[Column], label: str) -> DataFrame:
     """Sorted ranges with ``_range`` and ``_row`` (zero-based), fixed by writing them."""
     placed = (
         df.repartitionByRange(*order)
@@ -49,7 +49,7 @@ def _offsets(ranges: DataFrame, sums: dict[str, Column]) -> DataFrame:
 def dense_index(df: DataFrame, order: Sequence[str | Column], name: str) -> DataFrame:
     """Number rows 1..n in the given total order."""
     columns = [F.col(c) if isinstance(c, str) else c for c in order]
-    ranges = _in_ranges(df, columns, "index")
+    ranges = in_ranges(df, columns, "index")
     offsets = _offsets(ranges, {"rows": F.count(F.lit(1))})
     index = F.coalesce(F.col("_before_rows"), F.lit(0)) + F.col("_row") + 1
     return (
@@ -63,7 +63,7 @@ def running_total(
     df: DataFrame, order: Sequence[Column], value: str, rank: str, running: str, total: str
 ) -> DataFrame:
     """Add the position, the running sum and the grand total of ``value`` in the given order."""
-    ranges = _in_ranges(df, order, "running")
+    ranges = in_ranges(df, order, "running")
     offsets = _offsets(ranges, {"rows": F.count(F.lit(1)), "sum": F.sum(value)})
     so_far = Window.partitionBy("_range").orderBy("_row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     kind = ranges.agg(F.sum(value)).schema[0].dataType

@@ -20,42 +20,34 @@ def hour_key(moment: str) -> Column:
     return F.hour(moment).cast("bigint")
 
 
-def fact_sales(
-    items: DataFrame, orders: DataFrame, customers: DataFrame, products: DataFrame, statuses: DataFrame
-) -> DataFrame:
-    """One row per order line. ``customers`` needs its id, ``products`` id and cost.
+def sale_headers(orders: DataFrame, customers: DataFrame, statuses: DataFrame) -> DataFrame:
+    """Orders of the sales fact, or their lines, with the keys that stand in the fact.
 
-    Customer and status are looked up once per order; only the order and the product are
-    looked up per line.
+    ``customers`` needs its id. Other columns of ``orders`` stay.
     """
-    cost = as_decimal(F.col("quantity")) * F.col("cost_price")
     codes = statuses.select("order_status_key", F.col("status_code").alias("status"))
-    headers = (
+    return (
         orders.where(F.col("order_date").isNotNull())
         .join(codes, "status")
         .join(customers.select("customer_id"), "customer_id", "left_semi")
-        .select(
-            "order_id",
-            F.col("customer_id").alias("customer_key"),
-            date_key("order_date").alias("date_key"),
-            "order_status_key",
-            hour_key("order_timestamp").alias("time_key"),
-            "payment_method", "device_type", "coupon_code",
-        )
+        .withColumn("date_key", date_key("order_date"))
+        .withColumn("time_key", hour_key("order_timestamp"))
+        .withColumnRenamed("customer_id", "customer_key")
+        .drop("status", "order_date", "order_timestamp")
     )
-    return (
-        with_amounts(items)
-        .join(headers, "order_id")
-        .join(products.select("product_id", "cost_price"), "product_id")
-        .select(
-            "customer_key",
-            F.col("product_id").alias("product_key"),
-            "date_key", "order_status_key", "order_id", "order_item_id", "quantity", "unit_price", "discount_rate",
-            "gross_amount", "discount_amount", "net_amount", "time_key",
-            "payment_method", "device_type", "coupon_code",
-            cost.alias("cost_amount"),
-            (F.col("net_amount") - cost).alias("gross_profit"),
-        )
+
+
+def fact_sales(lines: DataFrame, products: DataFrame) -> DataFrame:
+    """One row per order line. ``lines`` come with their headers, ``products`` with id and cost."""
+    cost = as_decimal(F.col("quantity")) * F.col("cost_price")
+    return lines.join(products.select("product_id", "cost_price"), "product_id").select(
+        "customer_key",
+        F.col("product_id").alias("product_key"),
+        "date_key", "order_status_key", "order_id", "order_item_id", "quantity", "unit_price", "discount_rate",
+        "gross_amount", "discount_amount", "net_amount", "time_key",
+        "payment_method", "device_type", "coupon_code",
+        cost.alias("cost_amount"),
+        (F.col("net_amount") - cost).alias("gross_profit"),
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.functions.amounts import ratio
+from starloom.functions.amounts import rounded_ratio
 from starloom.functions.calendar import with_calendar
 from starloom.operators.shares import share_of_total
 from starloom.plans.star import Star
@@ -18,7 +18,7 @@ def rfm_segment_sales(star: Star) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("customer_count"),
             F.sum("all_net").alias("total_revenue"),
-            F.round(ratio(F.sum("all_net"), F.sum("all_lines")), 0).alias("avg_order_amount"),
+            rounded_ratio(F.sum("all_net"), F.sum("all_lines"), 0).alias("avg_order_amount"),
         )
         .orderBy(F.desc("total_revenue"), "rfm_segment")
     )
@@ -55,8 +55,8 @@ def ltv_distribution(star: Star) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("customer_count"),
             F.round(F.avg("ltv_estimated"), 0).alias("avg_ltv"),
-            F.round(ratio(F.sum("total_spent"), F.count("total_spent")), 0).alias("avg_total_spent"),
-            F.round(ratio(F.sum("total_orders"), F.count("total_orders")), 1).alias("avg_orders"),
+            rounded_ratio(F.sum("total_spent"), F.count("total_spent"), 0).alias("avg_total_spent"),
+            rounded_ratio(F.sum("total_orders"), F.count("total_orders"), 1).alias("avg_orders"),
         )
         .orderBy(F.desc_nulls_last("avg_ltv"), "rfm_segment", "age_group")
     )
@@ -68,7 +68,7 @@ def rfm_segment_distribution(star: Star) -> DataFrame:
         .groupBy("rfm_segment")
         .agg(
             F.count(F.lit(1)).alias("customer_count"),
-            F.round(ratio(F.sum("total_spent"), F.count("total_spent")), 0).alias("avg_spent"),
+            rounded_ratio(F.sum("total_spent"), F.count("total_spent"), 0).alias("avg_spent"),
             F.round(F.avg("ltv_estimated"), 0).alias("avg_ltv"),
         )
         .orderBy(F.desc("avg_spent"), "rfm_segment")
@@ -101,8 +101,8 @@ def region_customer_analysis(star: Star) -> DataFrame:
         .agg(
             customers.alias("customer_count"),
             orders.alias("order_count"),
-            F.round(ratio(F.sum("all_net"), F.sum("all_lines")), 2).alias("avg_order_amount"),
-            F.round(ratio(orders, customers), 2).alias("orders_per_customer"),
+            rounded_ratio(F.sum("all_net"), F.sum("all_lines"), 2).alias("avg_order_amount"),
+            rounded_ratio(orders, customers, 2).alias("orders_per_customer"),
         )
         .orderBy(F.desc("customer_count"), "region")
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.functions.amounts import percentage, ratio
+from starloom.functions.amounts import percentage, rounded_ratio
 from starloom.functions.calendar import day_of
 from starloom.plans.star import Star
 
@@ -27,16 +27,16 @@ def inventory_turnover(star: Star, by: tuple[str, ...] = ("product_name", "paren
     )
     sold = star.product_totals.select("product_id", "quantity")
     weight = F.lit(1) if per_product_once else F.col("days")
-    average = ratio(F.sum("on_hand"), F.sum("days"))
+    on_hand, days = F.sum("on_hand"), F.sum("days")
     total = F.sum(F.col("quantity") * weight)
     return (
         stock.join(star.products.select("product_id", *by), "product_id")
         .join(sold, "product_id", "left")
         .groupBy(*by)
         .agg(
-            F.round(average, 0).alias("avg_inventory"),
+            rounded_ratio(on_hand, days, 0).alias("avg_inventory"),
             total.alias("total_sold"),
-            F.round(ratio(total, average), 2).alias("turnover_rate"),
+            rounded_ratio(total * days, on_hand, 2).alias("turnover_rate"),
         )
         .orderBy(F.desc_nulls_last("turnover_rate"), *by)
     )

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.functions.amounts import ratio
+from starloom.functions.amounts import rounded_ratio
 from starloom.operators.pairs import co_occurrence
 from starloom.operators.shares import share_of_total
 from starloom.plans.star import Star
@@ -75,7 +75,7 @@ def category_sales(star: Star) -> DataFrame:
             F.sum("orders").alias("order_count"),
             F.sum("net").alias("total_sales"),
             F.sum("profit").alias("total_profit"),
-            F.round(ratio(F.sum("rates"), F.sum("rated")), 1).alias("avg_discount_rate"),
+            rounded_ratio(F.sum("rates"), F.sum("rated"), 1).alias("avg_discount_rate"),
         )
         .orderBy(F.desc("total_sales"), *keys)
     )
@@ -116,7 +116,7 @@ def abc_product_summary(star: Star) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("product_count"),
             F.sum("net_amount").alias("total_revenue"),
-            F.round(ratio(F.sum(margin), F.count(margin)), 1).alias("avg_margin_pct"),
+            rounded_ratio(F.sum(margin), F.count(margin), 1).alias("avg_margin_pct"),
         )
         .orderBy("abc_rank")
     )

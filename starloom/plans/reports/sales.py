@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, GroupedData, Window
 from pyspark.sql import functions as F
 
 from starloom.functions import labels
-from starloom.functions.amounts import percentage, ratio
+from starloom.functions.amounts import percentage, ratio, rounded_ratio
 from starloom.functions.calendar import with_calendar
 from starloom.operators.shares import share_of_total
 from starloom.plans.star import Star
@@ -28,7 +28,7 @@ def _net() -> Column:
 
 
 def _line_average(digits: int) -> Column:
-    return F.round(ratio(_net(), _lines()), digits)
+    return rounded_ratio(_net(), _lines(), digits)
 
 
 def _per_day(order_totals: DataFrame) -> DataFrame:

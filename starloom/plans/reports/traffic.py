@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.functions import labels
-from starloom.functions.amounts import percentage, ratio
+from starloom.functions.amounts import percentage, rounded_ratio
 from starloom.plans.star import Star
 
 
@@ -31,7 +31,7 @@ def page_type_traffic(star: Star) -> DataFrame:
         .agg(
             F.count(F.lit(1)).alias("page_views"),
             F.count_distinct("session_id").alias("sessions"),
-            F.round(ratio(F.sum("duration_seconds"), F.count("duration_seconds")), 1).alias("avg_duration_sec"),
+            rounded_ratio(F.sum("duration_seconds"), F.count("duration_seconds"), 1).alias("avg_duration_sec"),
         )
         .orderBy(F.desc("page_views"), "page_type")
     )

@@ -43,6 +43,7 @@ class Star:
         self.spark = tune(raw.spark)
         self.raw, self.as_of, self.bands = raw, as_of or date.today(), bands
         self.regions = regions
+        self.lines_written = False
         self._staged: dict[str, DataFrame] = {}
         self._before = frozenset(scratch_paths(self.spark))
 
@@ -112,6 +113,11 @@ class Star:
             ranked_totals=products.join(ranks, "product_id"),
         )
 
+    def rebind_product_totals(self, totals: DataFrame) -> None:
+        """Take totals by product from a coarser table than the fact, such as the monthly aggregate."""
+        ranks = self.product_ranking.select("product_id", "abc_rank")
+        self.rebind(product_totals=totals, ranked_totals=totals.join(ranks, "product_id"))
+
     @cached_property
     def orders(self) -> DataFrame:
         return logic.flagged_orders(self.staged("orders"), self.staged("customers", ["customer_id"]))
@@ -261,13 +267,13 @@ class Star:
 
     @cached_property
     def fact_sales(self) -> DataFrame:
-        return facts.fact_sales(
-            self.keyed_items,
-            self.staged("orders"),
-            self.staged("customers", ["customer_id"]),
-            self.staged("products", ["product_id", "cost_price"]),
-            self.dim_order_status,
-        )
+        customers = self.staged("customers", ["customer_id"])
+        if "keyed_lines_table" in self.__dict__ and self.lines_written:  # lines and orders are joined already
+            lines = facts.sale_headers(self.keyed_lines_table, customers, self.dim_order_status)
+        else:  # customer and status are looked up once per order
+            headers = facts.sale_headers(self.staged("orders"), customers, self.dim_order_status)
+            lines = logic.with_amounts(self.keyed_items).join(headers, "order_id")
+        return facts.fact_sales(lines, self.staged("products", ["product_id", "cost_price"]))
 
     @cached_property
     def fact_page_views(self) -> DataFrame:

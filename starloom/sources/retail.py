@@ -7,6 +7,7 @@ wholesale lines of one order may share a number.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -20,6 +21,9 @@ LINE_ORDER = (
     "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
 )
 
+# An order line id is order, line number and copy in fields of 41, 10 and 12 bits.
+ORDER_IDS, LINES, COPIES = 1 << 41, 1 << 10, 1 << 12
+
 
 def _text_id(text: str) -> str:
     """A 60-bit id for a member of a small vocabulary."""
@@ -144,6 +148,23 @@ PROJECTIONS = {
 }
 
 
+# The state of customers and products on the day of each load: some move or are priced anew, some of the
+# customers come or go between loads.
+LOAD_DAYS = (date(1994, 12, 31), date(1997, 6, 30), date(1999, 6, 30))
+CUSTOMER_LOAD = {
+    "customer_id": "c_custkey",
+    "city": "'city-' || ((c_nationkey + IF((c_custkey + {load}) % 5 = 0, {load}, 0)) % 25)",
+    "prefecture": CUSTOMERS["prefecture"],
+    "registration_channel": CUSTOMERS["registration_channel"],
+}
+CUSTOMER_PRESENT = "NOT (c_custkey % 11 = 5 AND {load} = 0) AND NOT (c_custkey % 13 = 6 AND {load} = 2)"
+PRODUCT_LOAD = {
+    "product_id": "p_partkey",
+    "unit_price": "CAST(CAST(p_retailprice AS DECIMAL(12,2)) + IF((p_partkey + {load}) % 4 = 0, 10 * {load}, 0) AS DECIMAL(12,2))",
+    "is_active": "p_size <= 40",
+}
+
+
 class RetailTables:
     """The operational tables over one folder of wholesale parquet files."""
 
@@ -169,6 +190,14 @@ class RetailTables:
         wanted = [name for name in rules if columns is None or name in columns]
         return df.selectExpr(*[f"{rules[name]} AS {name}" for name in wanted])
 
+    def load(self, table: str, number: int) -> DataFrame:
+        """Customers or products as they stood on ``LOAD_DAYS[number]``."""
+        file, rules, present = {
+            "customers": ("customer", CUSTOMER_LOAD, CUSTOMER_PRESENT), "products": ("part", PRODUCT_LOAD, "true")
+        }[table]
+        own = {name: rule.format(load=number) for name, rule in rules.items()}
+        return self._project(self._file(file).where(present.format(load=number)), own, None)
+
     def _categories(self, columns: Sequence[str] | None) -> DataFrame:
         parts = self._file("part")
         top = parts.select("p_type").distinct().selectExpr(
@@ -183,8 +212,12 @@ class RetailTables:
         lines, rules = self._file("lineitem"), ORDER_ITEMS
         if columns is None or "order_item_id" in columns:
             same_number = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*LINE_ORDER)
-            number = (F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 100_000 + F.row_number().over(same_number)
-            lines = lines.withColumn("order_item_id", number)
+            line, copy = F.col("l_linenumber"), F.row_number().over(same_number)
+            fits = line.between(0, LINES - 1) & (copy < COPIES) & (F.col("l_orderkey") < ORDER_IDS)
+            number = (F.col("l_orderkey") * LINES + line) * COPIES + copy
+            lines = lines.withColumn(
+                "order_item_id", F.when(fits, number).otherwise(F.raise_error("an order line number does not fit its id"))
+            )
             rules = {"order_item_id": "order_item_id", **rules}
         return self._project(lines, rules, columns)
 
