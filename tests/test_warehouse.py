@@ -60,3 +60,34 @@ def test_summary_on_written_tables_finds_only_the_funnel(built):
     _, tables, _ = built
     failing = {r["check_name"] for r in quality.summary(tables).where("failing_rows > 0").collect()}
     assert failing == {"funnel_consistency"}
+
+
+def test_a_failed_build_leaves_the_old_one(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from tables import AS_OF, raw_tables
+
+    from starloom.plans.star import Star
+
+    def star(status):
+        orders = [{"order_id": 1, "customer_id": 1, "status": status}]
+        return Star(raw_tables(spark, customers=[{"customer_id": 1}], orders=orders), AS_OF)
+
+    def statuses():
+        return [r.status_code for r in warehouse.Warehouse(spark, str(tmp_path)).model("dim_order_status").collect()]
+
+    folders = lambda: {p.name for p in tmp_path.iterdir() if p.is_dir()}
+    with pytest.raises(FileNotFoundError):
+        warehouse.Warehouse(spark, str(tmp_path))
+    warehouse.build(star("old"), str(tmp_path))
+    reader = warehouse.Warehouse(spark, str(tmp_path))
+    broken = star("new")
+    broken.rebind(fact_inventory_daily=broken.fact_inventory_daily.withColumn("days_of_supply", F.raise_error(F.lit("no")).cast("double"))
+                  .unionByName(spark.range(1).select(*[F.raise_error(F.lit("no")).cast(f.dataType).alias(f.name) for f in broken.fact_inventory_daily.schema])))
+    with pytest.raises(Exception, match="no"):
+        warehouse.build(broken, str(tmp_path))
+    assert statuses() == ["old"] and folders() == {reader.build_name}
+    warehouse.build(star("new"), str(tmp_path))
+    assert statuses() == ["new"]
+    assert [r.status_code for r in reader.model("dim_order_status").collect()] == ["old"]
+    warehouse.build(star("third"), str(tmp_path))
+    assert statuses() == ["third"] and reader.build_name not in folders()
