@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.llm import units
-from starloom.llm.frames import Scratch, map_batches, release, spread, utf8
+from starloom.llm.frames import Scratch, free, map_batches, release, spread, utf8
 
 BYTE_LEVEL = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -365,9 +365,7 @@ def compare(
         kinds = {f: T.StringType() if f == "groups_sha256" else T.LongType() for f in _OUT}
         schema = T.StructType([rows.schema[c] for c in kept] + [T.StructField(c, kind) for c, kind in kinds.items()])
         return map_batches(rows, _scored(shared, schema, kept), schema), counts
-    number = "number"
-    while number in {c.lower() for c in kept}:
-        number += "_"
+    number = free("number", [*kept, *new])
     numbered = scratch.write(rows.withColumn(number, F.monotonically_increasing_id()), "aligned-rows")
     pairs = numbered.select(number, F.explode("pairs").alias("pair")).select(number, "pair.*")
     sums = pairs.join(ranked, ["a", "b"]).groupBy(number).agg(

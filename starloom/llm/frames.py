@@ -32,6 +32,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free(name: str, taken: list[str]) -> str:
+    """``name``, with underscores behind it until it is none of ``taken``, in any case."""
+    used = {c.lower() for c in taken}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
 _shipped: set[str] = set()
 
 
@@ -54,14 +62,16 @@ def ship(spark: SparkSession) -> None:
 def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema):
     """``mapInArrow`` with this package at hand in the workers, which give memory back after each task."""
     ship(df.sparkSession)
+    names = df.columns
+    dotted = any("." in name or "`" in name for name in names)  # which mapInArrow would take for fields of structs
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
-            yield from run(batches)
+            yield from run((b.rename_columns(names) for b in batches) if dotted else batches)
         finally:
             _give_back()
 
-    return df.mapInArrow(task, schema)
+    return (df.toDF(*(f"column_{n}" for n in range(len(names)))) if dotted else df).mapInArrow(task, schema)
 
 
 def _give_back() -> None:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.llm.frames import with_columns
+from starloom.llm.frames import free, with_columns
 from starloom.session import materialise
 
 LEAST_SHARE = 0.1
@@ -292,12 +292,13 @@ def extract(
     # Paths reach the pages by the key of the page: narrow rows are joined by host, and the html
     # of a host with very many pages is spread.
     narrow = votes.select("host", "key").distinct().join(host_paths(votes), "host")
-    of_page = narrow.select(F.col("host").alias("__of"), F.col("key").alias("__key"), F.col("paths").alias("__paths"))
-    same = (_row_key(url, html) == F.col("__key")) & (host_of(F.col(url)) == F.col("__of"))
+    of, of_key, paths = (free(name, pages.columns) for name in ("of", "of_key", "paths"))
+    of_page = narrow.select(F.col("host").alias(of), F.col("key").alias(of_key), F.col("paths").alias(paths))
+    same = (_row_key(url, html) == F.col(of_key)) & (host_of(F.col(url)) == F.col(of))
     joined = pages.join(of_page, same, "left")
 
     def make(batch: pa.RecordBatch) -> list:
-        rows = zip(batch.column(html).to_pylist(), batch.column("__paths").to_pylist())
-        return [pa.array([main_text(parse(h), paths or []) if h else "" for h, paths in rows], pa.string())]
+        rows = zip(batch.column(html).to_pylist(), batch.column(paths).to_pylist())
+        return [pa.array([main_text(parse(h), own or []) if h else "" for h, own in rows], pa.string())]
 
-    return with_columns(joined, html, [T.StructField(out, T.StringType())], make, names, uses=("__paths",))
+    return with_columns(joined, html, [T.StructField(out, T.StringType())], make, names, uses=(paths,))

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.llm import hashing
-from starloom.llm.frames import Scratch, bites, buffer, key_blocks, map_batches, release, utf8, with_columns
+from starloom.llm.frames import Scratch, bites, buffer, free, key_blocks, map_batches, release, utf8, with_columns
 from starloom.session import materialise
 
 SHINGLE = 5
@@ -462,13 +462,14 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", large:
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that represent their class, all columns, one row of each class."""
     chosen = classes(docs, doc_id, text).where("representative")
-    marks = chosen.groupBy("doc_id", "text_key").agg(F.count("*").alias("__rows"))
+    rows = free("rows", docs.columns)
+    marks = chosen.groupBy("doc_id", "text_key").agg(F.count("*").alias(rows))
     d, m = docs.alias("d"), marks.alias("m")
     same = F.col(f"d.`{doc_id}`").eqNullSafe(F.col("m.doc_id")) & (
         F.unhex(F.md5(F.coalesce(F.col(f"d.`{text}`"), F.lit("")))) == F.col("m.text_key")
     )
-    kept = d.join(m, same).select("d.*", "m.__rows")
-    single = kept.where("__rows = 1")
+    kept = d.join(m, same).select(*[F.col(f"d.`{c}`") for c in docs.columns], f"m.{rows}")
+    single = kept.where(F.col(rows) == 1)
     # Only rows that repeat an id and a text need a second look.
-    repeated = kept.where("__rows > 1").dropDuplicates([doc_id, text])
-    return single.unionByName(repeated).drop("__rows")
+    repeated = kept.where(F.col(rows) > 1).dropDuplicates([doc_id, text])
+    return single.unionByName(repeated).drop(rows)

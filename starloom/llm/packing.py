@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.llm import units
-from starloom.llm.frames import Scratch, buffer, map_batches, release, spread, utf8
+from starloom.llm.frames import Scratch, buffer, free, map_batches, release, spread, utf8
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 CAPACITY = 2048
@@ -151,12 +151,6 @@ def documents(texts: list[str], path: str, end: int, capacity: int) -> Iterator[
                 held, piece = np.empty(0, np.int32), 0
 
 
-def _free(name: str, taken: list[str]) -> str:
-    while name.lower() in {c.lower() for c in taken}:
-        name += "_"
-    return name
-
-
 def pieces(
     df: DataFrame,
     text: str = "text",
@@ -412,7 +406,7 @@ def pack(
     spark: SparkSession = df.sparkSession
     scratch = Scratch(spark)
     columns = [c for c in (df.columns if keep is None else keep) if c.lower() not in PLACE]
-    item = _free("item", columns)
+    item = free("item", columns)
     cut = scratch.write(pieces(df, text, columns, tokenizer, capacity, end, ids, item), "packing-pieces")
     places, _ = rounds(cut.select(F.col(f"`{item}`").alias("item"), "length"), capacity, scratch)
     before = Window.partitionBy("sequence_id").orderBy("turn", "item").rowsBetween(Window.unboundedPreceding, -1)

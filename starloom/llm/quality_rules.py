@@ -1,25 +1,22 @@
 """Quality rules with line frequency across documents.
 
 Each document is described once (word counts, repeated windows, hashes of its normalised lines).
-Lines are counted per host over its distinct texts, told apart by their normalised lines. Copies with
-small changes are distinct texts too, but count once: two texts are near copies if lines with
-``NEAR_COPY`` of the words of either stand in the other, and a class is what near copies connect. A
-line in more than ``limit`` classes of a host is removed, and a document with less than
-``least_left`` of its words left is depleted. Documents that fail the base rules or are depleted are
-rejected.
-
-Only texts with a line in more than ``limit`` texts need classes. Each has ``SAMPLES`` of its lines,
-drawn consistently by their words. Texts of a host that share a sample are compared, line by line,
-with one of them, and verified links are connected. A near copy that shares no sample with its class
-(less than one in a thousand) or meets no member of it counts by itself, as any distinct text.
+Lines are counted per host over its distinct documents: texts are told apart by their normalised lines,
+and texts that are near duplicates of each other (word shingles of five words, similarity 0.8 or more)
+are one document with many copies. A line in more than ``limit`` documents of a host is removed, and a
+document with less than ``least_left`` of its words left is depleted, however much of it the host's
+documents share. Documents that fail the base rules or are depleted are rejected.
+
+Only texts with a line in more than ``limit`` texts of their host need to be compared. Similarity is the
+share of equal places in two sketches of ``SKETCH`` hashes (one permutation, empty places filled from
+the next; standard error 0.04). Sketches are banded, the texts of a host that share a band are compared
+with one of them, and links are connected. A copy that meets none of its group counts by itself.
 
 A line is normalised by dropping white space and digits and lowering ASCII letters.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.llm import hashing, near_dedup
-from starloom.llm.frames import Scratch, buffer, map_batches, utf8, with_columns
+from starloom.llm.frames import Scratch, buffer, free, utf8, with_columns
 from starloom.session import materialise
 
 WINDOW = 8
@@ -35,10 +32,11 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 #: A line in more classes of texts of a host is removed from all of its texts.
 LINE_LIMIT = 10
-#: Share of the words of either of two near copies that stand in lines of the other.
-NEAR_COPY = 0.75
-#: Lines drawn from each text to find its near copies.
-SAMPLES = 8
+#: Words of a shingle, and the similarity from which texts are copies of one document.
+SHINGLE = 5
+SIMILAR = 0.8
+#: Hashes of a sketch, and of a band of it: pairs at the limit share a band with a probability of 0.998.
+SKETCH, BAND = 120, 6
 #: Share of the words that must be left.
 LEAST_LEFT = 0.3
 
@@ -48,7 +46,7 @@ FIELDS = [
     *(T.StructField(c, T.LongType()) for c in COUNTS),
     T.StructField("identity", T.LongType()),
     T.StructField("lines", _LINES),
-    T.StructField("samples", T.ArrayType(T.LongType())),
+    T.StructField("sketch", T.ArrayType(T.IntegerType())),
 ]
 
 _SYMBOL = np.zeros(256, bool)
@@ -95,20 +93,34 @@ def _repeated_words(word_hashes: np.ndarray, before: np.ndarray) -> np.ndarray:
     return hashing.per_text(np.cumsum(edges)[:n] > 0, before)
 
 
-def _samples(line: np.ndarray, words: np.ndarray, owner: np.ndarray, texts: int) -> pa.Array:
-    """Consistent samples of the lines of each text, weighted by words; none for a text without lines."""
-    order = np.lexsort((line, owner))
-    line, words, owner = line[order], words[order], owner[order]
-    first = np.ones(len(line), bool)
-    first[1:] = (line[1:] != line[:-1]) | (owner[1:] != owner[:-1])
-    line, words, owner = line[first], words[first].astype(np.float32), owner[first]
-    drawn = np.zeros((texts, SAMPLES), np.uint64)
-    for number in range(SAMPLES):
-        drawn[:, number] = near_dedup.samples(owner, line, words, texts, number) + np.uint64(number)
-    some = np.zeros(texts, bool)
-    some[owner] = True
-    offsets = np.concatenate([[0], np.cumsum(some * SAMPLES)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(drawn[some].ravel().view(np.int64)))
+def _sketches(word_hashes: np.ndarray, before: np.ndarray) -> pa.Array:
+    """The least hash of the shingles in each of ``SKETCH`` classes of hashes; none for a text without words.
+
+    A text of fewer words than a shingle has one shingle of all of them.
+    """
+    texts = len(before) - 1
+    owner = np.repeat(np.arange(texts), np.diff(before))
+    shingles = hashing.windows(word_hashes, SHINGLE)
+    of_text = owner[: len(shingles)]
+    inside = of_text == owner[len(owner) - len(shingles) :] if len(shingles) else np.zeros(0, bool)
+    shingles, of_text = shingles[inside], of_text[inside]
+    short = np.flatnonzero((np.diff(before) > 0) & (np.diff(before) < SHINGLE))
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(word_hashes, dtype=np.uint64)])
+    shingles = np.concatenate([shingles, hashing.mix(sums[before[short + 1]] - sums[before[short]])])
+    of_text = np.concatenate([of_text, short])
+    least = np.full(texts * SKETCH, 2**32 - 1, np.uint64)
+    np.minimum.at(least, of_text * SKETCH + (shingles % np.uint64(SKETCH)).astype(np.int64), shingles >> np.uint64(32))
+    least = least.reshape(texts, SKETCH)
+    # An empty place takes the next filled one, marked by how far it is.
+    twice = np.concatenate([least, least], 1)
+    filled = np.where(twice < 2**32 - 1, np.arange(2 * SKETCH), 4 * SKETCH)
+    nearest = np.minimum.accumulate(filled[:, ::-1], 1)[:, ::-1][:, :SKETCH]
+    some = np.diff(before) > 0
+    at = np.where(some[:, None], nearest, 0)
+    far = (at - np.arange(SKETCH)).astype(np.uint64)
+    values = np.take_along_axis(twice, at, 1) + far * np.uint64(0x9E3779B1)
+    offsets = np.concatenate([[0], np.cumsum(some * SKETCH)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array((values[some].ravel() & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)))
 
 
 def describe_batch(texts: pa.Array) -> list:
@@ -119,7 +131,8 @@ def describe_batch(texts: pa.Array) -> list:
     word_chars = hashing.per_text(ink & ((raw & 0xC0) != 0x80), offsets)
     n_symbols = hashing.per_text(_SYMBOL[raw], offsets)
     prefix = hashing.Prefix(raw)
-    repeated = _repeated_words(prefix.of(begin, end), before)
+    hashes = prefix.of(begin, end)
+    repeated = _repeated_words(hashes, before)
 
     starts, ends, owner = _lines(raw, offsets)
     in_line = np.searchsorted(begin, ends) - np.searchsorted(begin, starts)
@@ -148,39 +161,24 @@ def describe_batch(texts: pa.Array) -> list:
         ),
     )
     counts = [pa.array(x.astype(np.int64)) for x in (n_words, word_chars, n_symbols, n_dup, repeated)]
-    return [*counts, pa.array(identity.view(np.int64)), lines, _samples(normal, in_line, owner, len(texts))]
+    return [*counts, pa.array(identity.view(np.int64)), lines, _sketches(hashes, before)]
 
 
 def describe(df: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``df`` with the counts of the base rules, the hashes of its lines that have a word, one of them all, and samples.
+    """``df`` with the counts of the base rules, the hashes of its lines that have a word, one of them all, and a sketch of its shingles.
 
     Null and empty texts have zeros and no lines.
     """
     return with_columns(df, text, FIELDS, lambda batch: describe_batch(utf8(batch.column(text))), keep)
 
 
-def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Line, words and row of all lines of a column of lists."""
-    flat = column.flatten()
-    owner = np.repeat(np.arange(len(column)), np.diff(column.offsets.to_numpy()))
-    line, words = (flat.field(x).to_numpy(zero_copy_only=False) for x in ("line", "words"))
-    return line.view(np.uint64), words.astype(float), owner
-
-
-def _near_copies(left: pa.Array, right: pa.Array) -> np.ndarray:
-    """Whether the texts with these lines are near copies."""
-    near = np.ones(len(left), bool)
-    own = [(hashing.mix(line + hashing.mix(row.astype(np.uint64))), words, row) for line, words, row in map(_flat, (left, right))]
-    for (key, words, row), (other, _, _) in (own, own[::-1]):
-        shared = np.bincount(row, words * np.isin(key, other), len(left))
-        near &= shared >= NEAR_COPY * np.bincount(row, words, len(left))
-    return near
-
-
 def _classes(texts: DataFrame, scratch: Scratch) -> DataFrame:
-    """row and ``label`` of the texts (row, host, identity, lines, samples) that have near copies in their host."""
-    bucket = F.xxhash64(F.col("host").isNull(), "host", "sample").alias("bucket")
-    drawn = texts.select("row", "host", "identity", F.explode("samples").alias("sample")).select(bucket, "row", "identity")
+    """row and ``label`` of the texts (row, host, identity, sketch) that have near duplicates in their host."""
+    bands = F.transform(
+        F.sequence(F.lit(0), F.lit(SKETCH // BAND - 1)), lambda i: F.xxhash64(i, F.slice("sketch", i * BAND + 1, BAND))
+    )
+    bucket = F.xxhash64(F.col("host").isNull(), "host", "band").alias("bucket")
+    drawn = texts.select("row", "host", "identity", F.explode(bands).alias("band")).select(bucket, "row", "identity")
     leaders = drawn.groupBy("bucket").agg(F.min(F.struct("identity", "row")).alias("lead"), F.count("*").alias("n"))
     pairs = (
         drawn.join(leaders.where("n > 1").select("bucket", F.col("lead.row").alias("leader")), "bucket")
@@ -188,16 +186,11 @@ def _classes(texts: DataFrame, scratch: Scratch) -> DataFrame:
         .select(F.col("row").alias("member"), "leader")
         .distinct()
     )
-    both = pairs.join(texts.select(F.col("row").alias("member"), F.col("lines").alias("own")), "member").join(
-        texts.select(F.col("row").alias("leader"), F.col("lines").alias("others")), "leader"
+    both = pairs.join(texts.select(F.col("row").alias("member"), F.col("sketch").alias("own")), "member").join(
+        texts.select(F.col("row").alias("leader"), F.col("sketch").alias("others")), "leader"
     )
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            near = pa.array(_near_copies(batch.column("own"), batch.column("others")))
-            yield batch.select(["member", "leader"]).filter(near)
-
-    links = scratch.write(map_batches(both, verify, "member long, leader long"), "near-copies")
+    equal = F.size(F.filter(F.arrays_zip("own", "others"), lambda x: x["own"] == x["others"]))
+    links = scratch.write(both.where(equal >= SIMILAR * SKETCH).select("member", "leader"), "near-copies")
     return near_dedup.components(links, scratch).select(F.col("node").alias("row"), "label")
 
 
@@ -217,10 +210,10 @@ def verdicts(
     table gives an empty result. Other columns of ``docs`` are not touched.
     """
     narrow = docs.select(
-        F.col(doc_id).alias("doc_id"),
-        F.col(host).cast("string").alias("host"),
-        F.xxhash64(F.col(text)).alias("text_key"),
-        F.col(text).alias("text"),
+        F.col(f"`{doc_id}`").alias("doc_id"),
+        F.col(f"`{host}`").cast("string").alias("host"),
+        F.xxhash64(F.col(f"`{text}`")).alias("text_key"),
+        F.col(f"`{text}`").alias("text"),
     )
     described = describe(narrow, keep=["doc_id", "host", "text_key"]).withColumn("row", F.monotonically_increasing_id())
     # Written once, so that the row numbers are fixed and texts are read and parsed once.
@@ -238,7 +231,7 @@ def verdicts(
         ),
         "frequent-lines",
     )
-    texts = described.select("row", "host", "identity", "lines", "samples").join(
+    texts = described.select("row", "host", "identity", "sketch").join(
         held.select("row").distinct(), "row", "left_semi"
     )
     labels = _classes(scratch.write(texts, "frequent-texts"), scratch)
@@ -256,7 +249,7 @@ def verdicts(
     lost = hit.groupBy("row").agg(
         F.sum("words").cast("bigint").alias("words_lost"), F.sort_array(F.collect_list("number")).alias("removed")
     )
-    judged = described.drop("lines", "samples").join(lost, "row", "left")
+    judged = described.drop("lines", "sketch").join(lost, "row", "left")
     base_failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
     )
@@ -288,17 +281,18 @@ def apply(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str
     See :func:`verdicts` for nulls, empty texts and repeated rows; the latter all stay. Of other
     columns nothing changes.
     """
+    gone, left = free("gone", docs.columns), free("left", docs.columns)
     judged = verdicts(docs, doc_id, text, host).where("kept")
-    marks = judged.groupBy("doc_id", "text_key").agg(F.first("removed").alias("__removed"))
+    marks = judged.groupBy("doc_id", "text_key").agg(F.first("removed").alias(gone))
     d, m = docs.alias("d"), marks.alias("m")
-    same = F.col(f"d.{doc_id}").eqNullSafe(F.col("m.doc_id")) & (F.xxhash64(F.col(f"d.{text}")) == F.col("m.text_key"))
-    kept = d.join(m, same).select("d.*", "m.__removed")
+    same = F.col(f"d.`{doc_id}`").eqNullSafe(F.col("m.doc_id")) & (F.xxhash64(F.col(f"d.`{text}`")) == F.col("m.text_key"))
+    kept = d.join(m, same).select(*[F.col(f"d.`{c}`") for c in docs.columns], f"m.{gone}")
 
     def make(batch: pa.RecordBatch) -> list:
-        texts, removed = batch.column(text).to_pylist(), batch.column("__removed").to_pylist()
+        texts, removed = batch.column(text).to_pylist(), batch.column(gone).to_pylist()
         return [pa.array([_keep_lines(t, r) if r else t for t, r in zip(texts, removed)], pa.string())]
 
     done = with_columns(
-        kept, text, [T.StructField("__text", T.StringType())], make, [c for c in kept.columns if c != text]
+        kept, text, [T.StructField(left, T.StringType())], make, [c for c in docs.columns if c != text], uses=(gone,)
     )
-    return done.select(*[F.col("__text").alias(text) if c == text else F.col(f"`{c}`") for c in docs.columns])
+    return done.select(*[F.col(left).alias(text) if c == text else F.col(f"`{c}`") for c in docs.columns])

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.llm import anchors, suffix_sort
-from starloom.llm.frames import BITE, Scratch, buffer, key_blocks, map_batches, release, rows_from, utf8, with_columns
+from starloom.llm.frames import BITE, Scratch, buffer, free, key_blocks, map_batches, release, rows_from, utf8, with_columns
 from starloom.session import materialise
 
 LENGTH = 100
@@ -245,8 +245,10 @@ def _union(at: np.ndarray, stop: np.ndarray) -> tuple[list[int], list[int]]:
     return at[heads].tolist(), reach[np.concatenate([heads[1:], [len(at)]]) - 1].tolist()
 
 
-def _with_removed(docs: DataFrame, doc_id: str, text: str, length: int, gram: int, group: int) -> DataFrame:
-    """``docs`` with the removed windows of each text in ``__gone``."""
+def _with_removed(
+    docs: DataFrame, doc_id: str, text: str, length: int, gram: int, group: int, out: str
+) -> DataFrame:
+    """``docs`` with the removed windows of each text in ``out``."""
     base = docs.select(
         F.col(doc_id).alias("doc_id"), F.xxhash64(F.col(text)).alias("text_key"), F.col(text).alias("text")
     )
@@ -254,7 +256,7 @@ def _with_removed(docs: DataFrame, doc_id: str, text: str, length: int, gram: in
     gone = materialise(
         removed_windows(base, scratch, length, gram, group)
         .groupBy("doc_id", "text_key")
-        .agg(F.collect_list(F.struct("at", "span")).alias("__gone")),
+        .agg(F.collect_list(F.struct("at", "span")).alias(out)),
         "gone",
     )
     scratch.clear()
@@ -262,13 +264,13 @@ def _with_removed(docs: DataFrame, doc_id: str, text: str, length: int, gram: in
     same = F.col(f"d.`{doc_id}`").eqNullSafe(F.col("m.doc_id")) & (
         F.xxhash64(F.col(f"d.`{text}`")) == F.col("m.text_key")
     )
-    return d.join(m, same, "left").select(*[F.col(f"d.`{c}`") for c in docs.columns], "m.__gone")
+    return d.join(m, same, "left").select(*[F.col(f"d.`{c}`") for c in docs.columns], f"m.{out}")
 
 
-def _texts_and_spans(batch: pa.RecordBatch, text: str, length: int) -> Iterator[tuple[bytes, list[int], list[int]]]:
+def _texts_and_spans(batch: pa.RecordBatch, text: str, length: int, gone: str) -> Iterator[tuple[bytes, list[int], list[int]]]:
     """The bytes of each text, and begin and end of its removed spans."""
     raw, offsets = buffer(utf8(batch.column(text)))
-    lists = batch.column("__gone")
+    lists = batch.column(gone)
     sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     ends = np.cumsum(sizes)
     flat = lists.flatten()
@@ -300,18 +302,19 @@ def deduplicate(
     different texts are ordered by a hash of the text. An empty table stays empty. Columns that
     have the names of the two new ones are replaced.
     """
+    gone = free("gone", docs.columns)
     kind = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
 
     def make(batch: pa.RecordBatch) -> list:
         spans, kept = [], []
-        for raw, begins, stops in _texts_and_spans(batch, text, length):
+        for raw, begins, stops in _texts_and_spans(batch, text, length, gone):
             spans.append([{"start": a, "stop": b} for a, b in zip(begins, stops)])
             kept.append(_cut(raw, begins, stops))
         return [pa.array(spans, kind), pa.array(kept, pa.binary())]
 
     fields = [T.StructField("removed_spans", SPANS), T.StructField("kept_bytes", T.BinaryType())]
-    joined = _with_removed(docs, doc_id, text, length, gram, group)
-    return with_columns(joined, text, fields, make, docs.columns, BITE, ("__gone",))
+    joined = _with_removed(docs, doc_id, text, length, gram, group, gone)
+    return with_columns(joined, text, fields, make, docs.columns, BITE, (gone,))
 
 
 def _whole_characters(raw: bytes, start: int, stop: int) -> tuple[int, int]:
@@ -329,17 +332,19 @@ def apply(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: i
     See :func:`deduplicate` for empty and short texts and repeated rows; a null text stays null.
     """
 
+    gone, left = free("gone", docs.columns), free("left", docs.columns)
+
     def make(batch: pa.RecordBatch) -> list:
         there = batch.column(text).is_valid().to_pylist()
         out = []
-        for valid, (raw, begins, stops) in zip(there, _texts_and_spans(batch, text, length)):
+        for valid, (raw, begins, stops) in zip(there, _texts_and_spans(batch, text, length, gone)):
             whole = [_whole_characters(raw, a, b) for a, b in zip(begins, stops)]
             out.append(_cut(raw, [a for a, _ in whole], [b for _, b in whole]).decode() if valid else None)
         return [pa.array(out, pa.string())]
 
     names = docs.columns
     cut = with_columns(
-        _with_removed(docs, doc_id, text, length, GRAM, GROUP), text, [T.StructField("__text", T.StringType())], make,
-        [c for c in names if c != text], uses=("__gone",),
+        _with_removed(docs, doc_id, text, length, GRAM, GROUP, gone), text, [T.StructField(left, T.StringType())], make,
+        [c for c in names if c != text], uses=(gone,),
     )
-    return cut.select(*[F.col("__text").alias(text) if c == text else F.col(f"`{c}`") for c in names])
+    return cut.select(*[F.col(left).alias(text) if c == text else F.col(f"`{c}`") for c in names])

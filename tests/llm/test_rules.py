@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import collections
+import itertools
 import re
 from collections import Counter
 
@@ -60,9 +62,9 @@ def test_frequent_lines_go_and_depleted_documents_are_rejected(spark):
     rows += [(100, "\n".join([prose(100, 5), *(b.format(9) for b in banners)])), (101, prose(101, 10))]
     # Copies, also with other digits, case and blanks, are no boilerplate.
     rows += [(200 + i, prose("copy", 40) + " " * (i % 3) + "\n" + prose("tail", 9) + str(i)) for i in range(40)]
-    # Nor are copies with one line changed.
-    lines = [prose(f"near{k}", 20 + k) for k in range(9)]
-    rows += [(300 + i, "\n".join([*lines[: i % 9], prose(f"new{i}", 25), *lines[i % 9 + 1 :]])) for i in range(60)]
+    # Nor are copies with one short line changed.
+    lines = [prose(f"near{k}", 8 if k < 8 else 200) for k in range(9)]
+    rows += [(300 + i, "\n".join([*lines[: i % 8], prose(f"new{i}", 6), *lines[i % 8 + 1 :]])) for i in range(60)]
     docs = make_documents(spark, rows)
     found = {r.doc_id: r for r in quality_rules.verdicts(docs).collect()}
     assert all(found[300 + i].kept and not found[300 + i].removed for i in range(60))
@@ -99,6 +101,63 @@ def test_boilerplate_goes_beside_a_long_line_and_near_copies(spark):
     assert all(found[300 + i].removed == [1] for i in range(12))
 
 
+@pytest.mark.parametrize("own", [50, 37, 20])
+def test_boilerplate_goes_however_much_of_a_text_it_is(spark, own):
+    """200 documents with the same ten lines of ten words, two thirds to five sixths of all their words."""
+    shared = [prose(f"shared{k}", 10) for k in range(10)]
+    rows = [(i, "\n".join([prose(f"own{own}-{i}", own), *shared])) for i in range(200)]
+    found = quality_rules.verdicts(make_documents(spark, rows)).collect()
+    assert all(r.removed == list(range(1, 11)) and r.words_left == own for r in found)
+    assert all(r.kept == (own >= 0.3 * (own + 100)) for r in found)
+
+
+def brute_verdicts(rows, limit):
+    """Lines removed and ``kept`` of (doc_id, text, host), classes by exact shingle similarity."""
+    def normal(line):
+        return re.sub(r"[\x20\x09-\x0D0-9]", "", re.sub("[A-Z]", lambda m: m[0].lower(), line))
+
+    def shingles(text):
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+    lines = [[x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)] for _, text, _ in rows]
+    keys = [[normal(x) for x in own] for own in lines]
+    label, sets = list(range(len(rows))), [shingles(text or "") for _, text, _ in rows]
+    for i, j in itertools.combinations(range(len(rows)), 2):
+        same = rows[i][2] == rows[j][2] and sets[i] and sets[j]
+        if same and (keys[i] == keys[j] or len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])):
+            old, new = label[j], label[i]
+            label = [new if x == old else x for x in label]
+    held = collections.defaultdict(set)
+    for i, own in enumerate(keys):
+        for key in own:
+            held[rows[i][2], key].add(label[i])
+    out = []
+    for (doc_id, text, host), own, key in zip(rows, lines, keys):
+        gone = [n for n, k in enumerate(key) if len(held[host, k]) > limit]
+        words = [len(x.split()) for x in own]
+        n, left = sum(words), sum(words) - sum(words[i] for i in gone)
+        n_words, *_, repeated = brute_counts(text or "")
+        out.append((doc_id, gone, n_words >= 20 and 100 * repeated <= 30 * n_words and left >= 0.3 * n))
+    return sorted(out)
+
+
+def test_verdicts_are_those_of_brute_force(small, spark):
+    rows = [(r.doc_id, r.text, r.source) for r in small.collect()]
+    for limit in (1, 3):
+        found = quality_rules.verdicts(small, limit=limit).collect()
+        assert sorted((r.doc_id, r.removed, r.kept) for r in found) == brute_verdicts(rows, limit)
+
+
+def test_clashing_and_dotted_columns(spark):
+    docs = make_documents(spark, [(i, f"{prose(i, 30)}\nThe line") for i in range(12)]).selectExpr(
+        "*", "1 AS __removed", "2 AS gone", "3 AS left", "4 AS `a.b`"
+    )
+    kept = quality_rules.apply(docs)
+    assert kept.columns == docs.columns and kept.count() == 12
+    assert all("The line" not in r.text for r in kept.collect())
+
+
 def test_rules_on_odd_rows(odd, nothing):
     found = quality_rules.verdicts(odd).collect()
     assert len(found) == odd.count()
