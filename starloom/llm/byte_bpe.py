@@ -6,16 +6,18 @@ of 64-bit words tells which buckets are filled, and find-first-set on each level
 rank. An entry is stale if the pair at its position has another rank by now, and is skipped.
 
 Taking a whole bucket at a time equals taking its leftmost entry at a time, because merging rank r
-cannot create a pair of a lower rank, except for the few ranks the vocabulary itself shows
-(``Vocabulary.unsafe``); of those only the leftmost entry of each pre-token is taken. Each merge
-costs a constant number of array operations, so a pre-token of n bytes takes O(n) merges and
-no quadratic search, however long it is.
+cannot create a pair of a lower rank, except for ranks that the vocabulary itself shows
+(``Vocabulary.unsafe``, about a sixth of them); of those only the leftmost entry of each pre-token is
+taken at a time. That is repeated as often as the longest pre-token has such entries, so pre-tokens of more
+than ``LONG`` bytes go one by one through a queue whose buckets are heaps of positions: there each of
+the at most n merges costs the logarithm of a bucket, whatever the ranks.
 """
 
 from __future__ import annotations
 
 import base64
-from functools import lru_cache
+import heapq
+from functools import cached_property, lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -30,7 +32,10 @@ RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 NO_RANK = np.int32(2**31 - 1)
 #: Pre-tokens remembered by a Python worker between bites; then it starts afresh.
 REMEMBERED = 400_000
+REMEMBERED_BYTES = 64 << 20
 ENCODE_BITE = 6 << 20
+#: Longer pre-tokens are merged one entry at a time.
+LONG = 256
 
 
 class RankQueue:
@@ -42,7 +47,7 @@ class RankQueue:
         self.mid = [0] * ((ranks >> 12) + 1)
         self.top = 0
 
-    def push(self, rank: int, positions: np.ndarray) -> None:
+    def push(self, rank: int, positions: np.ndarray | int) -> None:
         bucket = self.buckets.get(rank)
         if bucket is None:
             self.buckets[rank] = [positions]
@@ -68,6 +73,29 @@ class RankQueue:
         return rank, parts[0] if len(parts) == 1 else np.concatenate(parts)
 
 
+class HeapQueue(RankQueue):
+    """The same with a heap of positions in each bucket, the leftmost on top."""
+
+    def put(self, rank: int, position: int) -> None:
+        bucket = self.buckets.get(rank)
+        if bucket is None:
+            self.push(rank, position)
+        else:
+            heapq.heappush(bucket, position)
+
+    def take(self) -> tuple[int, int] | None:
+        """The leftmost position of the lowest filled bucket."""
+        if not self.top:
+            return None
+        i = (self.top & -self.top).bit_length() - 1
+        j = i << 6 | (self.mid[i] & -self.mid[i]).bit_length() - 1
+        rank = j << 6 | (self.low[j] & -self.low[j]).bit_length() - 1
+        bucket = self.buckets[rank]
+        if len(bucket) == 1:
+            return rank, self.pop()[1]
+        return rank, heapq.heappop(bucket)
+
+
 class Vocabulary:
     """Ranks of a tiktoken file with what encoding and decoding look up."""
 
@@ -105,6 +133,62 @@ class Vocabulary:
 
     def encode(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pieces one after another, and the number of ids of each piece."""
+        long = [n for n, p in enumerate(pieces) if len(p) > LONG]
+        if not long:
+            return self.merge_all(pieces)
+        ids, counts = self.merge_all([b"" if len(p) > LONG else p for p in pieces])
+        parts, ends, at = [], np.cumsum(counts), 0
+        for n in long:
+            own = self.merge_one(pieces[n])
+            parts += [ids[at : ends[n]], own]
+            at, counts[n] = ends[n], len(own)
+        return np.concatenate([*parts, ids[at:]]), counts
+
+    def merge_one(self, piece: bytes) -> np.ndarray:
+        """Ids of one pre-token of any length, by the queue of heaps."""
+        raw = np.frombuffer(piece, np.uint8)
+        n = len(raw)
+        rank = self.byte_pairs[raw[:-1], raw[1:]]
+        token = self.of_byte[raw].tolist()
+        queue = HeapQueue(self.size)
+        order = np.argsort(rank, kind="stable")
+        ranks = rank[order]
+        cuts = [0, *(np.flatnonzero(ranks[1:] != ranks[:-1]) + 1).tolist(), len(ranks)]
+        for a, b in zip(cuts, cuts[1:]):
+            if a < b and ranks[a] != NO_RANK:
+                queue.push(int(ranks[a]), 0)
+                queue.buckets[int(ranks[a])] = order[a:b].tolist()  # ascending: a heap
+        none = int(NO_RANK)
+        rank = [*rank.tolist(), none]
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        known, size = self.pairs, self.size
+        while (lowest := queue.take()) is not None:
+            r, at = lowest
+            if rank[at] != r:
+                continue  # stale
+            gone = after[at]
+            follow = after[gone]
+            token[at], rank[gone], token[gone], after[at] = r, none, -1, follow
+            if follow < n:
+                before[follow] = at
+                rank[at] = known.get(r * size + token[follow], none)
+                if rank[at] != none:
+                    queue.put(rank[at], at)
+            else:
+                rank[at] = none
+            lead = before[at]
+            if lead >= 0:
+                rank[lead] = known.get(token[lead] * size + r, none)
+                if rank[lead] != none:
+                    queue.put(rank[lead], lead)
+        return np.array([t for t in token if t >= 0], np.int32)
+
+    @cached_property
+    def pairs(self) -> dict[int, int]:
+        return dict(zip(self.keys.tolist(), self.merged.tolist()))
+
+    def merge_all(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """As :meth:`encode`, all pieces at once."""
         lengths = np.array([len(p) for p in pieces], np.int64)
         raw = np.frombuffer(b"".join(pieces), np.uint8)
         n = len(raw)
@@ -183,12 +267,13 @@ class Memory(dict):
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self.known = 0
+        self.known = self.bytes = 0
         self.flat = np.empty(0, np.int32)
         self.starts = self.counts = np.empty(0, np.int32)
 
     def __missing__(self, piece: str) -> int:
         number = self[piece] = len(self)
+        self.bytes += len(piece)
         return number
 
     def learn(self) -> None:
@@ -221,7 +306,7 @@ _memory: dict[str, Memory] = {}
 
 def remembered(path: str) -> Memory:
     memory = _memory.get(path)
-    if memory is None or len(memory) > REMEMBERED:
+    if memory is None or len(memory) > REMEMBERED or memory.bytes > REMEMBERED_BYTES:
         memory = _memory[path] = Memory(vocabulary(path))
     return memory
 

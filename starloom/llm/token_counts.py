@@ -2,11 +2,12 @@
 
 Texts up to ``chunk`` characters are encoded whole. A longer one is encoded in chunks that overlap.
 Lengths of the pieces give the byte offset of every token boundary of a chunk, and two
-neighbouring encodings are spliced at a boundary that both have and that is proven stable: a
-space behind something else than a space. The vocabulary has no piece with a space behind another
-character (checked when the model is loaded), so no merge ever crosses such a place, whatever
-stands further left or right, and the tokens on its two sides do not depend on each other. If the
-overlap holds no such place, it is doubled, and beyond the whole left chunk that chunk grows.
+neighbouring encodings are spliced at a boundary that is proven stable: between two characters that
+stand side by side in no piece of the vocabulary. No merge ever crosses such a place, whatever stands
+further left or right, and the tokens on its two sides do not depend on each other. A space behind another
+character is one, and so are most places in text of large alphabets. If the overlap holds no such place,
+it is doubled, and beyond the whole left chunk that chunk is doubled, so the time stays linear even
+for a text without any; such a text is held whole.
 """
 
 from __future__ import annotations
@@ -40,8 +41,9 @@ class Counter:
         self.width = np.array(
             [len(p.replace(SPACE, " ").encode()) if own else 1 for p, own in zip(pieces, ordinary)], np.int64
         )
-        #: Whether a space behind another character is always a boundary.
-        self.splits_at_spaces = not any(own and SPACE in p.lstrip(SPACE) for p, own in zip(pieces, ordinary))
+        texts = [p.replace(SPACE, " ") for p, own in zip(pieces, ordinary) if own]
+        #: All pairs of neighbouring characters of a piece, sorted.
+        self.inside = np.unique(np.concatenate([_pairs(t) for t in texts if len(t) > 1]))
 
     def ends(self, text: str) -> np.ndarray | None:
         """Byte offset in ``text`` of the end of each token; None if widths do not add up to it."""
@@ -52,54 +54,51 @@ class Counter:
 
     def count(self, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> int:
         text = text.replace(SPACE, " ")  # the model takes both for the same symbol
-        whole = len(text) <= chunk or not self.splits_at_spaces
-        return len(self.model.encode(text, num_threads=1)) if whole else self._spliced(text, chunk, overlap)
-
-    def _spliced(self, text: str, chunk: int, overlap: int) -> int:
-        total, left, end = 0, 0, chunk  # tokens before text[left:] are counted
-        left_ends = self.ends(text[left:end])
-        while left_ends is not None and end < len(text):
-            back, spliced = overlap, False
-            while not spliced and back < end - left:
+        found = self._spliced(text, chunk, overlap) if len(text) > chunk else None
+        return len(self.model.encode(text, num_threads=1)) if found is None else found
+
+    def _spliced(self, text: str, chunk: int, overlap: int) -> int | None:
+        """None if the model does not give the text back."""
+        total, base, left, end = 0, 0, 0, chunk  # tokens before text[left:] are counted; its chunk begins at base
+        ends = self.ends(text[:end])
+        while ends is not None and end < len(text):
+            back = overlap
+            while back < end - left:
                 start = end - back
-                right_ends = self.ends(text[start : start + chunk])
-                if right_ends is None:
-                    return len(self.model.encode(text, num_threads=1))
-                cut = self._common(text, left, left_ends, start, right_ends, end)
-                if cut is None:
-                    back *= 2
-                    continue
-                at, tokens, tokens_right = cut
-                total += tokens
-                right_ends = right_ends[tokens_right:] - len(text[start:at].encode())
-                left, end, left_ends, spliced = at, min(start + chunk, len(text)), right_ends, True
-            if not spliced:
-                end = min(end + chunk, len(text))
-                # Behind a splice the text goes on with its space, which the model puts in front itself.
-                left_ends = self.ends(text[left + (left > 0) : end])
-                if left and left_ends is not None:
-                    left_ends = left_ends + 1
-        if left_ends is None:
-            return len(self.model.encode(text, num_threads=1))
-        return total + len(left_ends)
-
-    def _common(self, text, left, left_ends, start, right_ends, end) -> tuple[int, int, int] | None:
-        """The last stable boundary of both chunks in text[start:end]: where it is and the tokens before it."""
-        at = end
-        while (at := text.rfind(" ", start + 1, at)) > 0:
-            if text[at - 1] == " ":
-                continue
-            in_left = int(np.searchsorted(left_ends, len(text[left:at].encode())))
-            in_right = int(np.searchsorted(right_ends, len(text[start:at].encode())))
-            if (
-                in_left < len(left_ends)
-                and in_right < len(right_ends)
-                and left_ends[in_left] == len(text[left:at].encode())
-                and right_ends[in_right] == len(text[start:at].encode())
-                and at > left
-            ):
-                return at, in_left + 1, in_right + 1
-        return None
+                right = self.ends(text[start : start + chunk])
+                if right is None:
+                    return None
+                at = self.stable(text, max(start, left), end)
+                if at is not None:
+                    total += int(np.searchsorted(ends, len(text[left:at].encode()), "right"))
+                    base, left, end = start, at, min(start + chunk, len(text))
+                    ends = _behind(right, text[start:at])
+                    break
+                back *= 2
+            else:
+                end = min(end + end - left, len(text))
+                ends = self.ends(text[base:end])
+                ends = None if ends is None else _behind(ends, text[base:left])
+        return None if ends is None else total + len(ends)
+
+    def stable(self, text: str, start: int, end: int) -> int | None:
+        """The last place inside text[start:end] that no piece can cross."""
+        pairs = _pairs(text[start:end])
+        at = np.minimum(np.searchsorted(self.inside, pairs), len(self.inside) - 1)
+        free = np.flatnonzero(self.inside[at] != pairs)
+        return start + int(free[-1]) + 1 if len(free) else None
+
+
+def _pairs(text: str) -> np.ndarray:
+    """Neighbouring characters as numbers."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    return points[:-1] << 21 | points[1:]
+
+
+def _behind(ends: np.ndarray, text: str) -> np.ndarray:
+    """The ends behind ``text``, with which the encoded text begins, counted from there."""
+    size = len(text.encode())
+    return ends[np.searchsorted(ends, size, "right") :] - size
 
 
 @lru_cache(maxsize=2)
@@ -118,7 +117,7 @@ def count_tokens(
 ) -> DataFrame:
     """``df`` with the number of tokens of each text, without begin, end or other special tokens.
 
-    Null and empty texts have 0 tokens. Repeated rows keep their multiplicity, an empty table
+    Null and empty texts have 0 tokens. A very long text is encoded in chunks. Repeated rows keep their multiplicity, an empty table
     stays empty, and a column already named ``out`` is replaced.
     """
 

@@ -30,6 +30,8 @@ from starloom.llm.frames import map_batches, utf8
 from starloom.session import materialise, scratch_path
 
 SPLIT = 4 << 20
+#: Bytes of archives that a task reads.
+TASK = 32 << 20
 LEVEL = 4
 MAGIC = b"\x1f\x8b\x08"
 WINDOW = 1 << 20
@@ -198,6 +200,15 @@ def parse(content: bytes) -> Iterator[dict]:
         }
 
 
+def tasks(archives: DataFrame, split: int) -> int:
+    """Read tasks: one for each ``TASK`` bytes, and as many as the cluster has cores if there are as many ranges.
+
+    The rows of ranges are tiny, so without a number of its own their exchange would end in one task.
+    """
+    size, ranges = archives.agg(F.sum("size"), F.sum(F.ceil(F.col("size") / split))).first()
+    return max(1, -(-(size or 0) // TASK), min(ranges or 0, archives.sparkSession.sparkContext.defaultParallelism))
+
+
 def read(archives: DataFrame, split: int = SPLIT, payloads: bool = True) -> DataFrame:
     """Records of the ``archives`` (path, size), each archive in ranges of ``split`` bytes.
 
@@ -231,8 +242,7 @@ def read(archives: DataFrame, split: int = SPLIT, payloads: bool = True) -> Data
                 if held:
                     yield pa.RecordBatch.from_pylist(held, arrow)
 
-    # One range a partition at best: ranges are dealt by their own place, not by archive.
-    return map_batches(ranges.repartition("path", "start"), run, schema)
+    return map_batches(ranges.repartition(tasks(archives, split)), run, schema)
 
 
 def with_roles(pages: DataFrame, page_id: str = "page_id", url: str = "url", payload: str = "html") -> DataFrame:

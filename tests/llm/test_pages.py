@@ -135,3 +135,15 @@ def test_round_trip_of_odd_pages(spark):
     assert kinds.count(("urn:page:4", "response")) == 2  # the largest id, twice
     assert ("urn:page:", "revisit") in kinds and ("urn:page:3", "revisit") in kinds and ("urn:page:1", "revisit") in kinds
     assert warc.round_trip(odd_pages(spark).limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(("files", "size", "split"), [(10, 400 << 20, 4 << 20), (1, 4 << 40, 4 << 20), (3, 70, 64)])
+def test_reading_is_spread_over_tasks(spark, files, size, split):
+    """Also under adaptive execution, which puts small partitions together."""
+    archives = spark.createDataFrame([(f"file:/none/{i}", size) for i in range(files)], "path string, size long")
+    ranges = files * -(-size // split)
+    n = warc.tasks(archives, split)
+    assert n >= min(ranges, spark.sparkContext.defaultParallelism) and files * size <= n * warc.TASK + n * split
+    if ranges < 2000:
+        dealt = warc.read(archives, split)
+        assert dealt.rdd.getNumPartitions() == n

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import base64
 import random
+import time
 
 import numpy as np
 import public_tokenizers as P
@@ -34,6 +35,25 @@ def test_very_long_pre_tokens(letters):
     assert encoded([text]) == [REFERENCE.encode_ordinary(text)]
 
 
+@pytest.mark.parametrize("letters", ["ple", "an", "st", "il", "the", "en", "aaab"])
+@pytest.mark.parametrize("size", [byte_bpe.LONG - 1, byte_bpe.LONG + 1, 6_001])
+def test_long_runs_of_ranks_that_make_lower_ones(letters, size):
+    text = (letters * size)[:size]
+    assert encoded([f"x {text}", text, "y"]) == [REFERENCE.encode_ordinary(t) for t in (f"x {text}", text, "y")]
+
+
+@pytest.mark.parametrize("letters", ["ple", "an", None])
+def test_time_is_linear_in_a_pre_token(letters):
+    book, rng = byte_bpe.vocabulary(byte_bpe.RANKS), random.Random(1)
+    def spent(size):
+        piece = (letters * size if letters else "".join(rng.choices("etaoinshrdlu", k=size)))[:size].encode()
+        begin = time.process_time()
+        book.encode([piece])
+        return time.process_time() - begin
+    spent(1_000)
+    assert spent(240_000) < 3.5 * spent(120_000) + 0.3
+
+
 def test_queue_returns_ranks_in_order_and_all_positions():
     queue = byte_bpe.RankQueue(50_000)
     rng = np.random.default_rng(1)
@@ -69,8 +89,23 @@ def test_spliced_counts_are_those_of_the_whole_text(alphabet, chunk, overlap):
         assert MODEL.count(text, chunk, overlap) == len(MODEL.model.encode(text))
 
 
-def test_vocabulary_proves_spaces_stable():
-    assert MODEL.splits_at_spaces
+def test_places_that_no_piece_crosses():
+    assert MODEL.stable("word and", 0, 8) == 4 and MODEL.stable("theword", 0, 7) is None
+    pieces = [MODEL.model.id_to_piece(i).replace("▁", " ") for i in range(300, 3_000)]
+    assert all(MODEL.stable(p, 0, len(p)) is None for p in pieces)
+
+
+@pytest.mark.parametrize("alphabet", ["etaoinshrdlu", "日本語学校東京都人大小中国一二三", "an", "ABCDEFabcdef0123456789+/"])
+def test_texts_without_spaces_take_linear_time(alphabet):
+    rng = random.Random(alphabet)
+    text = "".join(rng.choices(alphabet, k=400_000))
+    assert MODEL.count(text[:100_000], 3_000, 64) == len(MODEL.model.encode(text[:100_000]))
+    def spent(size):
+        begin = time.process_time()
+        MODEL.count(text[:size])
+        return time.process_time() - begin
+    spent(1_000)
+    assert spent(400_000) < 3.5 * spent(200_000) + 0.3
 
 
 def test_counts_of_odd_rows(odd, nothing):
