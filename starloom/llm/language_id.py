@@ -5,7 +5,7 @@ sum over all its segmentations into pieces, by the forward algorithm; that of a
 over its words. The probabilities are found by expectation maximisation: expected counts of pieces
 over all segmentations of the training words, by the forward-backward algorithm.
 
-Words are lower-cased, split at white space, and cut into parts of ``PART`` characters. A character
+Words are lower-cased and split at white space; a word of any length is summed whole. A character
 that is no piece is one arc of a common unknown piece.
 """
 
@@ -33,14 +33,17 @@ VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 #: Labelled documents to fit on, in expectation; a hash of the id chooses them.
 TRAINING_DOCUMENTS = 20_000
 ITERATIONS = 4
-PART = 64
-#: Keeps forward sums of a part in the range of a double; taken out again at the end.
+#: Training documents of each language at least, if it has so many.
+LEAST_DOCUMENTS = 300
+#: Keeps forward sums in the middle of the range of a double; taken out again at the end.
 SCALE = 8.0
 SMOOTHING = 0.02
 UNDECIDED = "und"
 SPACE = "▁"
 #: Words remembered by a Python worker between bites; then it starts afresh.
 REMEMBERED = 600_000
+#: The same in characters.
+REMEMBERED_SIZE = 32 << 20
 
 _letter = regex.compile(r"\p{L}").search
 
@@ -150,38 +153,69 @@ class Lattice:
         return beta
 
 
-def parts(word: str) -> list[str]:
-    """The word with the mark of its beginning, cut into parts."""
-    word = SPACE + word
-    return [word[i : i + PART] for i in range(0, len(word), PART)] if len(word) > PART else [word]
+    def log_sums(self, weights: np.ndarray, backward: bool = False) -> np.ndarray:
+        """Logarithms of ``forward`` or ``backward``, for words of any length.
+
+        A node's sum is taken relative to that of its neighbour, which every way that matters is near.
+        """
+        nodes = int(self.last[-1]) + 1 if len(self.last) else 0
+        out = np.zeros((nodes, weights.shape[1]))
+        here, there, away = (self.start, self.end, 1) if backward else (self.end, self.start, -1)
+        owner = np.searchsorted(self.first, self.start, "right") - 1
+        far = self.last[owner] - here if backward else here - self.first[owner]
+        order = np.lexsort((here, far))
+        bounds = np.searchsorted(far[order], np.arange(1, int(far.max(initial=0)) + 2))
+        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            arcs = order[a:b]
+            node = here[arcs]
+            heads = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
+            beside = out[node + away]
+            sums = np.add.reduceat(np.exp(out[there[arcs]] - beside) * weights[self.piece[arcs]], heads, axis=0)
+            out[node[heads]] = beside[heads] + np.log(sums)
+        return out
+
+
+def _by_length(words: list[str], weights: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The words with the mark of their beginning, and places of those whose sums fit a double and of the others.
+
+    A way through a word has at most as many arcs as characters, none of less than the least weight.
+    """
+    marked = [SPACE + w for w in words]
+    direct = int(575 / max(1.0, -np.log(weights.min())))  # e^-575 is 1e-250
+    long = np.fromiter((len(w) > direct for w in marked), bool, len(marked))
+    return marked, np.flatnonzero(~long), np.flatnonzero(long)
 
 
 def word_scores(words: list[str], weights: np.ndarray, pieces: Pieces) -> np.ndarray:
-    """Log-probability of each word in each language."""
-    cut = [parts(w) for w in words]
-    flat = [p for own in cut for p in own]
-    if not flat:
-        return np.empty((0, weights.shape[1]))
-    lattice = Lattice.of(flat, pieces)
-    sums = np.log(np.maximum(lattice.forward(weights)[lattice.last], 1e-300))
-    sums -= np.array([len(p) for p in flat])[:, None] * np.log(SCALE)
-    heads = np.cumsum([0, *map(len, cut[:-1])])
-    return np.add.reduceat(sums, heads, axis=0)
+    """Log-probability of each word in each language, summed over all its segmentations."""
+    marked, short, long = _by_length(words, weights)
+    out = np.empty((len(words), weights.shape[1]))
+    for places, direct in ((short, True), (long, False)):
+        if len(places):
+            lattice = Lattice.of([marked[i] for i in places.tolist()], pieces)
+            out[places] = np.log(lattice.forward(weights)[lattice.last]) if direct else lattice.log_sums(weights)[lattice.last]
+    return out - np.array([len(w) for w in marked])[:, None] * np.log(SCALE)
 
 
 def expected_counts(words: list[str], counts: np.ndarray, weights: np.ndarray, pieces: Pieces) -> np.ndarray:
     """Expected occurrences of each piece in each language; ``counts`` of words by language."""
-    cut = [parts(w) for w in words]
-    flat = [p for own in cut for p in own]
-    times = np.repeat(counts, [len(own) for own in cut], axis=0)
-    lattice = Lattice.of(flat, pieces)
-    alpha, beta = lattice.forward(weights), lattice.backward(weights)
-    total = np.maximum(alpha[lattice.last], 1e-300)
-    owner = np.searchsorted(lattice.first, lattice.start, "right") - 1
-    share = alpha[lattice.start] * weights[lattice.piece] * beta[lattice.end] * (times / total)[owner]
-    return np.stack(
-        [np.bincount(lattice.piece, share[:, k], pieces.size + 1) for k in range(weights.shape[1])], axis=1
-    )
+    marked, short, long = _by_length(words, weights)
+    sums = np.zeros((pieces.size + 1, weights.shape[1]))
+    for places, direct in ((short, True), (long, False)):
+        if not len(places):
+            continue
+        lattice = Lattice.of([marked[i] for i in places.tolist()], pieces)
+        owner = np.searchsorted(lattice.first, lattice.start, "right") - 1
+        if direct:
+            alpha, beta = lattice.forward(weights), lattice.backward(weights)
+            through = alpha[lattice.start] * beta[lattice.end] / alpha[lattice.last][owner]
+        else:
+            alpha, beta = lattice.log_sums(weights), lattice.log_sums(weights, backward=True)
+            through = np.exp(alpha[lattice.start] + beta[lattice.end] - alpha[lattice.last][owner])
+        share = through * weights[lattice.piece] * counts[places][owner]
+        for k in range(weights.shape[1]):
+            sums[:, k] += np.bincount(lattice.piece, share[:, k], pieces.size + 1)
+    return sums
 
 
 @dataclass
@@ -204,7 +238,8 @@ def _lengths(path: str) -> np.ndarray:
 def fit(docs: DataFrame, text: str, lang: str, row_hash, bound: int = TRAINING_DOCUMENTS, vocabulary: str = VOCABULARY):
     """A model from the rows with a language; None if there are none.
 
-    About ``bound`` rows, chosen by ``row_hash`` (a 64-bit hash column), are used. The model's size
+    About ``bound`` rows, chosen by ``row_hash`` (a 64-bit hash column), are used, and at least
+    ``LEAST_DOCUMENTS`` of each language that has so many. The model's size
     is that of the vocabulary times the number of languages.
     """
     labelled = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull())
@@ -213,8 +248,9 @@ def fit(docs: DataFrame, text: str, lang: str, row_hash, bound: int = TRAINING_D
         return None
     languages = sorted(per_language)
     total = sum(per_language.values())
-    cut = int(min(1.0, bound / total) * (2**31 - 1))
-    chosen = labelled.where(F.pmod(row_hash, F.lit(2**31 - 1)) <= cut).select(
+    wanted = {x: max(bound * n / total, LEAST_DOCUMENTS) for x, n in per_language.items()}
+    cuts = [F.lit(x) for own in per_language for x in (own, int(min(1.0, wanted[own] / per_language[own]) * (2**31 - 1)))]
+    chosen = labelled.where(F.pmod(row_hash, F.lit(2**31 - 1)) <= F.element_at(F.create_map(*cuts), F.col(lang))).select(
         F.col(lang).alias("lang"), F.col(text).alias("text")
     )
 
@@ -277,9 +313,11 @@ class Memory(dict):
     def __init__(self, model: Model):
         self.model = model
         self.scores = np.empty((0, len(model.languages)))
+        self.size = 0
 
     def __missing__(self, word: str) -> int:
         number = self[word] = len(self)
+        self.size += len(word)
         return number
 
     def learn(self) -> None:
@@ -296,7 +334,7 @@ _memory: dict[int, Memory] = {}
 
 def _remembered(key: int, model: Model) -> Memory:
     memory = _memory.get(key)
-    if memory is None or len(memory) > REMEMBERED:
+    if memory is None or len(memory) > REMEMBERED or memory.size > REMEMBERED_SIZE:
         _memory.clear()
         memory = _memory[key] = Memory(model)
     return memory
@@ -321,7 +359,7 @@ def predict(
     """``docs`` with ``lang_pred`` and ``score``, the posterior probability of the language.
 
     Null texts and texts without a letter are ``und`` with score 0, as is every text if there is no
-    model. Ties go to the first language by name. Repeated rows are kept, an empty table stays
+    model. Ties go to the first language by name. Texts and words of any length are scored whole. Repeated rows are kept, an empty table stays
     empty, and columns of the two names are replaced.
     """
     fields = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]

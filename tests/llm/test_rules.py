@@ -200,6 +200,44 @@ def test_forward_sums_all_segmentations():
             assert np.exp(score) == pytest.approx(segmentations(language_id.SPACE + word, table), rel=1e-9)
 
 
+@pytest.mark.parametrize("size", [10, 60, 300, 5_000])
+def test_long_words_are_summed_whole(size):
+    """Scores equal a plain sum in logarithms, and expected counts cover every character once."""
+    import numpy as np
+    import sentencepiece
+
+    pieces = language_id.pieces_of(language_id.VOCABULARY)
+    model = sentencepiece.SentencePieceProcessor(model_file=language_id.VOCABULARY)
+    every = [i for i in range(model.get_piece_size()) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i))]
+    numbers = {model.id_to_piece(i): n for n, i in enumerate(every)}
+    lengths = language_id._lengths(language_id.VOCABULARY)
+    rng = np.random.default_rng(size)
+    probability = rng.random((len(lengths), 2)) * 1e-5 + 1e-7
+    weights = probability * language_id.SCALE ** lengths[:, None]
+    word = "".join(rng.choice(list("etaoinshrdlué\U0001f600"), size))
+    marked = language_id.SPACE + word
+    for language in (0, 1):
+        best = [0.0] + [-np.inf] * len(marked)
+        for end in range(1, len(marked) + 1):
+            for start in range(max(0, end - pieces.longest), end):
+                n = numbers.get(marked[start:end])
+                if n is None and end - start == 1:
+                    n = pieces.unknown
+                if n is not None:
+                    best[end] = np.logaddexp(best[end], best[start] + np.log(probability[n, language]))
+        assert language_id.word_scores([word, "a"], weights, pieces)[0, language] == pytest.approx(best[-1], rel=1e-9)
+    counts = language_id.expected_counts([word, "the"], np.array([[2.0, 0.0], [0.0, 3.0]]), weights, pieces)
+    assert (counts * lengths[:, None]).sum(0) == pytest.approx([2 * len(marked), 3 * 4])
+
+
+def test_a_rare_language_is_learnt(spark):
+    rows = [(i, f"the cat and the dog went out with number {i} to the house", "en") for i in range(4_000)]
+    rows += [(5_000 + i, f"der hund und die katze gingen mit nummer {i} aus dem haus", "de") for i in range(60)]
+    docs = make_documents(spark, rows)
+    found = language_id.identify(docs, bound=200).collect()
+    assert all(r.lang_pred == ("en" if r.doc_id < 5_000 else "de") for r in found)
+
+
 def test_expected_counts_are_posterior_counts():
     import numpy as np
 
