@@ -1,19 +1,24 @@
 """Main text of web pages by consensus paths of hosts.
 
-1. Each page's containers are scored by the text of their paragraphs, less its links, and the page
-   votes for the generalised path (tags and classes, digits and ids left out) of its best one.
+1. The text of a page's blocks, less its links, is the score of every container around them. An article
+   or main element with most of the score wins; else the smallest container that holds nearly all of it, widened while
+   only paragraphs and headings are added, so an article spread over sibling containers stays whole. The page votes for its generalised path (tags and
+   classes, digits and ids left out).
 2. Votes are counted per host in Spark. Paths with ``LEAST_SHARE`` of a host's pages win, the one with
    most votes first.
-3. Each page is extracted again by the first winning path it has; a page without any falls back
-   to its own best container, and one without containers to its whole body.
+3. Each page is extracted again by the first winning path that holds at least ``COVERED`` of its score; a page
+   without any falls back to its own best container, and one without containers to its whole body.
 
-Menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts and styles are told
-by tag, role and words of class and id, and are dropped in any container.
+Menus, headers, footers, sidebars, forms, scripts and styles are told by tag and role. Words of class and id
+only mark a part: what it holds decides. A marked part goes unless it is a wrapper (it has the
+heading or the article, and most of the text); a part with a weaker mark goes if it is mostly links or if it is
+a small part outside the article.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
 
@@ -26,6 +31,14 @@ from starloom.llm.frames import free, with_columns
 from starloom.session import materialise
 
 LEAST_SHARE = 0.1
+#: Share of a page's score that a host's path must hold on it.
+COVERED = 0.5
+#: Share of the score that the container of an article without an element of its own holds.
+NEARLY_ALL = 0.95
+#: Shares of a page's text: a wrapper has at least the first, a small part less than the second.
+WRAPPER, SMALL = 0.5, 0.25
+#: A part is mostly links from this share of its text on.
+MOSTLY_LINKS = 0.5
 
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "template", "xmp"}
 VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "source", "track", "wbr"}
@@ -39,13 +52,20 @@ BLOCKS = {
 CONTAINERS = {"body", "main", "article", "section", "div", "td", "center"}
 #: Words of class and id that mark a part as something else than the article.
 MARKS = {
-    "ad", "ads", "advert", "adverts", "advertisement", "advertising", "adsense", "banner", "sponsor", "sponsored", "promo",
-    "promotion", "cookie", "cookies", "consent", "gdpr", "notice", "notices", "notification", "alert", "popup", "modal", "overlay",
-    "newsletter", "subscribe", "subscription", "signup", "login", "register", "paywall", "sidebar", "sidenav", "aside", "widget",
-    "widgets", "menu", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "header", "masthead", "topbar", "footer",
-    "copyright", "comment", "comments", "commentlist", "disqus", "reply", "replies", "respond", "share", "sharing", "social",
-    "related", "recommended", "recommendations", "search", "pagination", "pager", "toolbar", "skip", "toc", "legal", "disclaimer",
+    "ad", "ads", "advert", "adverts", "advertisement", "advertising", "adsense", "sponsor", "sponsored", "promo", "promotion",
+    "cookie", "cookies", "consent", "gdpr", "popup", "modal", "newsletter", "subscribe", "subscription", "signup", "login",
+    "paywall", "sidebar", "sidenav", "aside", "widget", "widgets", "menu", "nav", "navbar", "navigation", "breadcrumb",
+    "breadcrumbs", "footer", "masthead", "topbar", "comment", "comments", "commentlist", "disqus", "reply", "replies", "respond",
+    "share", "sharing", "social", "related", "recommended", "recommendations", "pagination", "pager", "toolbar", "skip",
 }
+#: Words that as often stand on parts of the article.
+WEAK_MARKS = {
+    "banner", "notice", "notices", "notification", "alert", "overlay", "register", "header", "copyright", "search", "toc", "legal",
+    "disclaimer",
+}
+#: Tags of text: a mark must be a whole class to count for them as more than a weak one.
+TEXT_TAGS = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "figure", "figcaption", "blockquote", "pre", "caption", "address"}
+HEADINGS = {"h1": 100, "h2": 50, "h3": 30}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog", "menu"}
 
 _TOKEN = re.compile(
@@ -58,7 +78,7 @@ _WORDS = re.compile(r"[a-z]+")
 _DIGITS = re.compile(r"\d+")
 
 
-@dataclass
+@dataclass(eq=False)
 class Node:
     tag: str
     path: str
@@ -66,9 +86,14 @@ class Node:
     dropped: bool
     inside: bool  # an article or main
     number: int
+    mark: int = 0  # 1 for a weak mark, 2 for a strong one
+    holds: bool = False  # the heading, an article or main
+    size: int = 0  # characters of text below, and those in links
+    linked: int = 0
+    score: float = 0.0
 
 
-@dataclass
+@dataclass(eq=False)
 class Block:
     node: Node
     text: str
@@ -78,6 +103,14 @@ class Block:
 @dataclass
 class Page:
     blocks: list[Block] = field(default_factory=list)
+    score: float = 0.0
+
+
+def _above(node: Node | None) -> Iterator[Node]:
+    """The node and its ancestors, without the root."""
+    while node is not None and node.tag:
+        yield node
+        node = node.parent
 
 
 def _is_dropped(tag: str, attributes: str, inside: bool) -> bool:
@@ -92,13 +125,29 @@ def _is_dropped(tag: str, attributes: str, inside: bool) -> bool:
         name = name.lower()
         if name == "role" and value.strip() in ROLES:
             return True
-        if name in ("class", "id") and tag not in ("main", "article") and not MARKS.isdisjoint(_WORDS.findall(value)):
-            return True
         if name == "class" and tag == "article" and not {"comment", "reply", "ad", "advert"}.isdisjoint(_WORDS.findall(value)):
             return True
     return False
 
 
+def _mark(tag: str, attributes: str) -> int:
+    """2 for a class or id with a word of ``MARKS``, 1 for a weak mark, else 0."""
+    if tag in ("html", "body", "main", "article") or not attributes.strip(" /"):
+        return 0
+    mark = 0
+    for name, a, b, c in _ATTRIBUTE.findall(attributes):
+        if name.lower() not in ("class", "id"):
+            continue
+        value = (a or b or c).lower()
+        words = _WORDS.findall(value)
+        if not MARKS.isdisjoint(words):
+            whole = tag not in TEXT_TAGS or not MARKS.isdisjoint(value.split())
+            mark = max(mark, 2 if whole else 1)
+        elif not WEAK_MARKS.isdisjoint(words):
+            mark = max(mark, 1)
+    return mark
+
+
 def _step(tag: str, attributes: str) -> str:
     if not attributes.strip(" /"):
         return tag
@@ -161,7 +210,9 @@ def parse(html: str) -> Page:
                     inline.pop()
                     stack.pop()
                 continue
-            if attributes and not attributes.endswith("/") and _is_dropped(tag, attributes, True):
+            if attributes and not attributes.endswith("/") and (
+                _is_dropped(tag, attributes, True) or _mark(tag, attributes) == 2
+            ):
                 flush()
                 inline.append(tag)
                 numbers += 1
@@ -192,59 +243,95 @@ def parse(html: str) -> Page:
                 top.dropped or _is_dropped(tag, attributes, top.inside),
                 top.inside or tag in ("article", "main"),
                 numbers,
+                _mark(tag, attributes),
             )
         )
+        if tag in ("h1", "article", "main") and not stack[-1].dropped:
+            for node in _above(top):
+                if node.holds:
+                    break
+                node.holds = True
     flush()
-    return page
-
-
-def _container(node: Node) -> Node | None:
-    """The article or main around the node, or else the nearest container."""
-    nearest, at = None, node
-    while at is not None and at.tag:
-        if at.tag in ("article", "main"):
-            return at
-        if nearest is None and at.tag in CONTAINERS:
-            nearest = at
-        at = at.parent
-    return nearest
-
+    return _judged(page)
+
+
+def _judged(page: Page) -> Page:
+    """The page without the blocks of marked parts that hold something else than the article; nodes scored."""
+    total = sum(len(b.text) for b in page.blocks)
+    marked = [(block, [n for n in _above(block.node) if n.mark]) for block in page.blocks]
+    for block, nodes in marked:
+        for node in nodes:
+            node.size += len(block.text)
+            node.linked += block.linked
+
+    def other(node: Node) -> bool:
+        if node.holds and node.size >= WRAPPER * total:
+            return False
+        if node.mark == 2 or node.linked >= MOSTLY_LINKS * node.size:
+            return True
+        return not node.inside and node.size < SMALL * total
 
-def best_path(page: Page) -> str | None:
-    """The path of the container with the highest score; the first by name on ties."""
-    scores: dict[str, float] = {}
+    page.blocks = [block for block, nodes in marked if not any(map(other, nodes))]
     for block in page.blocks:
-        container = _container(block.node)
-        if container is not None:
-            own = len(block.text) - 2 * block.linked + 20 * block.text.count(",")
-            scores[container.path] = scores.get(container.path, 0.0) + max(own, 0)
-    return min(scores, key=lambda p: (-scores[p], p)) if scores else None
+        text = len(block.text) - 2 * block.linked + 20 * block.text.count(",")
+        own = max(text, 0) + (HEADINGS.get(block.node.tag, 0) if text > 0 else 0)
+        page.score += own
+        for node in _above(block.node):
+            node.score += own
+    return page
 
 
-def text_at(page: Page, path: str | None) -> str | None:
-    """The blocks inside the nodes of a path; None if the page has no text there."""
-    if path is None:
+def best_path(page: Page) -> str | None:
+    """The path of the element that holds the article; None for a page without a score."""
+    nodes = {n.number: n for block in page.blocks for n in _above(block.node)}
+    own: dict[str, float] = {}
+    for node in nodes.values():  # outermost articles, those of one path together
+        if node.tag in ("article", "main") and not (node.parent and node.parent.inside):
+            own[node.path] = own.get(node.path, 0.0) + node.score
+    if page.score <= 0:
         return None
+    best = min(own, key=lambda p: (-own[p], p), default=None)
+    if best is not None and own[best] >= COVERED * page.score:
+        return best
+    whole = [n for n in nodes.values() if n.tag in CONTAINERS and n.score >= NEARLY_ALL * page.score]
+    # Each of them holds the article, so they stand inside each other: the last one opened is the smallest.
+    return _widened(page, max(whole, key=lambda n: n.number)).path if whole else None
+
+
+def _widened(page: Page, node: Node) -> Node:
+    """The widest part around the node, short of the body, that adds nothing but paragraphs and headings, such as a lead."""
+    for wider in _above(node.parent):
+        if wider.tag in ("html", "body"):
+            break
+        more = [b for b in page.blocks if wider in _above(b.node) and node not in _above(b.node)]
+        if any(b.node.tag not in TEXT_TAGS or b.linked >= MOSTLY_LINKS * len(b.text) for b in more):
+            break
+        if more:
+            node = wider
+    return node
 
-    def inside(node: Node | None) -> bool:
-        while node is not None and len(node.path) >= len(path):
-            if node.path == path:
-                return True
-            node = node.parent
-        return False
 
-    found = [b.text for b in page.blocks if inside(b.node)]
-    return "\n".join(found) if found else None
+def _at(page: Page, path: str) -> tuple[list[str], float]:
+    """The blocks inside the nodes of a path, and their share of the page's score."""
+    found, score = [], {}
+    for block in page.blocks:
+        for node in _above(block.node):
+            if node.path == path:
+                found.append(block.text)
+                score[node.number] = node.score
+                break
+    return found, sum(score.values()) / page.score if page.score > 0 else 1.0
 
 
 def main_text(page: Page, paths: list[str]) -> str:
-    """The text at the first of the paths the page has, at its own best path, or of its body."""
+    """The text at the first of the paths that holds enough of the page, at its own best path, or of its body."""
     for path in paths:
-        found = text_at(page, path)
-        if found is not None:
-            return found
-    own = text_at(page, best_path(page))
-    return own if own is not None else "\n".join(b.text for b in page.blocks)
+        found, share = _at(page, path)
+        if found and share >= COVERED:
+            return "\n".join(found)
+    path = best_path(page)
+    found = _at(page, path)[0] if path else []
+    return "\n".join(found or [b.text for b in page.blocks])
 
 
 def host_of(url):
@@ -285,7 +372,7 @@ def extract(
 
     Null and empty html give an empty text; a null URL counts as a host of its own. Repeated rows
     vote and are kept like any others, an empty table stays empty, and a column named ``out`` is
-    replaced.
+    replaced. A very long page is parsed whole, in time linear in its length.
     """
     names = pages.columns if keep is None else keep
     votes = page_votes(pages, url, html)

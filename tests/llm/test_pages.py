@@ -70,13 +70,59 @@ def test_hosts_vote(spark):
     main = "<div class='main-{}'><p>{}</p></div>"
     box = "<div class='box'><p>{}</p></div>"
     rows = [(i, f"http://h.example/{i}", page(main.format(i, "long text, " * 30) + box.format("short"))) for i in range(9)]
-    # On one page the box is longer; the host's path wins there as well.
+    # On one page the box has nearly all of the text: the host's path holds too little of it.
     rows.append((9, "http://H.example/9", page(main.format(9, "brief") + box.format("much longer text, " * 30))))
     rows.append((10, "http://other.example/", page(main.format(9, "brief") + box.format("much longer text"))))
+    # On another it has a little less than half, and the host's path wins, though alone the page would keep both.
+    rows.append((11, "http://h.example/11", page(main.format(11, "long text, " * 12) + box.format("longer text, " * 9))))
     found = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, PAGES)).collect()}
-    assert found[9] == "brief" and found[10] == "much longer text"
+    assert found[9] == ("much longer text, " * 30).strip() and found[10] == "brief\nmuch longer text"
+    assert found[11] == ("long text, " * 12).strip()
+    assert found[3] == ("long text, " * 30).strip()
 
 
+NOISE = "<div class='menu'><a href='/'>Home</a> <a href='/x'>All news of today</a></div>"
+LONG = "It was said, at length, and by many, that this would never come to pass. " * 6
+
+
+@pytest.mark.parametrize(
+    ("body", "wanted"),
+    [
+        (f"<div class='story'><div class='lead'><p>The lead.</p></div><div class='text'><p>{LONG}</p></div></div>", ["The lead.", LONG]),
+        (
+            f"<div class='post'><h1>Headline</h1><section><p>{LONG}</p></section><section class='b'><p>{LONG}</p><p>End.</p></section></div>",
+            ["Headline", LONG, LONG, "End."],
+        ),
+        (f"<div id='c'><table><tr><td><h1>Old page</h1><p>{LONG}</p></td></tr></table></div>", ["Old page", LONG]),
+        (f"<div class='has-sidebar with-menu'><h1>Wrapped</h1><p>{LONG}</p></div>", ["Wrapped", LONG]),
+        (
+            f"<article><h1>A</h1><div class='header-image'><p>A caption.</p></div><p class='legal'>In legal news.</p><p>{LONG}</p></article>",
+            ["A", "A caption.", "In legal news.", LONG],
+        ),
+        (
+            f"<article><p>{LONG}</p><p class='ad'>Buy.</p><div class='notice'><a href='/a'>Read this notice</a></div></article>",
+            [LONG],
+        ),
+    ],
+)
+def test_articles_of_many_templates(body, wanted):
+    foot = "<div class='comments'><p>I liked this, really, so very much, thanks.</p></div><div class='copyright'>All rights.</div>"
+    assert text_of(page(NOISE + body + foot)) == "\n".join(w.strip() for w in wanted)
+
+
+def test_comments_longer_than_the_article_go():
+    comments = "<div class='comments'>" + f"<div class='comment'><p>{LONG}</p></div>" * 20 + "</div>"
+    assert text_of(page(f"<div class='post'><h1>A</h1><p>{LONG}</p></div>{comments}")) == f"A\n{LONG.strip()}"
+
+
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01"])
+def test_given_pages_keep_their_article(spark, size):
+    """On these pages the article element has the text; menus and boxes stand outside or in parts with a mark."""
+    for row in spark.read.parquet(f"/root/testdata/{size}/pages.parquet").collect():
+        parsed = html_text.parse(row.html)
+        assert html_text.best_path(parsed).rsplit(">", 1)[1].startswith("article")
+        assert len(text_of(row.html)) >= 0.8 * sum(len(b.text) for b in parsed.blocks)
+
 def odd_pages(spark):
     same = page(ARTICLE)
     rows = [(1, "http://a.example", None, "x"), (2, None, "", "x"), (3, "not a url", same, "x"), (None, "http://a.example/1", same, "x")]
