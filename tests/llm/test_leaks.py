@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from documents import make_documents
 
 import corpus_pipeline
@@ -54,20 +55,79 @@ def test_copies_and_paraphrases_are_found_and_clean_texts_left(spark):
     assert len(found & leaking) / len(leaking) >= 0.95 and not found - leaking
 
 
+def tf_idf(words, queries_, idf):
+    rows = np.zeros((len(words), len(queries_.vocabulary)))
+    for row, own in zip(rows, words):
+        np.add.at(row, np.searchsorted(queries_.vocabulary, own), 1)
+    return np.sqrt(rows) * idf
+
+
+def topics(rng, n, words_of, topic=None):
+    """n words of a topic, each of its 12 meanings in a form that ``words_of`` picks, among words of its own."""
+    topic = rng.randrange(120) if topic is None else topic
+    return [f"t{topic}m{rng.randrange(12)}{words_of(rng)}" if rng.random() < 0.7 else f"z{rng.randrange(40_000)}" for _ in range(n)]
+
+
+def test_paraphrases_in_other_words_are_candidates(spark, monkeypatch):
+    """Queries in one form of each word, passages in the other: no word in common, but the same latent place."""
+    monkeypatch.setattr(decontaminate, "STOP_SHARE", 0.5)
+    rng = random.Random(4)
+    both, one, other = (lambda r: r.choice("ab")), (lambda r: "a"), (lambda r: "b")
+    rows = [(i, " ".join(topics(rng, 80, both))) for i in range(4_000)]
+    planted = [(5_000 + t, " ".join(topics(rng, 64, other, t))) for t in range(120)]
+    items = [(t, " ".join(topics(rng, 60, one, t))) for t in range(120)]
+    docs = make_documents(spark, rows + planted)
+    frequency, n = decontaminate.frequencies(docs, "text")
+    idf = decontaminate.idf_of(frequency, n)
+    sample = decontaminate.sample_passages(docs, "text", idf, n, decontaminate.Scratch(spark))
+    basis = decontaminate.latent_basis(sample)
+    assert basis.shape[1] == decontaminate.RANK < sample.count() // 4
+    assert np.abs(basis.T @ basis - np.eye(basis.shape[1])).max() < 1e-3
+    # The space is that of a full decomposition: the same directions down to the size of the noise.
+    dense = np.zeros((sample.count(), decontaminate.LATENT_BUCKETS), np.float32)
+    for row, r in zip(dense, sample.collect()):
+        row[r.buckets] = r.weights
+    _, values, exact = np.linalg.svd(dense[:, dense.any(0)], full_matrices=False)
+    kept = np.linalg.norm(dense @ basis) ** 2 / (values[: basis.shape[1]] ** 2).sum()
+    assert 0.85 <= kept <= 1 + 1e-4
+    queries_ = decontaminate.Queries.of(*map(list, zip(*items)), [None] * len(items))
+    space = decontaminate.build_space(queries_, idf, basis)
+    hashes, before = decontaminate.word_hashes(pa.array([t for _, t in planted], pa.large_string()))
+    first, last, query, score = decontaminate.latent_candidates(hashes, before, queries_, space)
+    owner = np.searchsorted(before, first, "right") - 1
+    got = set(zip(owner.tolist(), query.tolist()))
+    # Brute force: every passage and query projected on the leading directions of the full decomposition.
+    full = np.zeros((decontaminate.LATENT_BUCKETS, basis.shape[1]))
+    full[dense.any(0)] = exact[: basis.shape[1]].T
+
+    def placed(words):
+        vector = (full[decontaminate._latent_bucket(words)] * idf[decontaminate._bucket(words)][:, None]).sum(0)
+        return vector / np.linalg.norm(vector)
+
+    parts = [placed(hashes[a:b]) for a, b in zip(before, before[1:])]
+    limit = decontaminate.LATENT_COSINE
+    want = {(i, j) for i, p in enumerate(parts) for j, w in enumerate(queries_.words) if p @ placed(w) >= limit}
+    paraphrases = {(t, t) for t in range(120)}
+    assert len(want & paraphrases) >= 100 and len(got & want) / len(want) >= 0.9
+    assert len(got - paraphrases) <= 60
+    plain = decontaminate.candidates(hashes, before, queries_, space, 0.35)
+    assert not len(plain[0])
+
+
 def test_search_recall_against_brute_force(spark):
-    """Latent candidates against exact TF-IDF cosines of all passages."""
+    """Plain candidates against exact TF-IDF cosines of all passages."""
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = docs.select("text").collect()
     items = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet").orderBy("item_id").collect()
     queries_ = decontaminate.Queries.of([r.item_id for r in items], [r.text for r in items], [None] * len(items))
-    frequency, sketch, n = decontaminate.fit_pass(docs, "text", queries_)
+    frequency, n = decontaminate.frequencies(docs, "text")
     assert n == len(rows)
-    space = decontaminate.build_space(queries_, frequency, sketch, n)
+    space = decontaminate.build_space(queries_, decontaminate.idf_of(frequency, n), np.zeros((decontaminate.LATENT_BUCKETS, 1), np.float32))
     hashes, before = decontaminate.word_hashes(pa.array([r.text for r in rows], pa.large_string()))
     first, last, query, _ = decontaminate.candidates(hashes, before, queries_, space)
     got = set(zip(first.tolist(), last.tolist(), query.tolist()))
     own = space.idf[decontaminate._bucket(queries_.vocabulary)]
-    bench = decontaminate._tf_idf(queries_.words, queries_, own)
+    bench = tf_idf(queries_.words, queries_, own)
     bench /= np.linalg.norm(bench, axis=1, keepdims=True)
     lengths = np.array([len(w) for w in queries_.words])
     want = set()
@@ -81,7 +141,7 @@ def test_search_recall_against_brute_force(spark):
                 norm = np.sqrt((space.idf[decontaminate._bucket(part)].astype(float) ** 2).sum())
                 if not norm or not len(known):
                     continue
-                scores = bench[chosen] @ decontaminate._tf_idf([known], queries_, own)[0] / norm
+                scores = bench[chosen] @ tf_idf([known], queries_, own)[0] / norm
                 want |= {(start, min(start + size, b), int(q)) for q in chosen[scores >= decontaminate.COSINE + 1e-3]}
     assert want and len(got & want) / len(want) >= 0.98
 
@@ -120,19 +180,24 @@ def test_short_items_among_rarer_words_are_found(spark):
     assert found == leaking
 
 
-def test_many_queries_lose_no_direction(spark):
+def test_many_queries_are_searched_in_one_pass(spark):
+    """Exact copies of thousands of queries have a plain cosine of 1, and a benchmark of them is one block."""
     rng = random.Random(8)
-    items = [(i, " ".join(words(rng, 130, "b"))) for i in range(400)]
-    blocks = list(decontaminate._blocks(spark.createDataFrame(items, BENCHMARK), "item_id", "text", None))
-    assert sum(len(b.words) for b in blocks) == 800
-    for block in blocks:
-        none = np.zeros((len(block.vocabulary), decontaminate.SKETCH))
-        space = decontaminate.build_space(block, np.zeros(decontaminate.DF_BUCKETS), none, 1000)
-        # The cosine of each query with its exact copy.
-        assert np.linalg.norm(space.items, axis=1).min() > 0.99
-
-
-def test_an_item_of_many_queries_is_reported_once(spark):
+    items = [(i, " ".join(words(rng, 130, "b"))) for i in range(2_500)]
+    (block,) = decontaminate._blocks(spark.createDataFrame(items, BENCHMARK), "item_id", "text", None)
+    assert len(block.words) == 5_000
+    none = np.zeros((decontaminate.LATENT_BUCKETS, 1), np.float32)
+    space = decontaminate.build_space(block, np.ones(decontaminate.DF_BUCKETS, np.float32), none)
+    assert np.bincount(space.query, space.weight**2) == pytest.approx(1)
+    some = block.words[::50]
+    before = np.concatenate([[0], np.cumsum([len(w) for w in some])])
+    first, _, query, score = decontaminate.candidates(np.concatenate(some), before, block, space)
+    best = {int(f): (int(q), s) for f, q, s in sorted(zip(first, query, score), key=lambda x: x[2])}
+    assert [best[int(b)][0] for b in before[:-1]] == list(range(0, 5_000, 50))
+
+
+def test_an_item_of_many_queries_is_reported_once(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_QUERIES", 100)
     item = [f"w{i}" for i in range(16_000)]
     rows = [(1, " ".join(item[64:192] + [f"x{i}" for i in range(300)] + item[15_872:15_936])), (2, "y " * 100)]
     benchmark = spark.createDataFrame([(7, " ".join(item)), (8, "z " * 30)], BENCHMARK)
@@ -180,4 +245,4 @@ def test_pipeline_on_odd_rows(spark, odd, nothing, monkeypatch):
 
 def test_every_dealt_operator_has_a_query(spark):
     names = {n.split("_")[0] for n in queries.queries()}
-    assert names == {f"op{i}" for i in range(1, 11)}
+    assert names == {f"op{i}" for i in range(1, 14)}
