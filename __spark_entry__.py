@@ -17,7 +17,7 @@ from pyspark.sql import types as T  # noqa: E402
 from starloom.functions.scoring import RfmBands  # noqa: E402
 from starloom.operators.as_of import as_of  # noqa: E402
 from starloom.operators.paging import page_after  # noqa: E402
-from starloom.plans import quality, warehouse  # noqa: E402
+from starloom.plans import bridge, profiles, quality, roles, warehouse  # noqa: E402
 from starloom.plans.history import History, previous_value  # noqa: E402
 from starloom.plans.monthly import MonthlySales, by_month, delta  # noqa: E402
 from starloom.plans.reports import catalog, customers, inventory, products, sales, traffic  # noqa: E402
@@ -192,6 +192,26 @@ def _on_monthly(report: Callable[[Star], DataFrame]) -> Callable[[Star], DataFra
     return run
 
 
+def _bridge(star: Star) -> DataFrame:
+    coupons = star.staged("coupons", ["coupon_id"]).withColumnRenamed("coupon_id", "promotion_key")
+    return bridge.order_promotions(star.raw.order_promotions(), coupons)
+
+
+def _order_flag_usage(star: Star) -> DataFrame:
+    flags = profiles.order_flags(star)
+    return profiles.usage(profiles.flagged_sales(star, flags), flags, "flag_key")
+
+
+def _payment_mix_from_flags(star: Star) -> DataFrame:
+    flags = profiles.order_flags(star)
+    return profiles.flag_sales(profiles.flagged_sales(star, flags), flags, "payment_method")
+
+
+def _profile_sales(star: Star) -> DataFrame:
+    bands = profiles.profiles(star)
+    return profiles.usage(profiles.profiled_orders(star, bands), bands, "profile_key")
+
+
 REPORTS: dict[str, Callable[[Star], DataFrame]] = {
     # history of dimensions
     "customer_history": lambda star: _history(star, "customers").dimension(),
@@ -203,6 +223,14 @@ REPORTS: dict[str, Callable[[Star], DataFrame]] = {
     "monthly_product_sales": lambda star: _monthly(star).table(),
     "top_products_from_months": _on_monthly(products.top_products),
     "category_sales_from_months": _on_monthly(products.category_sales),
+    # bridge, junk dimension, mini-dimension, calendar in roles
+    "order_promotion_bridge": _bridge,
+    "promotion_sales": lambda star: bridge.promotion_sales(_bridge(star), star.order_totals),
+    "order_flag_usage": _order_flag_usage,
+    "payment_mix_from_flags": _payment_mix_from_flags,
+    "order_profiles": lambda star: profiles.profiled_orders(star, profiles.profiles(star)).select("order_id", "profile_key"),
+    "profile_sales": _profile_sales,
+    "delivery_lags": lambda star: roles.delivery_lags(star, star.raw.shipments()),
     # sources and sinks
     "scan_raw": lambda star: star.raw.table("orders"),
     "raw_load_roundtrip": _json_round_trip,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.fixed import COLUMNS, FOREIGN_KEYS, KEYS, NOT_NULL, REFERENCES, REQUIRED, UNIQUE_KEYS
+from oracle.fixed import COLUMNS, FOREIGN_KEYS, KEYS, NOT_NULL, REFERENCES, REGIONS, REQUIRED, UNIQUE_KEYS
 from oracle.layers import LAYERS, statement
 
 MODELS = [name for name in LAYERS if name.startswith(("stg_", "int_", "dim_", "fact_")) and name != "dim_time"]
@@ -393,6 +393,94 @@ REPORTS["monthly_product_sales"] = f"""
 for _name in ("top_products", "category_sales"):
     REPORTS[f"{_name}_from_months"] = REPORTS[_name]
 
+# bridge, junk dimension, mini-dimension, calendar in roles
+LAYERS["applied_promotion"] = """
+    SELECT l_orderkey AS order_id, l_suppkey AS promotion_key,
+           sum(coalesce(floor(l_extendedprice * 100 + 0.5)::BIGINT, 0))::HUGEINT AS basis
+    FROM lineitem WHERE l_suppkey IN (SELECT coupon_id FROM raw_coupons) GROUP BY ALL"""
+
+
+def _split(source: str, share: str, units: str) -> str:
+    """Whole units of an order by largest remainder, ties to the higher promotion."""
+    return f"""
+        SELECT * EXCLUDE (whole, rest, open),
+               whole + CASE WHEN row_number() OVER (PARTITION BY order_id ORDER BY rest DESC, promotion_key DESC) <= open
+                            THEN 1 ELSE 0 END AS units
+        FROM (SELECT *, {units} - sum(whole) OVER (PARTITION BY order_id) AS open
+              FROM (SELECT *, {units} * {share} // sum({share}) OVER same AS whole, {units} * {share} % sum({share}) OVER same AS rest
+                    FROM {source} WINDOW same AS (PARTITION BY order_id)))"""
+
+
+LAYERS["weighted_promotion"] = _split("applied_promotion", "basis", "1000000::HUGEINT")
+LAYERS["order_sale"] = """
+    SELECT order_id, customer_key, full_date, is_weekend, is_holiday, time_key BETWEEN 9 AND 17 AS is_business_hours,
+           coupon_code IS NOT NULL AS has_coupon, payment_method, device_type, sum(net_amount) AS net
+    FROM sale GROUP BY ALL"""
+LAYERS["promotion_amount"] = """
+    SELECT order_id, promotion_key, units AS weight, (net * 1000000)::HUGEINT AS amount
+    FROM weighted_promotion JOIN order_sale USING (order_id)"""
+REPORTS["order_promotion_bridge"] = """
+    SELECT order_id, promotion_key, units::DOUBLE / 1000000 AS weight_factor FROM weighted_promotion"""
+REPORTS["promotion_sales"] = f"""
+    SELECT promotion_key, count(*) AS order_count, sum(units)::DOUBLE / 1000000 AS allocated_sales
+    FROM ({_split("promotion_amount", "weight", "amount")}) GROUP BY promotion_key"""
+
+_TRUTH = "(VALUES (NULL::BOOLEAN, 0), (false, 1), (true, 2))"
+
+
+def _slots(column: str) -> str:
+    return f"""(SELECT {column}, row_number() OVER (ORDER BY {column}) AS slot
+                FROM (SELECT DISTINCT {column} FROM order_sale WHERE {column} IS NOT NULL) UNION ALL SELECT NULL, 0)"""
+
+
+LAYERS["flag_combination"] = f"""
+    SELECT ((((w.s * 3 + h.s) * 3 + b.s) * 3 + c.s) * (SELECT count(DISTINCT payment_method) + 1 FROM order_sale) + p.slot)
+               * (SELECT count(DISTINCT device_type) + 1 FROM order_sale) + d.slot AS flag_key,
+           is_weekend, is_holiday, is_business_hours, has_coupon, payment_method, device_type
+    FROM {_TRUTH} AS w(is_weekend, s), {_TRUTH} AS h(is_holiday, s), {_TRUTH} AS b(is_business_hours, s),
+         {_TRUTH} AS c(has_coupon, s), {_slots("payment_method")} AS p, {_slots("device_type")} AS d"""
+_FLAGS = ("is_weekend", "is_holiday", "is_business_hours", "has_coupon", "payment_method", "device_type")
+REPORTS["order_flag_usage"] = f"""
+    SELECT c.*, count(o.order_id) AS order_count, coalesce(sum(o.net), 0)::DOUBLE AS total_sales
+    FROM flag_combination AS c LEFT JOIN order_sale AS o
+      ON {" AND ".join(f"o.{flag} IS NOT DISTINCT FROM c.{flag}" for flag in _FLAGS)} GROUP BY ALL"""
+REPORTS["payment_mix_from_flags"] = REPORTS["payment_mix"]
+
+_BANDS = {
+    "age_band": ("不明", "20代", "30代", "40代", "50代", "60代以上"),
+    "activity_level": ("new", "low", "medium", "high"),
+    "region": (*REGIONS, "不明"),
+}
+LAYERS["profile_combination"] = f"""
+    SELECT (a.slot * {len(_BANDS["activity_level"]) + 1} + l.slot) * {len(_BANDS["region"]) + 1} + r.slot AS profile_key,
+           age_band, activity_level, region
+    FROM {", ".join(
+        "(VALUES (NULL::VARCHAR, 0), " + ", ".join(f"('{v}', {n})" for n, v in enumerate(values, 1)) + f") AS {name[0] if name != 'activity_level' else 'l'}({name}, slot)"
+        for name, values in _BANDS.items())}"""
+LAYERS["order_profile"] = """
+    SELECT order_id, net,
+           CASE WHEN birth_date IS NULL THEN '不明' ELSE
+               ['20代', '30代', '40代', '50代', '60代以上'][least(greatest((year(full_date) - year(birth_date)) // 10, 2), 6) - 1]
+           END AS age_band,
+           CASE WHEN place = 1 THEN 'new' WHEN place <= 3 THEN 'low' WHEN place <= 10 THEN 'medium' ELSE 'high' END AS activity_level,
+           coalesce(m.region, '不明') AS region
+    FROM (SELECT *, row_number() OVER (PARTITION BY customer_key ORDER BY full_date, order_id) AS place FROM order_sale) AS o
+    JOIN raw_customers AS c ON c.customer_id = o.customer_key LEFT JOIN region_map AS m USING (prefecture)"""
+REPORTS["order_profiles"] = "SELECT order_id, profile_key FROM order_profile JOIN profile_combination USING (age_band, activity_level, region)"
+REPORTS["profile_sales"] = """
+    SELECT c.*, count(order_id) AS order_count, coalesce(sum(net), 0)::DOUBLE AS total_sales
+    FROM profile_combination AS c LEFT JOIN order_profile USING (age_band, activity_level, region) GROUP BY ALL"""
+_LAG, _AGE = "date_diff('day', order_date, shipped)", "date_diff('day', p.created_at::DATE, order_date)"
+REPORTS["delivery_lags"] = f"""
+    SELECT strftime(order_date, '%Y-%m') AS order_year_month, isodow(shipped) >= 6 AS ship_is_weekend, count(*) AS line_count,
+           count(*) FILTER (strftime(order_date, '%Y-%m') = strftime(shipped, '%Y-%m')) AS same_month_lines,
+           {rounded(f"sum({_LAG})", "count(*)", 2)} AS avg_days_to_ship,
+           min({_LAG}) AS fewest_days_to_ship, max({_LAG}) AS most_days_to_ship,
+           {rounded(f"sum({_AGE})", f"count({_AGE})", 2)} AS avg_days_since_registration
+    FROM (SELECT l_orderkey AS order_id, l_shipdate::DATE AS shipped FROM lineitem)
+    JOIN raw_orders AS o USING (order_id) JOIN raw_customers AS p USING (customer_id)
+    WHERE order_date IS NOT NULL AND shipped IS NOT NULL GROUP BY ALL"""
+
 
 def statements() -> dict[str, str]:
     bodies = {name: _model(name) for name in MODELS} | REPORTS

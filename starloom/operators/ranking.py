@@ -78,3 +78,26 @@ def running_total(
             F.col("_all_sum").cast(kind).alias(total),
         )
     )
+
+
+def index_in_group(df: DataFrame, group: str, order: Sequence[Column], name: str) -> DataFrame:
+    """Number the rows of each group 1..n in the given order, however much of the table one group holds.
+
+    Groups are laid out one after the other in sorted ranges. A group that goes on in another range is the
+    last one of the range it begins in, so the true starts of such groups are at most one row per range.
+    ``order`` must be total within a group; rows with a NULL group form a group of their own.
+    """
+    ranges = in_ranges(df, [F.col(group), *order], "group-index")
+    offsets = _offsets(ranges, {"rows": F.count(F.lit(1))})
+    at = (F.coalesce(F.col("_before_rows"), F.lit(0)) + F.col("_row")).alias("_at")
+    placed = ranges.join(F.broadcast(offsets.select("_range", "_before_rows")), "_range").select(*df.columns, "_range", at)
+    here = Window.partitionBy("_range", group)
+    local = placed.withColumn("_start", F.min("_at").over(here))
+    ends = placed.groupBy("_range", group).agg(F.min("_at").alias("_start"), F.max("_at").alias("_end"))
+    last = ends.groupBy("_range").agg(F.max_by(F.struct(F.col(group).alias("group"), "_start"), "_end").alias("_last"))
+    begun = last.groupBy(F.col("_last.group").alias("_group")).agg(F.min("_last._start").alias("_begun"))
+    first = F.least(F.coalesce("_begun", "_start"), F.col("_start"))
+    return (
+        local.join(F.broadcast(begun), F.col(group).eqNullSafe(F.col("_group")), "left")
+        .select(*df.columns, (F.col("_at") - first + 1).alias(name))
+    )

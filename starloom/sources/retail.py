@@ -198,6 +198,17 @@ class RetailTables:
         own = {name: rule.format(load=number) for name, rule in rules.items()}
         return self._project(self._file(file).where(present.format(load=number)), own, None)
 
+    def order_promotions(self) -> DataFrame:
+        """Promotions applied to an order, one per supplier of its lines, with their price in cents as ``basis``."""
+        cents = F.expr("coalesce(CAST(floor(l_extendedprice * 100 + 0.5D) AS BIGINT), 0)")
+        applied = self._file("lineitem").groupBy(F.col("l_orderkey").alias("order_id"), F.col("l_suppkey").alias("promotion_key"))
+        return applied.agg(F.sum(cents).alias("basis"))
+
+    def shipments(self) -> DataFrame:
+        """Lines per order and day of shipment."""
+        days = F.col("l_shipdate").cast("date").alias("ship_date")
+        return self._file("lineitem").groupBy(F.col("l_orderkey").alias("order_id"), days).agg(F.count(F.lit(1)).alias("lines"))
+
     def _categories(self, columns: Sequence[str] | None) -> DataFrame:
         parts = self._file("part")
         top = parts.select("p_type").distinct().selectExpr(
