@@ -22,7 +22,7 @@ def co_occurrence(baskets: DataFrame, basket: str, item: str, min_support: int)
       the threshold, so every result pair also shares a basket among the rest, and joining the
       rest with itself finds all of them;
     * the items of a basket are split into blocks of about ``BLOCK``, and a task joins one pair of
-      blocks, never a whole basket;
+      blocks, never a whole basket; each pair of blocks meets once;
     * for the pairs found, the wide baskets are counted by giving each item a bit mask of the
       wide baskets it is in: the bits two masks share are the wide baskets the pair shares.
 
@@ -43,14 +43,15 @@ def co_occurrence(baskets: DataFrame, basket: str, item: str, min_support: int)
     rest = kept.where(~is_wide)
     widths = rest.groupBy(basket).agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("_blocks"))
     own = F.pmod(F.xxhash64(item), F.col("_blocks")).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))
     placed = rest.join(widths, basket).withColumn("_own", own)
-    left = placed.select(basket, F.col("_own").alias("_i"), every.alias("_j"), F.col(item).alias("item_a"))
-    right = placed.select(basket, every.alias("_i"), F.col("_own").alias("_j"), F.col(item).alias("item_b"))
+    # Blocks i <= j only: a pair is listed once, and put in order afterwards.
+    later, earlier = F.sequence(F.col("_own"), F.col("_blocks") - 1), F.sequence(F.lit(0), F.col("_own"))
+    left = placed.select(basket, F.col("_own").alias("_i"), F.explode(later).alias("_j"), F.col(item).alias("_left"))
+    right = placed.select(basket, F.explode(earlier).alias("_i"), F.col("_own").alias("_j"), F.col(item).alias("_right"))
     found = (
         left.join(right, [basket, "_i", "_j"])
-        .where(F.col("item_a") < F.col("item_b"))
-        .groupBy("item_a", "item_b")
+        .where((F.col("_i") < F.col("_j")) | (F.col("_left") < F.col("_right")))
+        .groupBy(F.least("_left", "_right").alias("item_a"), F.greatest("_left", "_right").alias("item_b"))
         .agg(F.count(F.lit(1)).alias("_rest"))
     )
     if not wide:
