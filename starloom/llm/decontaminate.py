@@ -7,10 +7,10 @@ except those of items that have hardly any others.
 
 1. One pass over all documents counts document frequencies.
 2. A randomised SVD of the corpus' passages gives a latent space in which words that stand in the same
-   passages are close. It is fitted on one passage of each of about ``SAMPLE`` distinct texts, chosen by a
-   hash, over ``LATENT_BUCKETS`` hashed words: tasks add up Y = A'(A O) for a random O by bucket, the sums are
-   grouped by bucket, one power iteration does the same with the orthonormal Y, and the Gram matrix of the
-   projected passages rotates and cuts the basis to ``RANK`` columns. The sizes are constants.
+   passages are close. It is fitted on all passages of all distinct texts, over ``LATENT_BUCKETS`` hashed
+   words: tasks add up Y = A'(A O) for a random O by bucket, the sums are grouped by bucket, one power
+   iteration does the same with the orthonormal Y, and a Nystrom step rotates and cuts the basis to ``RANK``
+   columns. A task takes about ``TASK_PASSAGES``, so what the tasks write is a fixed share of the corpus.
 3. One more pass over all documents finds candidates in three ways: passages and items whose latent vectors
    have a cosine of ``LATENT_COSINE`` (also those without a word in common), those whose plain TF-IDF
    vectors have one of ``COSINE`` (by an inverted index of the items; the norm over words of the benchmark
@@ -54,12 +54,11 @@ STOP_SHARE = 0.01
 STOP_LEAST = 50
 #: Rarer words that an item must have for its stop words to weigh nothing.
 RARE_WORDS = 4
-#: Texts that give a passage to the latent space, hashed words it spans, its columns, and columns more while it is made.
-SAMPLE = 16_384
+#: Hashed words that the latent space spans, its columns, and columns more while it is made.
 LATENT_BUCKETS = 1 << 15
 RANK, EXTRA = 128, 8
-#: Tasks that make the space: each writes up to a whole basis of partial sums, and the sample is bounded.
-SPACE_TASKS = 4
+#: Passages of a task that makes the space: each task writes up to a whole basis of partial sums.
+TASK_PASSAGES = 150_000
 #: Words of a passage and between passages in the latent search.
 LATENT_SCALE = (64, 32)
 LATENT_COSINE = 0.8
@@ -90,6 +89,10 @@ _LEAK_TYPE = pa.list_(
 )
 
 
+#: Places of words of a vocabulary, and their numbers in it.
+Places = tuple[np.ndarray, np.ndarray]
+
+
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of all texts, and the number of words before each text."""
     raw, offsets = buffer(pc.utf8_lower(texts))
@@ -160,6 +163,12 @@ def _sums(rows: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[heads], np.add.reduceat(rows, heads, axis=0)
 
 
+def _sorted_set(numbers: np.ndarray) -> np.ndarray:
+    """As ``np.unique``, by a sort, which is faster here than its hash table."""
+    numbers = np.sort(numbers)
+    return numbers[np.concatenate([[True], numbers[1:] != numbers[:-1]])] if len(numbers) else numbers
+
+
 def frequencies(docs: DataFrame, text: str) -> tuple[np.ndarray, int]:
     """Document frequencies by bucket, and the number of documents."""
 
@@ -169,8 +178,10 @@ def frequencies(docs: DataFrame, text: str) -> tuple[np.ndarray, int]:
             for part in bites(batch, text):
                 hashes, before = word_hashes(utf8(part.column(text)))
                 owner = np.repeat(np.arange(len(before) - 1), np.diff(before))
-                seen = np.unique(owner * DF_BUCKETS + _bucket(hashes))
-                frequency += np.bincount(seen % DF_BUCKETS, minlength=DF_BUCKETS)
+                cells = owner * DF_BUCKETS + _bucket(hashes)
+                if part.num_rows <= 2**32 // DF_BUCKETS:
+                    cells = cells.astype(np.uint32)  # sorted several times as fast
+                frequency += np.bincount(_sorted_set(cells) % DF_BUCKETS, minlength=DF_BUCKETS)
                 n += part.num_rows
         some = np.flatnonzero(frequency)
         places, values = np.concatenate([[-1], some]), np.concatenate([[n], frequency[some]])
@@ -194,67 +205,107 @@ def _latent_bucket(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(64 - 15)).astype(np.int64)
 
 
-def sample_passages(docs: DataFrame, text: str, idf: np.ndarray, documents: int, scratch: Scratch) -> DataFrame:
-    """TF-IDF vectors of unit length (buckets, weights), one for each of about ``SAMPLE`` distinct texts, written."""
-    cut = int(min(1.0, SAMPLE / max(documents, 1)) * (2**31 - 1))
-    own, size = F.col(f"`{text}`").alias("text"), LATENT_SCALE[0]
-    chosen = docs.select(own).where(F.pmod(F.xxhash64("text", F.lit(7)), F.lit(2**31 - 1)) <= cut)
-    chosen = chosen.groupBy(F.xxhash64("text").alias("key")).agg(F.first("text").alias("text"))
+def _unseen(batch: pa.RecordBatch, seen: set[int]) -> pa.RecordBatch:
+    """The rows whose ``key`` has not come before."""
+    fresh = []
+    for key in batch.column("key").to_pylist():
+        fresh.append(key not in seen)
+        seen.add(key)
+    return batch if all(fresh) else batch.filter(pa.array(fresh))
+
+
+def _lists(sizes: np.ndarray, values: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(values))
+
+
+def _vectors(hashes: np.ndarray, before: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The passages of each text, side by side: of each passage its text and entries, of each entry bucket and weight."""
+    size, n = LATENT_SCALE[0], np.diff(before)
+    # What is left behind the last full passage is joined to it if it is short, so that no passage is a stub.
+    count = np.where(n > 0, np.maximum(1, n // size + (n % size >= size // 2)), 0)
+    index = np.arange(len(hashes)) - np.repeat(before[:-1], n)
+    passage = np.repeat(np.cumsum(count) - count, n) + np.minimum(index // size, np.repeat(count, n) - 1)
+    weight = idf[_bucket(hashes)]
+    heavy = weight > 0
+    cell, at = np.unique(passage[heavy] * LATENT_BUCKETS + _latent_bucket(hashes[heavy]), return_inverse=True)
+    value, owner = np.bincount(at, weight[heavy], len(cell)), cell // LATENT_BUCKETS
+    value = value / np.sqrt(np.bincount(owner, value**2, count.sum()))[owner]
+    entries = np.bincount(owner, minlength=count.sum())
+    some = entries > 0
+    # Half the bits of a float are enough for a weight, and files and shuffles pack what is left of it.
+    rounded = value.astype(np.float16).astype(np.float32)
+    return np.repeat(np.arange(len(n)), count)[some], entries[some], (cell % LATENT_BUCKETS).astype(np.int32), rounded
+
+
+def every_passage(docs: DataFrame, text: str, idf: np.ndarray, documents: int, scratch: Scratch) -> DataFrame:
+    """TF-IDF vectors of unit length (buckets, weights) of all passages of all distinct texts, written."""
     shared = docs.sparkSession.sparkContext.broadcast(idf)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def of_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for batch in batches:
             for part in bites(batch, "text"):
-                hashes, before = word_hashes(utf8(part.column("text")))
-                rows = []
-                for key, a, b in zip(part.column("key").to_pylist(), before.tolist(), before[1:].tolist()):
-                    start = a + key % max(1, b - a - size + 1)
-                    passage = hashes[start : min(start + size, b)]
-                    weights = np.bincount(_latent_bucket(passage), shared.value[_bucket(passage)], LATENT_BUCKETS)
-                    some = np.flatnonzero(weights)
-                    if len(some):
-                        rows.append((some, weights[some] / np.linalg.norm(weights[some])))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[0] for r in rows], pa.list_(pa.int32())), pa.array([r[1] for r in rows], pa.list_(pa.float32()))],
-                    ["buckets", "weights"],
-                )
-
-    passages = map_batches(chosen, run, "buckets array<int>, weights array<float>")
-    return scratch.write(passages.repartition(SPACE_TASKS), "latent-passages")
-
-
-def _rows(batch: pa.RecordBatch, basis: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Buckets, weights, passage of each weight, and the projected passages, some at a time."""
-    for at in range(0, batch.num_rows, 256):
-        part = batch.slice(at, 256)
-        buckets, weights = (part.column(c).flatten().to_numpy() for c in ("buckets", "weights"))
-        sizes = part.column("buckets").value_lengths().to_numpy()
-        starts = np.cumsum(sizes) - sizes
-        projected = np.add.reduceat(basis[buckets] * weights[:, None], starts, axis=0)
-        yield buckets, weights, np.repeat(np.arange(len(sizes)), sizes), projected
-
-
-def _products(sample: DataFrame, basis: np.ndarray) -> np.ndarray:
-    """A'(A basis) of the passages A, summed by bucket."""
-    shared = sample.sparkSession.sparkContext.broadcast(basis)
-    names, width = ["bucket", "sums"], basis.shape[1]
+                part = _unseen(part, seen)
+                owner, entries, buckets, weights = _vectors(*word_hashes(utf8(part.column("text"))), shared.value)
+                held = np.bincount(owner, entries, part.num_rows).astype(np.int64)
+                lists = (np.bincount(owner, minlength=part.num_rows), entries.astype(np.int32)), (held, buckets), (held, weights)
+                columns = [part.column("key"), *(_lists(*x) for x in lists)]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "entries", "buckets", "weights"]).filter(pa.array(held > 0))
+
+    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for batch in batches:
+            part = _unseen(batch, seen)
+            entries, *values = (part.column(c).flatten().to_numpy() for c in ("entries", "buckets", "weights"))
+            yield pa.RecordBatch.from_arrays([_lists(entries, v) for v in values], ["buckets", "weights"])
+
+    own = docs.select(F.xxhash64(F.col(f"`{text}`")).alias("key"), F.col(f"`{text}`").alias("text"))
+    texts = map_batches(own, of_texts, "key long, entries array<int>, buckets array<int>, weights array<float>")
+    passages = map_batches(texts.repartition("key"), distinct, "buckets array<int>, weights array<float>")
+    written = scratch.write(passages, "latent-passages")
+    shared.destroy()
+    return written
+
+
+#: The name of :func:`every_passage` from when it took some of them.
+sample_passages = every_passage
+
+
+def _blocks_of(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The buckets of a few passages at a time, and the passages as rows over them."""
+    buckets, weights = (batch.column(c).flatten().to_numpy() for c in ("buckets", "weights"))
+    starts = np.concatenate([[0], np.cumsum(batch.column("buckets").value_lengths().to_numpy())])
+    passage, places = np.repeat(np.arange(batch.num_rows), np.diff(starts)) % 16, np.empty(LATENT_BUCKETS, np.int64)
+    for at in range(0, batch.num_rows, 16):
+        edges = starts[at : at + 17]
+        part = slice(edges[0], edges[-1])
+        own = _sorted_set(buckets[part])
+        places[own] = np.arange(len(own))
+        rows = np.zeros((len(edges) - 1, len(own)), np.float32)
+        rows[passage[part], places[buckets[part]]] = weights[part]
+        yield own, rows
+
+
+def _products(passages: DataFrame, basis: np.ndarray | int) -> np.ndarray:
+    """A'(A basis) of the passages A, summed by bucket; a number is the seed of a random basis, which tasks draw."""
+    shared = None if isinstance(basis, int) else passages.sparkSession.sparkContext.broadcast(basis)
+    names, width = ["bucket", "sums"], RANK + EXTRA
 
     def emit(buckets: np.ndarray, sums: np.ndarray) -> Iterator[pa.RecordBatch]:
         for at in range(0, len(buckets), 4096):
             some = sums[at : at + 4096].astype(np.float32)
-            offsets = pa.array(np.arange(len(some) + 1, dtype=np.int32) * width)
-            lists = pa.ListArray.from_arrays(offsets, pa.array(some.ravel()))
-            yield pa.RecordBatch.from_arrays([pa.array(buckets[at : at + 4096].astype(np.int32)), lists], names)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(buckets[at : at + 4096].astype(np.int32)), _lists(np.full(len(some), width), some.ravel())], names
+            )
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(basis.shape, np.float32)
+        own = random_basis(basis) if shared is None else shared.value.astype(np.float32)
+        sums = np.zeros(own.shape, np.float32)
         seen = np.zeros(len(sums), bool)
         for batch in batches:
-            for buckets, weights, passage, projected in _rows(batch, shared.value):
-                order = np.argsort(buckets, kind="stable")
-                grown, added = _sums(projected[passage[order]] * weights[order][:, None], buckets[order])
-                sums[grown] += added
-                seen[grown] = True
+            for buckets, rows in _blocks_of(batch):
+                sums[buckets] += rows.T @ (rows @ own[buckets])
+                seen[buckets] = True
         yield from emit(np.flatnonzero(seen), sums[seen])
 
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -263,40 +314,36 @@ def _products(sample: DataFrame, basis: np.ndarray) -> np.ndarray:
             yield from emit(*_sums(rows, block.column("bucket").to_numpy()))
 
     schema = "bucket int, sums array<float>"
-    grouped = map_batches(sample, partial, schema).repartition("bucket").sortWithinPartitions("bucket")
+    grouped = map_batches(passages, partial, schema).repartition("bucket").sortWithinPartitions("bucket")
     found = map_batches(grouped, total, schema).toArrow().combine_chunks()  # one row a bucket
-    shared.destroy()  # nothing reads it again: each basis would stay on the disk of every executor
-    out = np.zeros(basis.shape, np.float32)
+    if shared is not None:
+        shared.destroy()  # nothing reads it again: the basis would stay on the disk of every executor
+    out = np.zeros((LATENT_BUCKETS, width), np.float32)
     if found.num_rows:
         out[found.column("bucket").to_numpy()] = found.column("sums").combine_chunks().flatten().to_numpy().reshape(-1, width)
     return out
 
 
-def _gram(sample: DataFrame, basis: np.ndarray) -> np.ndarray:
-    """(A basis)'(A basis), one small matrix of each task summed."""
-    shared = sample.sparkSession.sparkContext.broadcast(basis)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((basis.shape[1], basis.shape[1]))
-        for batch in batches:
-            for *_, projected in _rows(batch, shared.value):
-                sums += projected.T @ projected
-        yield pa.RecordBatch.from_arrays([pa.array([sums.ravel()])], ["sums"])
+def random_basis(seed: int) -> np.ndarray:
+    return np.random.default_rng(seed).standard_normal((LATENT_BUCKETS, RANK + EXTRA), np.float32)
 
-    parts = map_batches(sample, run, "sums array<double>").collect()  # one row a task
-    shared.destroy()
-    return sum((np.array(r[0]).reshape(basis.shape[1], -1) for r in parts), np.zeros((basis.shape[1], basis.shape[1])))
 
-
-def latent_basis(sample: DataFrame, seed: int = 11) -> np.ndarray:
-    """The leading right singular vectors of the sampled passages: buckets times at most ``RANK``."""
-    passages = sample.count()
-    rank = max(1, min(RANK, passages // 4))  # well below the passages, or the space would be the whole one
-    basis = np.random.default_rng(seed).standard_normal((LATENT_BUCKETS, rank + EXTRA)).astype(np.float32)
-    for _ in range(2):  # the range of the passages, then one power iteration
-        basis = np.linalg.qr(_products(sample, basis))[0].astype(np.float32)
-    _, rotation = np.linalg.eigh(_gram(sample, basis))
-    return (basis @ rotation[:, ::-1][:, :rank]).astype(np.float32)
+def latent_basis(passages: DataFrame, seed: int = 11) -> np.ndarray:
+    """The leading right singular vectors of all passages: buckets times at most ``RANK``."""
+    rows = passages.count()
+    rank = max(1, min(RANK, rows // 4))  # well below the passages, or the space would be the whole one
+    passages = passages.coalesce(max(1, -(-rows // TASK_PASSAGES)))
+    # The range of the passages, then one power iteration, both over all of them.
+    basis = np.linalg.qr(_products(passages, seed))[0].astype(np.float16)
+    products = _products(passages, basis).astype(float)
+    # With the products Y = A'A Q the Gram matrix is Q'Y, and A'A is near Y (Q'Y)^-1 Y' (Nystrom).
+    gram = basis.astype(float).T @ products
+    values, vectors = np.linalg.eigh((gram + gram.T) / 2)
+    sure = values > 1e-6 * max(values[-1], 1e-30)
+    if not sure.any():
+        return np.zeros((LATENT_BUCKETS, 1), np.float32)
+    leading = np.linalg.svd(products @ (vectors[:, sure] / np.sqrt(values[sure])), full_matrices=False)[0]
+    return leading[:, :rank].astype(np.float32)
 
 
 @dataclass
@@ -336,6 +383,22 @@ def build_space(queries: Queries, idf: np.ndarray, basis: np.ndarray, documents_
     return Space(idf, starts, query[order], weight[order], basis, latent)
 
 
+def _projected(buckets: np.ndarray, weights: np.ndarray, row: np.ndarray, rows: int, basis: np.ndarray) -> np.ndarray:
+    """The sums of the weighted basis vectors of each row; rows ascend. Few rows at a time, dense over their own buckets."""
+    sums, places = np.zeros((rows, basis.shape[1]), np.float32), np.empty(len(basis), np.int64)
+    edges = np.searchsorted(row, np.arange(0, rows + 32, 32))
+    for nth, (start, end) in enumerate(zip(edges.tolist(), edges[1:].tolist())):
+        if start == end:
+            continue
+        part, first = slice(start, end), 32 * nth
+        own = _sorted_set(buckets[part])
+        places[own] = np.arange(len(own))
+        cells = (row[part] - first) * len(own) + places[buckets[part]]
+        dense = np.bincount(cells, weights[part], min(32, rows - first) * len(own))
+        sums[first : first + 32] = dense.reshape(-1, len(own)).astype(np.float32) @ basis[own]
+    return sums
+
+
 def latent_candidates(
     hashes: np.ndarray, before: np.ndarray, queries: Queries, space: Space, cosine: float = LATENT_COSINE
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -353,10 +416,12 @@ def latent_candidates(
     found = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
     for at in range(0, len(first), 1024):
         a, b = first[at : at + 1025], last[at : at + 1025]  # one more, for the last pair
-        place = a[:, None] + np.arange(step)
-        own = hashes[np.minimum(place, b[-1] - 1)]
-        weight = space.idf[_bucket(own)] * (place < b[:, None])
-        sums = np.matmul(weight[:, None, :], space.basis[_latent_bucket(own)])[:, 0]
+        own = hashes[a[0] : b[-1]]  # steps follow one another without a gap
+        weight = space.idf[_bucket(own)]
+        heavy = np.flatnonzero(weight)
+        sums = _projected(
+            _latent_bucket(own[heavy]), weight[heavy], np.repeat(np.arange(len(a)), b - a)[heavy], len(a), space.basis
+        )
         texts = owner[at : at + 1025]
         pair = np.flatnonzero(texts[1:] == texts[:-1])
         alone = np.flatnonzero(steps[texts[:1024]] == 1)
@@ -365,25 +430,26 @@ def latent_candidates(
         norm = np.linalg.norm(vectors, axis=1)
         for some in range(0, len(space.latent), 4096):
             scores = vectors @ space.latent[some : some + 4096].T
-            hit, query = np.nonzero((scores >= cosine * norm[:, None]) & (norm > 1e-6)[:, None])
+            least = np.where(norm > 1e-6, cosine * norm, np.inf).astype(np.float32)
+            hit, query = np.divmod(np.flatnonzero(scores >= least[:, None]), scores.shape[1])
             found.append((begin[hit], end[hit], query + some, scores[hit, query] / norm[hit]))
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
 def candidates(
-    hashes: np.ndarray, before: np.ndarray, queries: Queries, space: Space, cosine: float = COSINE
+    hashes: np.ndarray, before: np.ndarray, queries: Queries, space: Space, cosine: float = COSINE, known: Places | None = None
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Passages and queries at ``cosine`` or more: first and last word (in all), query, cosine."""
     empty = np.empty(0, np.int64)
     if not len(hashes):
         return empty, empty, empty, np.empty(0)
     idf = space.idf[_bucket(hashes)].astype(float)
-    at, number = queries.look_up(hashes)
+    at, number = known or queries.look_up(hashes)
     heavy = idf[at] > 0
     at, number = at[heavy], number[heavy]
     inside = np.zeros(len(hashes))
     inside[at] = idf[at] ** 2
-    mass, known = (np.concatenate([[0.0], np.cumsum(x)]) for x in (idf**2, inside))
+    mass, shared = (np.concatenate([[0.0], np.cumsum(x)]) for x in (idf**2, inside))
     of_place = np.full(len(hashes), -1, np.int64)
     of_place[at] = number
     lengths = np.array([len(w) for w in queries.words])
@@ -400,7 +466,7 @@ def candidates(
         first = before[owner] + index * step
         last = np.minimum(first + size, before[owner + 1])
         norm = mass[last] - mass[first]
-        within = known[last] - known[first]
+        within = shared[last] - shared[first]
         left = np.flatnonzero((within > 1e-9) & (within >= cosine**2 * norm - 1e-9))
         first, last, norm = first[left], last[left], norm[left]
         for block in range(0, len(first), 4096):
@@ -430,11 +496,11 @@ def candidates(
 
 
 def exact_copies(
-    hashes: np.ndarray, before: np.ndarray, queries: Queries, space: Space
+    hashes: np.ndarray, before: np.ndarray, queries: Queries, space: Space, known: Places | None = None
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """The first exact copy of each query of up to ``SHORT`` words in each text, as :func:`candidates`."""
     found = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64))]
-    at, number = queries.look_up(hashes)
+    at, number = known or queries.look_up(hashes)
     order = np.argsort(number, kind="stable")
     at, number = at[order], number[order]
     for query, words in enumerate(queries.words):
@@ -477,7 +543,8 @@ def leaks_of(texts: pa.Array, queries: Queries, space: Space) -> list[list[dict]
     """The leaks of each text, one for each item."""
     hashes, before = word_hashes(texts)
     best: dict[tuple[int, int], dict] = {}
-    near, exact = candidates(hashes, before, queries, space), exact_copies(hashes, before, queries, space)
+    known = queries.look_up(hashes)
+    near, exact = candidates(hashes, before, queries, space, known=known), exact_copies(hashes, before, queries, space, known)
     first, last, query, cosine = (np.concatenate(x) for x in zip(near, exact, latent_candidates(hashes, before, queries, space)))
     # What the plain search has found is reported as it was found.
     order = [*np.argsort(-near[-1], kind="stable").tolist(), *range(len(near[0]), len(first))]
@@ -564,7 +631,7 @@ def with_leaks(
     frequency, documents = frequencies(docs, text)
     idf = idf_of(frequency, documents)
     scratch = Scratch(spark)
-    basis = latent_basis(sample_passages(docs, text, idf, documents, scratch))
+    basis = latent_basis(every_passage(docs, text, idf, documents, scratch))
     scratch.clear()
     every = np.log1p((documents + 1) / (frequency + 1)).astype(np.float32)
     spaces = [(queries, build_space(queries, idf, basis, every)) for queries in blocks]

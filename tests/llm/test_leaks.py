@@ -246,3 +246,24 @@ def test_pipeline_on_odd_rows(spark, odd, nothing, monkeypatch):
 def test_every_dealt_operator_has_a_query(spark):
     names = {n.split("_")[0] for n in queries.queries()}
     assert names == {f"op{i}" for i in range(1, 14)}
+
+
+def test_the_latent_space_is_made_of_every_passage_of_every_distinct_text(spark):
+    """Words that only the end of one long text among many has, and a text in many copies."""
+    rng = random.Random(9)
+    long = [f"w{rng.randrange(3000)}" for _ in range(64 * 40)] + ["last"] * 20
+    rows = [(i, " ".join(words(rng, 200))) for i in range(20_000)] + [(30_000, " ".join(long))]
+    copy = " ".join(f"c{k}" for k in range(64))
+    docs = make_documents(spark, rows + [(40_000 + i, copy) for i in range(500)]).repartition(7)
+    frequency, n = decontaminate.frequencies(docs, "text")
+    idf = np.ones_like(decontaminate.idf_of(frequency, n))
+    scratch = decontaminate.Scratch(spark)
+    passages = decontaminate.every_passage(docs, "text", idf, n, scratch)
+    own = {w: int(decontaminate._latent_bucket(decontaminate.word_hashes(pa.array([w], pa.large_string()))[0])[0]) for w in ("last", "c7")}
+    found = passages.toArrow()
+    # 200 words are three passages, the last one with eight words more; 2580 are 40, the last with 20 more.
+    assert found.num_rows == 20_000 * 3 + 40 + 1
+    weights = [dict(zip(b.as_py(), w.as_py())) for b, w in zip(found.column("buckets"), found.column("weights"))]
+    assert max(w.get(own["last"], 0) for w in weights) > 0.9
+    assert np.allclose([sum(x * x for x in w.values()) for w in weights[::1000]], 1, atol=1e-2)
+    scratch.clear()
