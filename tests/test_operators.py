@@ -147,3 +147,9 @@ def test_generic_checks(spark):
     parent = spark.createDataFrame([(1,)], "k bigint")
     assert [tuple(r) for r in dangling(frame, "id", parent, "k").collect()] == [(2, 1)]
     assert {r["v"] for r in outside(frame, "v", ["a", "b"]).collect()} == {"c", "d"}
+
+
+def test_partitions_of_a_shuffle_are_bounded_by_size(spark):
+    """Not by the number of shuffle partitions of the session, which does not grow with the input."""
+    keys = spark.range(10_000_000).select(F.xxhash64("id").alias("key")).groupBy("key").count()
+    assert keys.rdd.getNumPartitions() > int(spark.conf.get("spark.sql.shuffle.partitions"))
