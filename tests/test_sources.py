@@ -92,3 +92,10 @@ def test_scratch_lives_in_the_configured_folder(spark):
     assert scratch_path(spark, "a").startswith(configured) and scratch_path(spark, "a") != scratch_path(spark, "a")
     kept = materialise(spark.range(3), "t")
     assert configured in kept.inputFiles()[0] and kept.count() == 3
+
+
+def test_compressed_export_reads_back(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a"), (2, None)], "id long, name string").coalesce(1)
+    export(rows, str(tmp_path / "out"), "json", "gzip")
+    assert [p.name.endswith(".json.gz") for p in (tmp_path / "out").glob("part-*")] == [True]
+    assert sorted(map(tuple, read_export(rows, str(tmp_path / "out"), "json").collect())) == [(1, "a"), (2, None)]
