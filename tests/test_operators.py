@@ -153,3 +153,13 @@ def test_partitions_of_a_shuffle_are_bounded_by_size(spark):
     """Not by the number of shuffle partitions of the session, which does not grow with the input."""
     keys = spark.range(10_000_000).select(F.xxhash64("id").alias("key")).groupBy("key").count()
     assert keys.rdd.getNumPartitions() > int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_members_are_those_of_a_semi_join_and_facts_stay_where_they_are(spark):
+    facts = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (9, "e")], "id long, note string")
+    dimension = spark.createDataFrame([(1,), (2,), (3,)], "id long")
+    for used in (None, facts.select("id")):
+        found = joins.members(facts, dimension, "id", used)
+        assert sorted(r.note for r in found.collect()) == ["a", "b", "c"]
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
