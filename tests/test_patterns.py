@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from tables import AS_OF, SMALL, raw_tables
 
 import __spark_entry__ as entry
-from starloom.operators.allocation import allocate
+from starloom.operators import allocation
+from starloom.operators.allocation import allocate, wide_groups
 from starloom.operators.combinations import Combinations, vocabulary
 from starloom.operators.ranking import index_in_group
 from starloom.plans import bridge, profiles, roles
@@ -52,6 +53,21 @@ def test_allocation_equals_the_rule(spark, seed):
     assert {(r.g, r.part): r.n for r in split} == by_largest_remainder(rows) and len(split) == len(rows)
 
 
+def test_narrow_groups_are_split_without_ranges_and_wide_ones_alike(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = [(g, part, rng.randint(0, 50), 1000 + g) for g in range(40) for part in range(300 if g in (3, 8) else 4)]
+    want, parts = by_largest_remainder(rows), spark.createDataFrame(rows, PARTS)
+    ranges = []
+    monkeypatch.setattr(allocation, "index_in_group", lambda df, *a: ranges.append(df.count()) or index_in_group(df, *a))
+    for most, rows_in_ranges in ((50_000, []), (100, [600])):
+        monkeypatch.setattr(allocation, "GROUP_ROWS", most)
+        split = allocate(parts, "g", "part", "share", "units", "n")
+        assert {(r.g, r.part): r.n for r in split.collect()} == want and split.count() == len(rows)
+        assert ranges == rows_in_ranges
+    given = allocate(parts, "g", "part", "share", "units", "n", wide_groups(parts, "g", 100))
+    assert {(r.g, r.part): r.n for r in given.collect()} == want
+
+
 def test_three_equal_promotions(spark):
     rows = spark.createDataFrame([(1001, 10, 5), (1001, 20, 5), (1001, 30, 5)], "order_id long, promotion_key long, basis long")
     known = spark.createDataFrame([(10,), (20,), (30,)], "promotion_key long")
