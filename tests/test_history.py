@@ -6,9 +6,13 @@ from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
+from tables import SMALL
 
+import __spark_entry__ as entry
 from starloom.functions.amounts import rounded_ratio
 from starloom.operators.as_of import as_of
+from starloom.plans import intermediate as logic
+from starloom.plans import monthly as months
 from starloom.plans.history import FOREVER, History, previous_value
 from starloom.plans.monthly import KEYS, MEASURES, MonthlySales, by_month, delta
 from starloom.sources import pointer
@@ -177,6 +181,36 @@ def test_deltas_equal_a_rebuild(spark, tmp_path):
     assert monthly.table().count() == 0 and MonthlySales(spark, str(tmp_path)).table(209901, 209912).count() == 0
 
 
+def test_a_batch_writes_only_what_it_changes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(months, "LAYERS", 3)
+    rng, monthly, whole = random.Random(8), MonthlySales(spark, str(tmp_path)), None
+    for number in range(6):
+        some = lines(spark, rng, 30 if number else 200, (1, 2))
+        whole = some if whole is None else whole.unionByName(some)
+        before = set(monthly.table().inputFiles()) if number else set()
+        monthly.apply(f"batch {number}", delta(some))
+        folders = monthly._state()["months"]
+        assert {len(f) for f in folders.values()} == {number % 3 + 1}  # written anew instead of a fourth folder
+        assert number % 3 == 0 or before < set(monthly.table().inputFiles())
+        assert table(monthly.table()) == table(by_month(whole))
+    totals = monthly.product_totals().select("product_id", *MEASURES)
+    assert sorted(map(tuple, totals.collect())) == sorted(map(tuple, logic.product_totals(whole).select(*totals.columns).collect()))
+
+
+def test_no_lines_give_an_empty_aggregate(spark, tmp_path):
+    monthly, none = MonthlySales(spark, str(tmp_path)), lines(spark, random.Random(1), 0)
+    assert monthly.apply("first", by_month(none)) == []
+    assert monthly.table().count() == monthly.product_totals().count() == 0
+
+
+def test_only_ranked_reports_rank_the_products(spark):
+    star = entry.star_of(spark, SMALL)
+    star.rebind_product_totals(star.product_totals)
+    assert "product_ranking" not in star.__dict__
+    want = {r.product_id: r.abc_rank for r in entry.star_of(spark, SMALL).ranked_totals.collect()}
+    assert {r.product_id: r.abc_rank for r in star.ranked_totals.collect()} == want
+
+
 def test_a_failed_batch_changes_nothing(spark, tmp_path):
     monthly = MonthlySales(spark, str(tmp_path))
     first = lines(spark, random.Random(6), 50)
