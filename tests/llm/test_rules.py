@@ -111,6 +111,34 @@ def test_boilerplate_goes_however_much_of_a_text_it_is(spark, own):
     assert all(r.kept == (own >= 0.3 * (own + 100)) for r in found)
 
 
+def test_sketches_are_bytes_that_tell_similarity():
+    words = prose("sketch", 400).split()
+    texts = [" ".join([*(f"new{n}x{i}" for i in range(n)), *words[n:]]) for n in (0, 20, 50, 100, 400)]
+    sketches = quality_rules.describe_batch(pa.array(texts, pa.large_string()))[7]
+    assert sketches.type == pa.list_(pa.int8()) and all(len(x) == quality_rules.SKETCH for x in sketches)
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(396)} for t in texts]
+    for own, sketch in zip(sets, sketches):
+        equal = sum(a == b for a, b in zip(sketches[0].as_py(), sketch.as_py())) / quality_rules.SKETCH
+        assert abs(equal - len(own & sets[0]) / len(own | sets[0])) < 0.12
+
+
+def test_only_lines_of_frequent_texts_go_on(spark, monkeypatch):
+    """The lines of other texts are not moved to meet the frequent ones, and no host's name is carried along."""
+    written, original = {}, quality_rules.Scratch.write
+
+    def write(self, df, label):
+        written[label] = original(self, df, label)
+        return written[label]
+
+    monkeypatch.setattr(quality_rules.Scratch, "write", write)
+    monkeypatch.setattr(quality_rules.Scratch, "clear", lambda self: None)
+    rows = [(i, f"{prose(i, 30)}\n{'The line' if i % 2 else prose(f'own{i}', 9)}", "en", "host") for i in range(40)]
+    found = quality_rules.verdicts(make_documents(spark, rows)).collect()
+    assert all(r.removed == ([1] if r.doc_id % 2 else []) for r in found)
+    assert written["often"].count() == 1 and written["frequent-lines"].count() == written["frequent-texts"].count() == 20
+    assert all("string" not in dict(df.dtypes).values() for df in written.values())
+
+
 def brute_verdicts(rows, limit):
     """Lines removed and ``kept`` of (doc_id, text, host), classes by exact shingle similarity."""
     def normal(line):
