@@ -485,6 +485,8 @@ def candidates(
             pair = np.repeat(row, many) * len(queries.words) + space.query[posting]
             mine = of_scale[space.query[posting]]
             pair, at_pair = np.unique(pair[mine], return_inverse=True)
+            if not len(pair):  # all shared words are those of queries of another scale
+                continue
             scores = np.bincount(at_pair, (np.repeat(weight, many) * space.weight[posting])[mine], len(pair))
             row, query = pair // len(queries.words), pair % len(queries.words)
             scores /= np.sqrt(total[row])

@@ -180,6 +180,16 @@ def test_short_items_among_rarer_words_are_found(spark):
     assert found == leaking
 
 
+def test_texts_that_share_words_only_with_queries_of_another_scale(spark):
+    """No word of their passages is one of the queries that are searched with passages of that size."""
+    items = {1: [f"s{k}" for k in range(12)], 2: [f"l{k}" for k in range(50)]}
+    benchmark = spark.createDataFrame([(i, " ".join(x)) for i, x in items.items()], BENCHMARK)
+    for item, own in items.items():
+        docs = make_documents(spark, [(5, " ".join(own))])
+        (row,) = decontaminate.with_leaks(docs, benchmark).collect()
+        assert [x.item_id for x in row.leaks] == [item]
+
+
 def test_many_queries_are_searched_in_one_pass(spark):
     """Exact copies of thousands of queries have a plain cosine of 1, and a benchmark of them is one block."""
     rng = random.Random(8)
