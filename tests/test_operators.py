@@ -163,3 +163,17 @@ def test_members_are_those_of_a_semi_join_and_facts_stay_where_they_are(spark):
         assert sorted(r.note for r in found.collect()) == ["a", "b", "c"]
         plan = found._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_lookup_by_the_absent_values(spark, monkeypatch, few):
+    """The rows of a salted lookup, whether few values are absent or many."""
+    if not few:
+        monkeypatch.setattr(joins, "SMALL_ROWS", 0)
+    facts = spark.createDataFrame([(1, 10), (2, None), (3, 99), (4, None), (5, 10)], "id bigint, ref bigint")
+    known = spark.createDataFrame([(10,), (11,)], "ref_key bigint")
+    found = joins.known_or_null(facts, known, "ref", "ref_key", "id", facts.select("ref"))
+    assert {r["id"]: (r["ref"], r["ref_key"]) for r in found.collect()} == {
+        1: (10, 10), 2: (None, None), 3: (99, None), 4: (None, None), 5: (10, 10)
+    }
+    assert found.columns == joins.left_key_lookup(facts, known, "ref", "ref_key", "id").columns

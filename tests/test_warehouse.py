@@ -91,3 +91,55 @@ def test_a_failed_build_leaves_the_old_one(spark, tmp_path):
     assert [r.status_code for r in reader.model("dim_order_status").collect()] == ["old"]
     warehouse.build(star("third"), str(tmp_path))
     assert statuses() == ["third"] and reader.build_name not in folders()
+
+
+def test_joins_of_a_build_are_not_chosen_by_the_size_of_files(spark, tmp_path, monkeypatch):
+    """Packed ids would make tables of millions of rows look small enough for the driver."""
+    bound = "spark.sql.autoBroadcastJoinThreshold"
+    before, seen, write = spark.conf.get(bound), {}, warehouse._write
+
+    def watched(df, path, *rest):
+        name = path.rsplit("/", 1)[-1]
+        seen[name] = (spark.conf.get(bound), df._jdf.queryExecution().executedPlan().toString())
+        return write(df, path, *rest)
+
+    monkeypatch.setattr(warehouse, "_write", watched)
+    warehouse.build(entry.star_of(spark, SMALL), str(tmp_path))
+    assert {b for b, _ in seen.values()} == {"-1"} and spark.conf.get(bound) == before
+    for name in ("int_orders_with_items", "dim_customer", "int_inventory_with_sales"):
+        assert "Broadcast" not in seen[name][1]
+    for name, moved in (("fact_sales", 2), ("fact_inventory_daily", 0)):  # both sides of the join with products
+        assert seen[name][1].count("hashpartitioning(product_id") == moved
+
+
+def test_amounts_are_not_moved_into_the_layout(spark):
+    star = entry.star_of(spark, SMALL)
+    for name in ("int_orders_with_items", "fact_sales"):
+        rows, add = star.narrow(name)
+        assert not {"net_amount", "gross_profit"} & set(rows.columns)
+        table = entry.star_of(spark, SMALL).model(name)
+        assert add(rows).schema == table.schema
+        assert add(rows).exceptAll(table).isEmpty() and rows.count() == table.count() > 0
+
+
+def test_metrics_from_written_lines_are_those_from_the_sources(spark, tmp_path):
+    """Lines of unknown customers and products, orders without date, status or lines."""
+    from tables import AS_OF, raw_tables
+
+    from starloom.plans.star import Star
+
+    day = AS_OF.replace(year=2024)
+    heads = [(1, 1, day, "shipped"), (2, 1, day.replace(month=1), "cancelled"), (3, 2, None, "shipped"), (4, 2, day, None), (5, 9, day, "shipped"), (6, 1, day, "shipped")]
+    orders = [{"order_id": o, "customer_id": c, "order_date": d, "status": s} for o, c, d, s in heads]
+    lines = [(1, 1, 7), (2, 1, 8), (3, 2, 7), (4, 3, 7), (5, 4, 7), (6, 5, 7), (7, 5, 8)]
+    items = [{"order_item_id": i, "order_id": o, "product_id": p, "quantity": i, "unit_price": "2.50", "discount": 10} for i, o, p in lines]
+
+    def star():
+        return Star(raw_tables(spark, customers=[{"customer_id": 1}, {"customer_id": 2}], products=[{"product_id": 7}], orders=orders, order_items=items), AS_OF)
+
+    def rows(frame):
+        return sorted(map(tuple, frame.select(*sorted(frame.columns)).collect()), key=str)
+
+    built = star()
+    warehouse.build(built, str(tmp_path))
+    assert rows(built.customer_metrics) == rows(star().customer_metrics)
