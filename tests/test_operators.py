@@ -177,3 +177,10 @@ def test_lookup_by_the_absent_values(spark, monkeypatch, few):
         1: (10, 10), 2: (None, None), 3: (99, None), 4: (None, None), 5: (10, 10)
     }
     assert found.columns == joins.left_key_lookup(facts, known, "ref", "ref_key", "id").columns
+
+
+def test_missing_keys_are_found_without_a_broadcast_of_the_parent(spark):
+    child, parent = spark.range(100).withColumnRenamed("id", "k"), spark.range(50)
+    found = dangling(child, "k", parent, "id")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and found.count() == 50
